@@ -8,8 +8,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from detlake.functions.boxes import project_to_tile, xywh_to_xyxy
-
 
 class Scale(NamedTuple):
     """`width`/`height` None keeps the source size; `crop` False means one picture instead of tiles."""
@@ -86,14 +84,13 @@ def scale_plan(images: DataFrame, scales: Sequence[Scale] = DEFAULT_SCALES) -> D
             .drop("_w", "_h"))
 
 
-def _candidates(low: Column, high: Column, length: Column, crop: int, stride: int, edges: bool) -> Column:
-    """Indices of the axis windows [i*stride, i*stride+crop) that can meet (low, high), plus the pinned one."""
+def _axis_range(low: Column, high: Column, length: Column, crop: int, stride: int, edges: bool) -> tuple[Column, Column]:
+    """First and last index of the windows that can meet (low, high); the pinned window is the one after the regular."""
     n = regular_count(length, crop, stride)
-    first = F.greatest(F.lit(0), F.floor((low - crop) / stride).cast("int") + 1)
-    last = F.least(n - 1, F.ceil(high / stride).cast("int") - 1)
-    regular = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
     pinned = has_pinned(length, crop, stride, edges) & (high > length - crop)
-    return F.when(pinned, F.array_append(regular, n)).otherwise(regular)
+    first = F.greatest(F.lit(0), F.floor((low - crop) / stride).cast("int") + 1)
+    last = F.when(pinned, n).otherwise(F.least(n - 1, F.ceil(high / stride).cast("int") - 1))
+    return F.least(first, F.when(pinned, n).otherwise(first)), last
 
 
 def tile_annotations(annotations: DataFrame, images: DataFrame, scales: Sequence[Scale] = DEFAULT_SCALES,
@@ -102,24 +99,50 @@ def tile_annotations(annotations: DataFrame, images: DataFrame, scales: Sequence
     """Annotation pieces that stay visible enough in a tile.
 
     The tiles a box can meet follow from its coordinates, so there is no join with tiles: after the image sizes are
-    looked up, every box explodes into its few candidate windows and the exact test filters them. A hot image is just
-    more rows.
+    looked up, every box generates its few candidate windows per scale and axis, and the exact test filters them. A hot
+    image is just more rows. Scaled corners and index ranges are generated columns, which keeps Catalyst from inlining
+    them into every later expression.
     """
     _check(crop, stride)
+    scale_plan(images, scales)  # validates the scales
     sized = annotations.join(images.select("image_id", "width", "height"), "image_id")
-    scaled = scale_plan(sized, [s for s in scales]).filter("crop")
-    x1, x2 = F.col("x") * F.col("sx"), (F.col("x") + F.col("w")) * F.col("sx")
-    y1, y2 = F.col("y") * F.col("sy"), (F.col("y") + F.col("h")) * F.col("sy")
-    sw, sh = F.col("scale_w"), F.col("scale_h")
-    spread = (scaled.withColumn("_xi", F.explode(_candidates(x1, x2, sw, crop, stride, edges)))
-              .withColumn("_yi", F.explode(_candidates(y1, y2, sh, crop, stride, edges))))
-    nx, ny = regular_count(sw, crop, stride), regular_count(sh, crop, stride)
-    ox = F.when(F.col("_xi") < nx, F.col("_xi") * stride).otherwise(sw - crop)
-    oy = F.when(F.col("_yi") < ny, F.col("_yi") * stride).otherwise(sh - crop)
-    per_row = nx + has_pinned(sw, crop, stride, edges).cast("int")
-    placed = (spread.withColumn("ox", ox).withColumn("oy", oy)
-              .withColumn("crop_id", F.col("_yi") * per_row + F.col("_xi")))
-    local, ratio, kept = project_to_tile(xywh_to_xyxy(F.col("x"), F.col("y"), F.col("w"), F.col("h")), F.col("sx"),
-                                         F.col("sy"), F.col("ox"), F.col("oy"), crop, threshold, min_area)
-    return placed.filter(kept).select("image_id", "scale_ord", "scale_name", "crop_id", "ox", "oy", "ann_id",
-                                      "category_id", *local.named(), ratio.alias("visible_ratio"))
+
+    def spec(i: int, s: Scale) -> Column:
+        sw = F.col("width") if s.width is None else F.lit(s.width)
+        sh = F.col("height") if s.height is None else F.lit(s.height)
+        sx, sy = sw / F.col("width"), sh / F.col("height")
+        x1, x2 = F.col("x") * sx, (F.col("x") + F.col("w")) * sx
+        y1, y2 = F.col("y") * sy, (F.col("y") + F.col("h")) * sy
+        xlo, xhi = _axis_range(x1, x2, sw, crop, stride, edges)
+        ylo, yhi = _axis_range(y1, y2, sh, crop, stride, edges)
+        fields = {"scale_ord": F.lit(i), "scale_name": F.lit(s.name), "_bx1": x1, "_by1": y1, "_bx2": x2, "_by2": y2,
+                  "_xlo": xlo, "_xhi": xhi, "_ylo": ylo, "_yhi": yhi,
+                  "_endx": F.greatest(sw - crop, F.lit(0)), "_endy": F.greatest(sh - crop, F.lit(0)),
+                  "_nx": regular_count(sw, crop, stride) + has_pinned(sw, crop, stride, edges).cast("int")}
+        return F.struct(*[c.alias(n) for n, c in fields.items()])
+
+    cropped = [spec(i, s) for i, s in enumerate(scales) if s.crop]
+    keep = ["image_id", "ann_id", "category_id"]
+    if not cropped:
+        return (sized.filter(F.lit(False)).select("image_id", F.lit(0).alias("scale_ord"), F.lit("").alias("scale_name"),
+                *[F.lit(0).alias(c) for c in ("crop_id", "ox", "oy")], "ann_id", "category_id",
+                *[F.lit(0.0).alias(c) for c in ("x1", "y1", "x2", "y2", "visible_ratio")]))
+    scaled = sized.select(*keep, F.inline(F.array(*cropped)))
+    scaled = scaled.filter((F.col("_xlo") <= F.col("_xhi")) & (F.col("_ylo") <= F.col("_yhi")))
+    rest = [c for c in scaled.columns if c not in ("_xlo", "_xhi", "_ylo", "_yhi")]
+    spread = (scaled.select(*rest, "_ylo", "_yhi", F.explode(F.sequence("_xlo", "_xhi")).alias("_xi"))
+              .select(*rest, "_xi", F.explode(F.sequence("_ylo", "_yhi")).alias("_yi")))
+    # the pinned index lies beyond the last regular start, so the smaller of both is its true start
+    ox, oy = F.least(F.col("_xi") * stride, F.col("_endx")), F.least(F.col("_yi") * stride, F.col("_endy"))
+    left, top = F.greatest(F.col("_bx1"), ox.cast("double")), F.greatest(F.col("_by1"), oy.cast("double"))
+    right, bottom = F.least(F.col("_bx2"), (ox + crop).cast("double")), F.least(F.col("_by2"), (oy + crop).cast("double"))
+    wide, high = right - left, bottom - top
+    area = (F.col("_bx2") - F.col("_bx1")) * (F.col("_by2") - F.col("_by1"))
+    # area is positive wherever the overlap is
+    kept = ((wide > 0) & (high > 0) & (F.least(F.lit(1.0), wide * high / F.when(area > 0, area)) >= F.lit(float(threshold)))
+            & (wide * high >= F.lit(float(min_area))))
+    return spread.filter(kept).select(
+        "image_id", "scale_ord", "scale_name", (F.col("_yi") * F.col("_nx") + F.col("_xi")).alias("crop_id"),
+        ox.alias("ox"), oy.alias("oy"), "ann_id", "category_id", (left - ox).alias("x1"), (top - oy).alias("y1"),
+        (right - ox).alias("x2"), (bottom - oy).alias("y2"),
+        F.least(F.lit(1.0), wide * high / F.when(area > 0, area)).alias("visible_ratio"))
