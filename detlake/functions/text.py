@@ -93,3 +93,24 @@ def safe_div(num: Column, den: Column) -> Column:
 
 def f1_score(p: Column, r: Column) -> Column:
     return F.when(p + r > 0, F.lit(2.0) * p * r / (p + r)).otherwise(F.lit(0.0))
+
+
+def fixed_six(v: Column) -> Column:
+    """Six decimals of a double, rounded by its exact binary value and to even on true ties, as `%.6f` does in C.
+
+    `v * 1e6` is split into a double and its exact rounding error (26-bit halves; 1e6 has 14 significant bits), so a
+    value that only looks like a tie in its shortest decimal form still rounds to its own side.
+    """
+    a = F.abs(v)
+    spread = a * F.lit(134217729.0)
+    high = spread - (spread - a)
+    low = a - high
+    scaled = a * F.lit(1e6)
+    error = (high * F.lit(1e6) - scaled) + low * F.lit(1e6)
+    whole = F.floor(scaled)
+    part = scaled - whole
+    tie = part == 0.5
+    up = (part > 0.5) | (tie & (error > 0)) | (tie & (error == 0) & (whole % 2 == 1))
+    n = whole + F.when(up, 1).otherwise(0)
+    digits = F.concat(F.floor(n / 1_000_000).cast("string"), F.lit("."), F.lpad((n % 1_000_000).cast("string"), 6, "0"))
+    return F.when(v < 0, F.concat(F.lit("-"), digits)).otherwise(digits)

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from detlake.plans import box_queries, eval_queries  # noqa: F401
+from detlake.plans import box_queries, capture_queries, dataset_queries, eval_queries  # noqa: F401
 from detlake.plans.catalog import jobs, oracles  # noqa: F401

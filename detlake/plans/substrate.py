@@ -96,6 +96,42 @@ VIEWS: dict[str, str] = {
           cast(10 + k1 % 60 AS double) AS length_m, cast(4 + k2 % 12 AS double) AS width_m, cast(3 + n % 15 AS double) AS height_m
         FROM sub_annotations
     """,
+    "sub_legacy": """
+        SELECT a.ann_id, a.image_id, dataset_id, cast(k1 % 4 AS int) AS category_id, x, y, w, h
+        FROM sub_annotations a JOIN sub_images i ON a.image_id = i.image_id
+    """,
+    "sub_categories": """
+        SELECT DISTINCT dataset_id, category_id, CASE WHEN dataset_id = 'ds_4' THEN concat('kind_', cast(category_id AS string))
+            WHEN dataset_id IN ('ds_2', 'ds_3') THEN CASE category_id WHEN 0 THEN 'ships' WHEN 1 THEN 'buoys' WHEN 2 THEN 'helicopters' ELSE 'airplanes' END
+            ELSE CASE category_id WHEN 0 THEN 'ships' WHEN 1 THEN 'helicopters' ELSE 'airplanes' END END AS name
+        FROM (SELECT dataset_id, CASE WHEN dataset_id IN ('ds_2', 'ds_3') THEN category_id ELSE cast(ann_id % 3 AS int) END AS category_id FROM sub_legacy) c
+    """,
+    "sub_faulty_images": """
+        SELECT image_id, CASE WHEN image_id % 89 = 0 THEN ' ' ELSE file_name END AS file_name,
+          CASE WHEN image_id % 97 = 0 THEN 0 ELSE width END AS width, CASE WHEN image_id % 83 = 0 THEN NULL ELSE height END AS height
+        FROM sub_images
+    """,
+    "sub_faulty_annotations": """
+        SELECT CASE WHEN k1 % 101 = 0 THEN image_id * 100 + 1 ELSE ann_id END AS ann_id,
+          CASE WHEN k2 % 89 = 0 THEN -image_id ELSE image_id END AS image_id,
+          CASE WHEN k1 % 67 = 0 THEN NULL WHEN k1 % 53 = 0 THEN category_id + 7 ELSE category_id END AS category_id,
+          x, y, CASE WHEN k1 % 83 = 0 THEN cast(0 AS double) ELSE w END AS w, h, k1 % 71 = 0 AS short,
+          CASE WHEN k1 % 7 = 0 THEN NULL ELSE 0 END AS iscrowd
+        FROM sub_annotations
+    """,
+    "sub_artifacts": """
+        SELECT concat('run_', lpad(cast(p_partkey % 50 AS string), 6, '0')) AS run_id,
+          CASE p_partkey % 5 WHEN 0 THEN 'checkpoints' WHEN 1 THEN 'reports' WHEN 2 THEN 'exports' WHEN 3 THEN 'visualizations' ELSE 'other' END AS area,
+          concat('/store/', CASE p_partkey % 5 WHEN 0 THEN concat(CASE p_partkey % 3 WHEN 0 THEN 'best' WHEN 1 THEN concat('epoch_', cast(p_partkey AS string)) ELSE 'draft' END, '_ckpt.pth')
+            WHEN 1 THEN concat('r', cast(p_partkey AS string), CASE p_partkey % 2 WHEN 0 THEN '.json' ELSE '.txt' END)
+            ELSE concat('f', cast(p_partkey AS string), '.png') END) AS path, p_size AS length, p_partkey AS k
+        FROM part
+    """,
+    "sub_updates": """
+        SELECT run_id, seq, ts, CASE WHEN seq % 10 = 0 THEN 'success' WHEN seq % 15 = 0 THEN NULL WHEN seq % 7 = 0 THEN 'lost' ELSE 'running' END AS status,
+          CASE WHEN seq % 5 = 0 THEN stage END AS phase, CASE WHEN seq % 3 = 0 THEN loss END AS loss
+        FROM sub_run_events
+    """,
 }
 
 # views only the oracle texts use

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +46,8 @@ def durable(df: DataFrame) -> DataFrame:
     """Materialise in the checkpoint folder: survives executor loss and pins non-deterministic values."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def work_folder(spark: SparkSession) -> str:
+    """A new folder in the shared checkpoint folder, for tables and stream progress of one job."""
+    return f"{ensure_checkpoint_dir(spark)}/work-{uuid.uuid4().hex}"
