@@ -13,6 +13,7 @@ from detlake.functions.boxes import Box, box, clip_box, letterbox_plan, letterbo
 from detlake.operators import fragments, matching, metrics, suppress
 from detlake.operators.metrics import CLASSES
 from detlake.operators.tiling import CROP, STRIDE, Scale, generate_tiles, scale_plan
+from detlake.session import durable
 
 # fixed values: default evaluation scales; the full source is one letterboxed input
 FULL_SOURCE = "full_source"
@@ -95,13 +96,16 @@ def build_gt(annotations: DataFrame, categories: DataFrame) -> DataFrame:
 
 def evaluate(detections: DataFrame, truth: DataFrame, cfg: EvalSettings = EvalSettings(), classes: Sequence[str] = CLASSES) -> dict[str, DataFrame]:
     """Suppression, fragment fusion and all metric tables; the suppression IoU is also the matching threshold."""
-    kept = suppress.postprocess(detections, cfg.method, cfg.iou, cfg.score, max_detections=cfg.max_detections)
-    merged = fragments.merge_fragments(kept, cfg.fusion)
-    matches = matching.match_same_class(merged, truth, (cfg.iou,))
+    # each of these three tables feeds several results, so it is written once
+    kept = durable(suppress.postprocess(detections, cfg.method, cfg.iou, cfg.score, max_detections=cfg.max_detections))
+    merged = durable(fragments.merge_fragments(kept, cfg.fusion))
+    steps = sorted({cfg.iou, *matching.THRESHOLDS})
+    all_matches = durable(matching.match_same_class(merged, truth, steps))
+    matches = all_matches.filter(F.col("threshold") == F.lit(cfg.iou))
     any_class = matching.match_any_class(merged, truth, cfg.iou)
     labelled = matching.labelled_detections(merged, matches)
     per_class = metrics.per_class_metrics(labelled, truth, classes)
-    ap = metrics.average_precision(merged, truth, matching.match_same_class(merged, truth, matching.THRESHOLDS), classes=classes)
+    ap = durable(metrics.average_precision(merged, truth, all_matches.filter(F.col("threshold").isin(list(matching.THRESHOLDS))), classes=classes))
     by_class = metrics.class_ap(ap)
     overall = metrics.overall_metrics(per_class)
     means = metrics.mean_average_precision(by_class, truth)

@@ -286,6 +286,10 @@ class CameraColumns(NamedTuple):
     height: Column
 
 
+def _reordered(values: Column) -> Column:
+    return F.zip_with("_variant.idx", "_variant.sign", lambda i, s: F.get(values, i) * s)
+
+
 def diagnose_variants(objects: DataFrame, cam: CameraColumns) -> DataFrame:
     """Every object under every (basis, axis order) variant: projected box and agreement with the target `t_*`.
 
@@ -298,14 +302,14 @@ def diagnose_variants(objects: DataFrame, cam: CameraColumns) -> DataFrame:
             arr.append(F.struct(F.lit(bi * len(ORDER_VARIANTS) + oi).alias("variant_ord"), F.lit(f"{bname}__{oname}").alias("mapping"),
                                 F.array(*[F.lit(a) for a in axes]).alias("axes"), F.array(*[F.lit(i) for i in order]).alias("idx"),
                                 F.array(*[F.lit(s) for s in sign]).alias("sign")))
-    rows = objects.withColumn("_v", F.explode(F.array(*arr)))
+    rows = objects.withColumn("_variant", F.explode(F.array(*arr)))
     lo, hi = F.array("low.x", "low.y", "low.z"), F.array("high.x", "high.y", "high.z")
     raw = F.array("axis_x", "axis_y", "axis_z")
-    rows = rows.withColumn("_lo", lo).withColumn("_hi", hi).withColumn("_axes", F.transform("_v.axes", lambda i: F.get(raw, i)))
+    rows = rows.withColumn("_lo", lo).withColumn("_hi", hi).withColumn("_axes", F.transform("_variant.axes", lambda i: F.get(raw, i)))
     corners = []
     for sel in CORNER_SIGNS:
         vals = F.array(*[F.col("_hi")[i] if s > 0 else F.col("_lo")[i] for i, s in enumerate(sel)])
-        corners.append(F.zip_with("_v.idx", "_v.sign", lambda i, s, v=vals: F.get(v, i) * s))
+        corners.append(_reordered(vals))
     rows = rows.withColumn("_local", F.array(*corners))
     o = vec(F.col("origin"))
     a = [vec(F.get("_axes", i)) for i in range(3)]
@@ -314,7 +318,7 @@ def diagnose_variants(objects: DataFrame, cam: CameraColumns) -> DataFrame:
     rows = rows.withColumn("corners", world).drop("_lo", "_hi", "_axes", "_local")
     seen = project_corners(rows, cam.fx, cam.fy, cam.cx, cam.cy, cam.width, cam.height)
     agree = box_agreement(box(), box("t_"))
-    return seen.select("image_id", "object_id", "class", F.col("_v.variant_ord").alias("variant_ord"), F.col("_v.mapping").alias("mapping"),
+    return seen.select("image_id", "object_id", "class", F.col("_variant.variant_ord").alias("variant_ord"), F.col("_variant.mapping").alias("mapping"),
                        *box().named(), *[c.alias(n) for n, c in agree.items()])
 
 

@@ -160,6 +160,16 @@ ORACLE_VIEWS: dict[str, str] = {
                 CASE WHEN scale_h <= 640 THEN [0::bigint] ELSE list_distinct(range(0, scale_h - 640 + 1, 320) || [(scale_h - 640)::bigint]).list_sort() END AS ys
               FROM orc_plan p WHERE crop AND image_id IN (SELECT image_id FROM sub_annotations)) p) p) p
     """,
+    "orc_eval_tiles": """
+        SELECT p.*, xs[xi + 1] AS ox, ys[yi + 1] AS oy FROM (
+          SELECT p.*, unnest(range(len(xs))) AS xi FROM (
+            SELECT p.*, unnest(range(len(ys))) AS yi FROM (
+              SELECT p.*,
+                CASE WHEN scale_w <= 640 THEN [0::bigint] ELSE list_distinct(range(0, scale_w - 640 + 1, 320) || [(scale_w - 640)::bigint]).list_sort() END AS xs,
+                CASE WHEN scale_h <= 640 THEN [0::bigint] ELSE list_distinct(range(0, scale_h - 640 + 1, 320) || [(scale_h - 640)::bigint]).list_sort() END AS ys
+              FROM (SELECT i.*, n AS scale_name, coalesce(w0, width) AS scale_w, coalesce(h0, height) AS scale_h FROM sub_images i,
+                (VALUES ('original', NULL, NULL), ('full_hd_crops', 1920, 1080), ('intermediate_crops', 1536, 864)) AS v(n, w0, h0)) p) p) p) p
+    """,
     "orc_pieces": """
         SELECT * FROM (
           SELECT split, image_id, scale_ord, scale_name, crop_id, ox, oy, ann_id, category_id,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from detlake.functions.text import file_name, file_stem
 from detlake.schemas import COCO, EVENT, FRAME, REGISTRY, TILE_PREDICTIONS
@@ -12,9 +11,9 @@ from detlake.schemas import COCO, EVENT, FRAME, REGISTRY, TILE_PREDICTIONS
 CORRUPT = "_corrupt_record"
 
 
-def _documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One row per JSON document with its path; unreadable ones carry their text in `_corrupt_record`."""
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    full = f"{schema}, {CORRUPT} string"
     return (spark.read.schema(full).option("multiLine", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.json").json(path).withColumn("path", F.col("_metadata.file_path")))
 
@@ -38,17 +37,16 @@ def read_coco(spark: SparkSession, path: str) -> dict[str, DataFrame]:
             "categories": part("categories", {"id": "category_id"})}
 
 
-def read_manifest(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Strict JSON lines: blank lines are skipped, a malformed one fails the job."""
     lines = spark.read.text(path).filter(F.trim("value") != "")
-    ddl = schema if isinstance(schema, str) else schema.simpleString()
-    return lines.select(F.from_json("value", ddl, {"mode": "FAILFAST"}).alias("_r")).select("_r.*")
+    return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("_r")).select("_r.*")
 
 
-def read_events_tolerant(spark: SparkSession, path: str, schema: T.StructType = EVENT) -> tuple[DataFrame, DataFrame]:
+def read_events_tolerant(spark: SparkSession, path: str, schema: str = EVENT) -> tuple[DataFrame, DataFrame]:
     """(readable events, quarantined lines). Torn or foreign lines do not stop the reader."""
     lines = spark.read.text(path).filter(F.trim("value") != "").select("value", F.col("_metadata.file_name").alias("file"))
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    full = f"{schema}, {CORRUPT} string"
     parsed = lines.withColumn("_r", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
     torn = F.col("_r").isNull() | F.col(f"_r.{CORRUPT}").isNotNull()
     return parsed.filter(~torn).select("file", "_r.*").drop(CORRUPT), parsed.filter(torn).select("file", "value")

@@ -8,7 +8,6 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -22,11 +21,10 @@ COMMAND_FIELDS = ("run_id", "dataset_id", "mission_path", "dcs_config_path", "dc
 BATCH_BYTES = "256m"
 
 
-def stream_events(spark: SparkSession, path: str, schema: T.StructType = EVENT, max_bytes: str = BATCH_BYTES) -> DataFrame:
+def stream_events(spark: SparkSession, path: str, schema: str = EVENT, max_bytes: str = BATCH_BYTES) -> DataFrame:
     """Follow a folder of JSON-lines files; undecodable lines are dropped."""
     lines = spark.readStream.option("maxBytesPerTrigger", max_bytes).text(path).filter(F.trim("value") != "")
-    full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    parsed = lines.select(F.from_json("value", full).alias("_r"))
+    parsed = lines.select(F.from_json("value", f"{schema}, _corrupt_record string").alias("_r"))
     return parsed.filter(F.col("_r").isNotNull() & F.col("_r._corrupt_record").isNull()).select("_r.*").drop("_corrupt_record")
 
 
