@@ -94,31 +94,40 @@ def build_gt(annotations: DataFrame, categories: DataFrame) -> DataFrame:
     return rows.join(categories.select(F.col("category_id").alias("class_id"), F.col("name").alias("class_name")), "class_id", "left")
 
 
-def evaluate(detections: DataFrame, truth: DataFrame, cfg: EvalSettings = EvalSettings(), classes: Sequence[str] = CLASSES) -> dict[str, DataFrame]:
-    """Suppression, fragment fusion and all metric tables; the suppression IoU is also the matching threshold."""
-    # each of these three tables feeds several results, so it is written once
+RESULTS = ("detections", "fusion_counts", "per_class", "overall", "pr_curve", "confusion", "false_examples", "error_taxonomy")
+
+
+def evaluate(detections: DataFrame, truth: DataFrame, cfg: EvalSettings = EvalSettings(), classes: Sequence[str] = CLASSES,
+             results: Sequence[str] = RESULTS) -> dict[str, DataFrame]:
+    """Suppression, fragment fusion and the asked-for metric tables; the suppression IoU is also the matching threshold."""
+    # tables that feed several results are written once
     kept = durable(suppress.postprocess(detections, cfg.method, cfg.iou, cfg.score, max_detections=cfg.max_detections))
     merged = durable(fragments.merge_fragments(kept, cfg.fusion))
     steps = sorted({cfg.iou, *matching.THRESHOLDS})
     all_matches = durable(matching.match_same_class(merged, truth, steps))
     matches = all_matches.filter(F.col("threshold") == F.lit(cfg.iou))
-    any_class = matching.match_any_class(merged, truth, cfg.iou)
     labelled = matching.labelled_detections(merged, matches)
-    per_class = metrics.per_class_metrics(labelled, truth, classes)
-    ap = durable(metrics.average_precision(merged, truth, all_matches.filter(F.col("threshold").isin(list(matching.THRESHOLDS))), classes=classes))
-    by_class = metrics.class_ap(ap)
-    overall = metrics.overall_metrics(per_class)
-    means = metrics.mean_average_precision(by_class, truth)
-    return {
-        "detections": merged,
-        "fusion_counts": fragments.fusion_counts(detections, kept, merged),
-        "per_class": per_class.join(by_class.drop("class_name"), "class_id", "left"),
-        "overall": overall.select("*", *[means.select(c).scalar().alias(c) for c in ("map50", "map5095")]),
-        "pr_curve": metrics.pr_curve(labelled, truth),
-        "confusion": metrics.confusion_matrix(merged, truth, any_class, classes),
-        "false_examples": matching.false_examples(merged, truth, matches),
-        "error_taxonomy": matching.error_taxonomy(merged, truth, any_class),
-    }
+    out: dict[str, DataFrame] = {}
+    if "detections" in results:
+        out["detections"] = merged
+    if "fusion_counts" in results:
+        out["fusion_counts"] = fragments.fusion_counts(detections, kept, merged)
+    if "per_class" in results or "overall" in results:
+        scored = all_matches.filter(F.col("threshold").isin(list(matching.THRESHOLDS)))
+        by_class = metrics.class_ap(durable(metrics.average_precision(merged, truth, scored, classes=classes)))
+        per_class = metrics.per_class_metrics(labelled, truth, classes)
+        out["per_class"] = per_class.join(by_class.drop("class_name"), "class_id", "left")
+        means = metrics.mean_average_precision(by_class, truth)
+        out["overall"] = metrics.overall_metrics(per_class).select("*", *[means.select(c).scalar().alias(c) for c in ("map50", "map5095")])
+    if "pr_curve" in results:
+        out["pr_curve"] = metrics.pr_curve(labelled, truth)
+    if "false_examples" in results:
+        out["false_examples"] = matching.false_examples(merged, truth, matches)
+    if "confusion" in results or "error_taxonomy" in results:
+        any_class = matching.match_any_class(merged, truth, cfg.iou)
+        out["confusion"] = metrics.confusion_matrix(merged, truth, any_class, classes)
+        out["error_taxonomy"] = matching.error_taxonomy(merged, truth, any_class)
+    return out
 
 
 def run_summary(results: dict[str, DataFrame], num_images: int, backend: str = "precomputed") -> DataFrame:

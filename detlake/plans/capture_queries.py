@@ -258,7 +258,7 @@ _VARIANT_IOU = f"""(SELECT object_id, class, v, CASE WHEN x1 IS NOT NULL AND u >
                  SELECT o.*, v, swap, nx, nz, CASE WHEN rev THEN -width_m / 3 ELSE -length_m / 2 END AS xa, CASE WHEN rev THEN width_m / 2 ELSE length_m / 2 END AS xb,
                    CASE WHEN rev THEN -length_m / 2 ELSE -width_m / 3 END AS za, CASE WHEN rev THEN length_m / 2 ELSE width_m / 2 END AS zb
                  FROM sub_frame_objects o, (SELECT v, v >= 8 AS swap, v % 8 >= 4 AS rev, v % 2 = 1 AS nx, (v % 4) >= 2 AS nz FROM range(24) r(v))) o)) o
-             JOIN sub_frames f ON o.image_id = f.image_id)))))))))"""
+             JOIN sub_frames f ON o.image_id = f.image_id))))))))"""
 
 
 @query("diagnose_variants", f"SELECT object_id, v::int AS variant_ord, round(iou, 6) AS iou FROM {_VARIANT_IOU}")
