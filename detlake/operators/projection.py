@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from detlake.functions.boxes import Box, box, box_agreement, box_area, box_center, clip_box_hud, clip_with_truncation, overlap_area, pad_box
-from detlake.functions.camera import Vec, dot, plus, times, vec
+from detlake.functions.camera import Vec, dot, vec
 
 # fixed values: validation thresholds
 MIN_SIDE_PX = 20.0
@@ -27,52 +27,56 @@ SHIP_PADDING_PX = 3
 CORNER_SIGNS = tuple((x, y, z) for x in (-1, 1) for y in (-1, 1) for z in (-1, 1))
 
 
-def corner_columns(origin: Vec, axes: tuple[Vec, Vec, Vec], low: Vec, high: Vec) -> list[Vec]:
-    """World positions of the eight corners of a local box; `axes` are the world directions of local x, y, z."""
-    out = []
-    for sx, sy, sz in CORNER_SIGNS:
-        local = (high.x if sx > 0 else low.x, high.y if sy > 0 else low.y, high.z if sz > 0 else low.z)
-        point = origin
-        for axis, k in zip(axes, local):
-            point = plus(point, times(axis, k))
-        out.append(point)
-    return out
-
-
 def centered_extent(length: Column, width: Column, height: Column) -> tuple[Vec, Vec]:
     """Local box of a solid centred at its origin: x is width, y height, z length."""
     half = Vec(width / 2, height / 2, length / 2)
     return Vec(-half.x, -half.y, -half.z), half
 
 
-def object_corners(objects: DataFrame, corners: Sequence[Vec]) -> DataFrame:
-    """Adds `corners`, an array of eight world points; generated once so later steps do not repeat the arithmetic."""
-    return objects.withColumn("corners", F.array(*[c.as_struct() for c in corners]))
+def _stage(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    return df.select("*", *[c.alias(n) for n, c in columns.items()])
 
 
-def project_corners(df: DataFrame, focal_x: Column, focal_y: Column, center_x: Column, center_y: Column, width: Column,
-                    height: Column, near: float | None = None, far: float | None = None) -> DataFrame:
-    """Picture box of eight world corners (`corners`) seen from the camera columns.
+def project_corners(df: DataFrame, origin: Vec, axes: tuple[Vec, Vec, Vec], low: Vec, high: Vec, focal_x: Column, focal_y: Column,
+                    center_x: Column, center_y: Column, width: Column, height: Column, near: float | None = None,
+                    far: float | None = None) -> DataFrame:
+    """Picture box of the eight corners of a local box `low..high` at `origin` along the world directions `axes`.
 
-    Adds raw box `raw_x1..raw_y2`, clipped box `x1..y2` (null when invisible), `visible`, `truncated`, depth range and
-    `reasons`. Only corners in front of the near plane count.
+    The camera is in the struct columns `position, forward, up, right`. Origin and box edges are turned into camera
+    space once; corners are their sums. Adds raw box `raw_x1..raw_y2`, clipped box `x1..y2` (null when invisible),
+    `visible`, `truncated`, depth range and `reasons`. Only corners in front of the near plane count.
     """
     pos, fwd, up, right = (vec(F.col(c)) for c in ("position", "forward", "up", "right"))
     floor = max(1e-6, near or 1e-6)
-
-    def seen(p: Column) -> Column:
-        rel = Vec(p["x"] - pos.x, p["y"] - pos.y, p["z"] - pos.z)
-        return F.struct(dot(rel, right).alias("x"), dot(rel, up).alias("y"), dot(rel, fwd).alias("z"))
-
-    in_front = (lambda p: (p["z"] > floor) & (p["z"] < far)) if far is not None else (lambda p: p["z"] > floor)
-    pts = df.withColumn("_pts", F.filter(F.transform("corners", seen), in_front))
-    pts = pts.withColumn("_u", F.transform("_pts", lambda p: focal_x * (p["x"] / p["z"]) + center_x))
-    pts = pts.withColumn("_v", F.transform("_pts", lambda p: center_y - focal_y * (p["y"] / p["z"])))
-    pts = pts.withColumn("_z", F.transform("_pts", lambda p: p["z"]))
-    out = (pts.withColumn("raw_x1", F.array_min("_u")).withColumn("raw_y1", F.array_min("_v"))
-           .withColumn("raw_x2", F.array_max("_u")).withColumn("raw_y2", F.array_max("_v"))
-           .withColumn("depth_min", F.array_min("_z")).withColumn("depth_max", F.array_max("_z"))
-           .withColumn("_n", F.size("_pts")).drop("_pts", "_u", "_v", "_z"))
+    rel = Vec(origin.x - pos.x, origin.y - pos.y, origin.z - pos.z)
+    view = {"x": right, "y": up, "z": fwd}
+    turned = {f"_o{d}": dot(rel, v) for d, v in view.items()}
+    for k, (axis, lo, hi) in enumerate(zip(axes, low, high)):
+        for d, v in view.items():
+            turned[f"_a{k}{d}"] = dot(axis, v)
+        turned[f"_lo{k}"], turned[f"_hi{k}"] = lo, hi
+    pts = _stage(df, turned)
+    edges = {f"_{e}{k}{d}": F.col(f"_{e}{k}") * F.col(f"_a{k}{d}") for e in ("lo", "hi") for k in range(3) for d in "xyz"}
+    pts = _stage(pts, edges)
+    spots = {}
+    for i, signs in enumerate(CORNER_SIGNS):
+        for d in "xyz":
+            spots[f"_{d}{i}"] = sum((F.col(f"_{'hi' if s > 0 else 'lo'}{k}{d}") for k, s in enumerate(signs)), F.col(f"_o{d}"))
+    pts = _stage(pts, spots)
+    picture = {}
+    for i in range(8):
+        z = F.col(f"_z{i}")
+        ok = (z > floor) & (z < far) if far is not None else z > floor
+        picture[f"_d{i}"] = F.when(ok, z)
+        picture[f"_u{i}"] = F.when(ok, focal_x * (F.col(f"_x{i}") / z) + center_x)
+        picture[f"_v{i}"] = F.when(ok, center_y - focal_y * (F.col(f"_y{i}") / z))
+    pts = _stage(pts, picture)
+    # least and greatest skip the corners that do not count
+    every = {n: [F.col(f"_{n}{i}") for i in range(8)] for n in "duv"}
+    out = _stage(pts, {"raw_x1": F.least(*every["u"]), "raw_y1": F.least(*every["v"]), "raw_x2": F.greatest(*every["u"]),
+                       "raw_y2": F.greatest(*every["v"]), "depth_min": F.least(*every["d"]), "depth_max": F.greatest(*every["d"]),
+                       "_n": sum((c.isNotNull().cast("int") for c in every["d"]), F.lit(0))})
+    out = out.select(*df.columns, "raw_x1", "raw_y1", "raw_x2", "raw_y2", "depth_min", "depth_max", "_n")
     none = F.col("_n") == 0
     clipped, moved = clip_with_truncation(box("raw_"), width, height)
     cut = ~none & moved
@@ -286,10 +290,6 @@ class CameraColumns(NamedTuple):
     height: Column
 
 
-def _reordered(values: Column) -> Column:
-    return F.zip_with("_variant.idx", "_variant.sign", lambda i, s: F.get(values, i) * s)
-
-
 def diagnose_variants(objects: DataFrame, cam: CameraColumns) -> DataFrame:
     """Every object under every (basis, axis order) variant: projected box and agreement with the target `t_*`.
 
@@ -305,18 +305,10 @@ def diagnose_variants(objects: DataFrame, cam: CameraColumns) -> DataFrame:
     rows = objects.withColumn("_variant", F.explode(F.array(*arr)))
     lo, hi = F.array("low.x", "low.y", "low.z"), F.array("high.x", "high.y", "high.z")
     raw = F.array("axis_x", "axis_y", "axis_z")
-    rows = rows.withColumn("_lo", lo).withColumn("_hi", hi).withColumn("_axes", F.transform("_variant.axes", lambda i: F.get(raw, i)))
-    corners = []
-    for sel in CORNER_SIGNS:
-        vals = F.array(*[F.col("_hi")[i] if s > 0 else F.col("_lo")[i] for i, s in enumerate(sel)])
-        corners.append(_reordered(vals))
-    rows = rows.withColumn("_local", F.array(*corners))
-    o = vec(F.col("origin"))
-    a = [vec(F.get("_axes", i)) for i in range(3)]
-    world = F.transform("_local", lambda p: F.struct(*[
-        (getattr(a[0], n) * p[0] + getattr(a[1], n) * p[1] + getattr(a[2], n) * p[2] + getattr(o, n)).alias(n) for n in ("x", "y", "z")]))
-    rows = rows.withColumn("corners", world).drop("_lo", "_hi", "_axes", "_local")
-    seen = project_corners(rows, cam.fx, cam.fy, cam.cx, cam.cy, cam.width, cam.height)
+    at = lambda name, k: F.get(f"_variant.{name}", k)
+    axes = tuple(vec(F.get(raw, at("axes", k))) for k in range(3))
+    low, high = (Vec(*(F.get(v, at("idx", k)) * at("sign", k) for k in range(3))) for v in (lo, hi))
+    seen = project_corners(rows, vec(F.col("origin")), axes, low, high, *cam)
     agree = box_agreement(box(), box("t_"))
     return seen.select("image_id", "object_id", "class", F.col("_variant.variant_ord").alias("variant_ord"), F.col("_variant.mapping").alias("mapping"),
                        *box().named(), *[c.alias(n) for n, c in agree.items()])

@@ -100,34 +100,22 @@ def tile_annotations(annotations: DataFrame, images: DataFrame, scales: Sequence
 
     The tiles a box can meet follow from its coordinates, so there is no join with tiles: after the image sizes are
     looked up, every box generates its few candidate windows per scale and axis, and the exact test filters them. A hot
-    image is just more rows. Scaled corners and index ranges are generated columns, which keeps Catalyst from inlining
-    them into every later expression.
+    image is just more rows. The arithmetic is staged in projections below the generators, where filters cannot repeat it.
     """
     _check(crop, stride)
-    scale_plan(images, scales)  # validates the scales
     sized = annotations.join(images.select("image_id", "width", "height"), "image_id")
-
-    def spec(i: int, s: Scale) -> Column:
-        sw = F.col("width") if s.width is None else F.lit(s.width)
-        sh = F.col("height") if s.height is None else F.lit(s.height)
-        sx, sy = sw / F.col("width"), sh / F.col("height")
-        x1, x2 = F.col("x") * sx, (F.col("x") + F.col("w")) * sx
-        y1, y2 = F.col("y") * sy, (F.col("y") + F.col("h")) * sy
-        xlo, xhi = _axis_range(x1, x2, sw, crop, stride, edges)
-        ylo, yhi = _axis_range(y1, y2, sh, crop, stride, edges)
-        fields = {"scale_ord": F.lit(i), "scale_name": F.lit(s.name), "_bx1": x1, "_by1": y1, "_bx2": x2, "_by2": y2,
-                  "_xlo": xlo, "_xhi": xhi, "_ylo": ylo, "_yhi": yhi,
-                  "_endx": F.greatest(sw - crop, F.lit(0)), "_endy": F.greatest(sh - crop, F.lit(0)),
-                  "_nx": regular_count(sw, crop, stride) + has_pinned(sw, crop, stride, edges).cast("int")}
-        return F.struct(*[c.alias(n) for n, c in fields.items()])
-
-    cropped = [spec(i, s) for i, s in enumerate(scales) if s.crop]
-    keep = ["image_id", "ann_id", "category_id"]
-    if not cropped:
-        return (sized.filter(F.lit(False)).select("image_id", F.lit(0).alias("scale_ord"), F.lit("").alias("scale_name"),
-                *[F.lit(0).alias(c) for c in ("crop_id", "ox", "oy")], "ann_id", "category_id",
-                *[F.lit(0.0).alias(c) for c in ("x1", "y1", "x2", "y2", "visible_ratio")]))
-    scaled = sized.select(*keep, F.inline(F.array(*cropped)))
+    sized = sized.select("image_id", "ann_id", "category_id", "x", "y", "w", "h", "width", "height")
+    scaled = scale_plan(sized, scales).filter("crop")
+    sw, sh = F.col("scale_w"), F.col("scale_h")
+    keep = ["image_id", "ann_id", "category_id", "scale_ord", "scale_name"]
+    scaled = scaled.select(*keep, "scale_w", "scale_h", (F.col("x") * F.col("sx")).alias("_bx1"), (F.col("y") * F.col("sy")).alias("_by1"),
+                           ((F.col("x") + F.col("w")) * F.col("sx")).alias("_bx2"), ((F.col("y") + F.col("h")) * F.col("sy")).alias("_by2"))
+    xlo, xhi = _axis_range(F.col("_bx1"), F.col("_bx2"), sw, crop, stride, edges)
+    ylo, yhi = _axis_range(F.col("_by1"), F.col("_by2"), sh, crop, stride, edges)
+    scaled = scaled.select(
+        *keep, "_bx1", "_by1", "_bx2", "_by2", xlo.alias("_xlo"), xhi.alias("_xhi"), ylo.alias("_ylo"), yhi.alias("_yhi"),
+        F.greatest(sw - crop, F.lit(0)).alias("_endx"), F.greatest(sh - crop, F.lit(0)).alias("_endy"),
+        (regular_count(sw, crop, stride) + has_pinned(sw, crop, stride, edges).cast("int")).alias("_nx"))
     scaled = scaled.filter((F.col("_xlo") <= F.col("_xhi")) & (F.col("_ylo") <= F.col("_yhi")))
     rest = [c for c in scaled.columns if c not in ("_xlo", "_xhi", "_ylo", "_yhi")]
     spread = (scaled.select(*rest, "_ylo", "_yhi", F.explode(F.sequence("_xlo", "_xhi")).alias("_xi"))

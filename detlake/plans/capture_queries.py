@@ -69,9 +69,9 @@ def _projected(t: Tables):
     axes = (camera.Vec(one, zero, zero), camera.Vec(zero, one, zero), camera.Vec(zero, zero, one))
     # a solid lying along the picture: local x is its width, y its height, z its length
     low, high = projection.centered_extent(F.col("length_m"), F.col("width_m"), F.col("height_m"))
-    corners = projection.corner_columns(camera.Vec(F.col("world_x"), F.col("world_y"), F.col("world_z")), axes, low, high)
+    origin = camera.Vec(F.col("world_x"), F.col("world_y"), F.col("world_z"))
     lit = {k: F.lit(v) for k, v in _CAM.items()}
-    return projection.project_corners(projection.object_corners(rows, corners), lit["fx"], lit["fy"], lit["cx"], lit["cy"], F.lit(WIDTH), F.lit(HEIGHT))
+    return projection.project_corners(rows, origin, axes, low, high, lit["fx"], lit["fy"], lit["cx"], lit["cy"], F.lit(WIDTH), F.lit(HEIGHT))
 
 
 # corners of a box around (world_x, world_y, world_z): x spans the width, y the height, z the length

@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from detlake.session import apply_runtime
+
 RAW = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
 VIEWS: dict[str, str] = {
@@ -302,6 +304,7 @@ class Tables:
     """The given tables of one folder, and the views over them."""
 
     def __init__(self, spark: SparkSession, folder: str):
+        apply_runtime(spark)
         self.spark, self.folder = spark, folder
 
     def raw(self, name: str) -> DataFrame:

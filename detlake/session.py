@@ -7,8 +7,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULTS = {
+# settings every query relies on, also changeable in a running session
+RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
+    # the JVM never compiles methods above 8000 bytes of bytecode; wide arithmetic then runs faster without whole-stage
+    # code, split into small methods (12x on the corner projection)
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+DEFAULTS = {
+    **RUNTIME,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -27,6 +34,12 @@ def get_session(app: str = "detlake", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+def apply_runtime(spark: SparkSession) -> None:
+    for key, value in RUNTIME.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the session; a private one only in local mode where none is set."""
     sc = spark.sparkContext
