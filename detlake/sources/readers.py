@@ -14,8 +14,10 @@ CORRUPT = "_corrupt_record"
 def _documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One row per JSON document with its path; unreadable ones carry their text in `_corrupt_record`."""
     full = f"{schema}, {CORRUPT} string"
-    return (spark.read.schema(full).option("multiLine", True).option("mode", "PERMISSIVE").option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.json").json(path).withColumn("path", F.col("_metadata.file_path")))
+    text = (spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path)
+            .select(F.col("_metadata.file_path").alias("path"), "value"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    return text.select("path", F.from_json("value", full, options).alias("_r")).select("path", "_r.*")
 
 
 def read_coco(spark: SparkSession, path: str) -> dict[str, DataFrame]:
