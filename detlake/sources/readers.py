@@ -14,7 +14,7 @@ CORRUPT = "_corrupt_record"
 def _documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One row per JSON document with its path; unreadable ones carry their text in `_corrupt_record`."""
     full = f"{schema}, {CORRUPT} string"
-    text = (spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path)
+    text = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("path"), "value"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     return text.select("path", F.from_json("value", full, options).alias("_r")).select("path", "_r.*")
@@ -110,7 +110,7 @@ def list_files(spark: SparkSession, root: str, patterns: tuple[str, ...] = ("*",
 
 def read_yolo_labels(spark: SparkSession, path: str) -> DataFrame:
     """`file, line_no, class_id, cx, cy, w, h, line`; numbers are null where a line is malformed."""
-    text = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(path)
+    text = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True)
     lines = text.select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
     parts = F.split(F.trim("line"), r"\s+")
     return lines.filter(F.trim("line") != "").select(

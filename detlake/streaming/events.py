@@ -18,10 +18,10 @@ TERMINAL = ("success", "failed", "stopped")
 # fixed values: fields a command must have
 COMMAND_FIELDS = ("run_id", "dataset_id", "mission_path", "dcs_config_path", "dcs_source_dataset_dir", "target_dataset_dir")
 # default size of one micro-batch, which bounds what a single run can bring into one task
-BATCH_BYTES = "256m"
+BATCH_BYTES = 256 * 1024 * 1024
 
 
-def stream_events(spark: SparkSession, path: str, schema: str = EVENT, max_bytes: str = BATCH_BYTES) -> DataFrame:
+def stream_events(spark: SparkSession, path: str, schema: str = EVENT, max_bytes: int = BATCH_BYTES) -> DataFrame:
     """Follow a folder of JSON-lines files; undecodable lines are dropped."""
     lines = spark.readStream.option("maxBytesPerTrigger", max_bytes).text(path).filter(F.trim("value") != "")
     parsed = lines.select(F.from_json("value", f"{schema}, _corrupt_record string").alias("_r"))
@@ -131,7 +131,7 @@ def judge_commands(files: DataFrame) -> DataFrame:
 
 def stream_command_files(spark: SparkSession, path: str) -> DataFrame:
     """Each new `*.command.json` once, as `file_name, text`."""
-    files = spark.readStream.option("wholetext", True).option("pathGlobFilter", "*.command.json").text(path)
+    files = spark.readStream.option("pathGlobFilter", "*.command.json").text(path, wholetext=True)
     return files.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
 
 

@@ -143,7 +143,7 @@ def test_commands_stream_once(spark, tmp_path):
     src, out = tmp_path / "in", str(tmp_path / "out")
     src.mkdir()
     whole = {f: "x" for f in live.COMMAND_FIELDS}
-    (src / "b.command.json").write_text(json.dumps(whole))
+    (src / "b.command.json").write_text(json.dumps(whole, indent=1))
     (src / "a.command.json").write_text('{"run_id": "x"')
     live.ingest_commands(live.stream_command_files(spark, str(src)), out).awaitTermination()
     (src / "c.command.json").write_text(json.dumps({**whole, "extra": 1}))
