@@ -71,10 +71,14 @@ def value_rules(images: DataFrame, annotations: DataFrame) -> DataFrame:
 
 
 def duplicate_ids(df: DataFrame, table: str, key: str) -> DataFrame:
-    """One issue per second and later occurrence. Counts per id first, so a hot id is never gathered."""
+    """One issue per second and later occurrence. Ids are counted with partial aggregation, never gathered; the
+    occurrences of an id come out in blocks that spread over the cluster."""
+    block = 100_000
     many = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter((F.col("_n") > 1) & F.col(key).isNotNull())
-    return many.select(F.lit("error").alias("severity"), _at(table, key).alias("location"),
-                       F.lit("duplicate id").alias("message"), F.explode(F.sequence(F.lit(2), F.col("_n"))).alias("occurrence"))
+    blocks = many.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 2) / block)))).repartition(key, "_b")
+    first = F.col("_b") * block + 2
+    return blocks.select(F.lit("error").alias("severity"), _at(table, key).alias("location"), F.lit("duplicate id").alias("message"),
+                         F.explode(F.sequence(first, F.least(F.col("_n"), first + block - 1))).alias("occurrence"))
 
 
 def dangling_refs(annotations: DataFrame, images: DataFrame, categories: DataFrame) -> DataFrame:

@@ -16,8 +16,6 @@ FOLD_ROWS = 2_000
 # largest group whose members are compared pair by pair
 PAIR_ROWS = 256
 WINDOW_ROWS = 1_000_000
-# largest side that is broadcast after its rows were counted
-BROADCAST_ROWS = 100_000
 
 
 def split_hot(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame | None]:
@@ -40,11 +38,6 @@ def by_group_size(df: DataFrame, keys: Sequence[str], limit: int, small: Callabl
     return out if hot is None else out.unionByName(large(hot).select(*out.columns))
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the side is small."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def nest(df: DataFrame, keys: Sequence[str], item: Column, order: Sequence[Column], name: str,
          chunk_rows: int = WINDOW_ROWS) -> DataFrame:
     """One list of `item` structs per key, ordered by `order`; keys above `chunk_rows` get several numbered chunks.

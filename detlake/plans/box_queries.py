@@ -231,3 +231,11 @@ UNION ALL SELECT split, scale_name, count(DISTINCT p.image_id), count(*), 0::big
 UNION ALL SELECT split, 'background', count(*), 0::bigint, 0::bigint FROM orc_split_images WHERE image_id NOT IN (SELECT image_id FROM sub_annotations) GROUP BY ALL""")
 def enrichment_summary(t: Tables):
     return enrich.enrichment_summary(_images(t), _annotations(t))
+
+
+@query("enrich_dataset", """
+SELECT split, scale_name, count(*) AS num_annotations, sum(category_id)::bigint AS sum_category FROM (
+  SELECT split, scale_name, category_id FROM orc_pieces UNION ALL SELECT split, scale_name, category_id FROM orc_plan p JOIN sub_annotations a ON p.image_id = a.image_id WHERE NOT crop) GROUP BY ALL""")
+def enrich_dataset(t: Tables):
+    out = enrich.enrich_dataset(_images(t), _annotations(t))["annotations"]
+    return out.groupBy("split", "scale_name").agg(F.count(F.lit(1)).alias("num_annotations"), F.sum("category_id").alias("sum_category"))

@@ -45,6 +45,14 @@ def split_counts(t: Tables):
     return ingest.split_counts(_images(t), _placed(t))
 
 
+@query("normalize_dataset", """
+SELECT 'warning' AS severity, 'images' AS location, 'source image missing: ' || file_name AS message FROM sub_images WHERE image_id % 25 = 0""")
+def normalize_dataset(t: Tables):
+    files = t.view("sub_images").filter("image_id % 25 <> 0").select("file_name")
+    frames = t.view("sub_frames").select("image_id", "mission_id", "usable")
+    return ingest.normalize_dataset(t.view("sub_images"), _annotations(t), t.view("sub_categories"), frames, t.view("sub_frame_objects"), files)["warnings"]
+
+
 def _frames(t: Tables):
     return t.view("sub_frames").withColumn("file_name", F.concat("frame_id", F.lit(".png"))).withColumn("width", F.lit(2560)).withColumn("height", F.lit(1440))
 

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from detlake.schemas import PARTITIONS, REGISTRY
 
 
+DOCUMENT_ROWS = 2_000_000
+
+
 def _path(spark: SparkSession, text: str):
     return spark._jvm.org.apache.hadoop.fs.Path(text)
 
@@ -73,8 +76,15 @@ def write_coco(images: DataFrame, annotations: DataFrame, categories: DataFrame,
 
 
 def coco_documents(images: DataFrame, annotations: DataFrame, categories: DataFrame) -> DataFrame:
-    """`split, document`: one COCO JSON text per split. One document is one value and so one row: for exchange of
-    datasets that fit a file other tools can open; storage is `write_coco`."""
+    """`split, document`: one COCO JSON text per split, for exchange with tools that read one file.
+
+    One document is one value, so splits of more than DOCUMENT_ROWS rows are refused; `write_coco` stores any size.
+    """
+    rows = images.select("split").unionByName(annotations.select("split"))
+    big = rows.groupBy("split").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > DOCUMENT_ROWS).limit(1).collect()
+    if big:
+        raise ValueError(f"split {big[0][0]!r} has {big[0][1]} rows, too many for one document; use write_coco")
+
     def pack(df: DataFrame, name: str, *cols) -> DataFrame:
         return df.groupBy("split").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(name))
 
