@@ -126,6 +126,9 @@ def test_matching_rounds_equal_greedy(detections, truth, scene):
             pairs = matching.iou_pairs(detections, truth, 0.5, same, grid_rows=10 if rows == 4 else 256)
             got = matching.match_pairs(pairs, ["image_id", "class_id"] if same else ["image_id"], [0.5], rows)
             assert _rows(got, "det_id", "gt_id") == sorted(want)
+            whole = (matching.match_same_class(detections, truth, group_rows=rows) if same
+                     else matching.match_any_class(detections, truth, group_rows=rows))
+            assert _rows(whole, "det_id", "gt_id") == sorted(want)
 
 
 def test_edges_and_components(detections):
