@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
+from detlake.plans import library
 from tools.compare import compare
 
 FOLDER = "/root/testdata/sf0.001"
@@ -12,7 +12,7 @@ CORE = ("box_geometry", "tile_annotations", "background_images", "nms", "fragmen
         "average_precision", "assign_split", "frames_to_coco", "validate_coco", "mission_report", "project_corners", "select_components",
         "upsert_dataset", "patch_run", "directory_hash", "split_hash", "plan_retention", "stage_states", "loss_trend", "stream_stage_states",
         "lookup_predictions", "index_by_image")
-JOBS, SQL = entry.queries(), entry.oracle_sql()
+JOBS, SQL = library.jobs(), library.oracles()
 
 
 def test_oracle_names():
