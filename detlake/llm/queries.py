@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from detlake.llm import jaccard_join
+from detlake.llm import jaccard_join, suffix_dedup
 
 _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -34,8 +34,8 @@ LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefgh
 
 
 @query("op6_jaccard_join", rf"""
-WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex({LOWERED}, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
-s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex({LOWERED}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
 u AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
 p AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.t = b.t AND a.doc_id <> b.doc_id
@@ -45,3 +45,20 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesc
 FROM s LEFT JOIN (SELECT a, min(b) AS b FROM r GROUP BY a) m ON m.a = s.doc_id""")
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.similarity_components(table(spark, folder, "documents"), 3, 90, 100)
+
+
+@query("op5_suffix_dedup", r"""
+WITH d AS MATERIALIZED (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+p AS MATERIALIZED (SELECT doc_id, unnest(range(0, CAST(len(h) // 2 - 199 AS BIGINT))) AS i FROM d WHERE len(h) >= 400),
+g AS MATERIALIZED (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS g FROM p JOIN d USING (doc_id)),
+r AS (SELECT doc_id, i FROM g JOIN (SELECT g FROM g GROUP BY g HAVING count(*) > 1) USING (g)),
+b AS (SELECT doc_id, i, sum(CASE WHEN i - l <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS s
+      FROM (SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -1000) AS l FROM r)),
+s AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS z FROM b GROUP BY doc_id, s),
+k AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f FROM s),
+m AS (SELECT doc_id, sum(z - a) AS n, count(*) AS c, max(z) AS e, string_agg(substr(h, 2 * f + 1, 2 * (a - f)), '' ORDER BY a) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, CAST(coalesce(c, 0) AS BIGINT) AS n_spans,
+       sha256(from_hex(coalesce(kept, '') || substr(h, CAST(2 * coalesce(e, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM d LEFT JOIN m USING (doc_id)""")
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.removals(table(spark, folder, "documents"))
