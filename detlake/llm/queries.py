@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from detlake.llm import jaccard_join, suffix_dedup
+from detlake.llm import jaccard_join, quality_classifier, suffix_dedup, toxicity
 
 _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -62,3 +62,14 @@ SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BI
 FROM d LEFT JOIN m USING (doc_id)""")
 def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.removals(table(spark, folder, "documents"))
+
+
+# trained models: SQL cannot express them; held-out accuracy is tested
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
