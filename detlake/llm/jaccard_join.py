@@ -28,7 +28,7 @@ from detlake.session import durable
 
 BITS = 2048
 FANOUT = 8
-BLOCK = 2000
+BLOCK = 8000
 _PART = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -219,56 +219,59 @@ def traverse(sets: list[np.ndarray], num: int, den: int, linked: np.ndarray) ->
     return found
 
 
-def exact_links(members: DataFrame, k: int, num: int, den: int, block: int = BLOCK) -> DataFrame:
-    """(a, b): links between text ids that span every set of similar texts. `members`: (cluster, tid long, text), with
-    each text once in its cluster."""
-
-    def join(pdf: pd.DataFrame) -> pd.DataFrame:
-        table = pa.RecordBatch.from_arrays([pa.array(pdf["text"], pa.string())], names=["text"])
-        sets = list(_sets(table, "text", k))
-        order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), int(pdf["tid"].iat[i])))
-        order = [i for i in order if len(sets[i])]
-        ids, linked = pdf["tid"].to_numpy()[order], np.arange(len(order))
-        if "known" in pdf:
-            # texts with one and the same known component are linked already
-            known = pd.Series(range(len(order))).groupby(pdf["known"].to_numpy()[order]).transform("min")
-            linked = known.to_numpy().copy()
-        links = traverse([sets[i] for i in order], num, den, linked)
+def _ordered(pdf: pd.DataFrame, k: int) -> tuple[np.ndarray, list[np.ndarray], list[int]]:
+    """(text ids, token sets, rows) of a group, ordered by size; texts without tokens are left out."""
+    sets = list(_sets(pa.RecordBatch.from_arrays([pa.array(pdf["text"], pa.string())], names=["text"]), "text", k))
+    ids = pdf["tid"].to_numpy()
+    order = sorted((i for i in range(len(sets)) if len(sets[i])), key=lambda i: (len(sets[i]), int(ids[i])))
+    return ids[order], [sets[i] for i in order], order
+
+
+def exact_groups(members: DataFrame, k: int, num: int, den: int, block: int = BLOCK) -> DataFrame:
+    """(tid, group): the smallest id that links between similar texts reach. `members`: (cluster, tid long, text), with each
+    text once; links only join texts of one cluster."""
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, sets, _ = _ordered(pdf, k)
+        linked = np.arange(len(ids))
+        traverse(sets, num, den, linked)
+        least = pd.Series(ids, dtype="int64").groupby(roots(linked)).transform("min")
+        return pd.DataFrame({"tid": ids, "group": least.to_numpy()}, dtype="int64")
+
+    def across(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, sets, order = _ordered(pdf, k)
+        # texts with one and the same known group are linked already
+        linked = pd.Series(range(len(ids)), dtype="int64").groupby(pdf["known"].to_numpy()[order]).transform("min").to_numpy().copy()
+        links = traverse(sets, num, den, linked)
         return pd.DataFrame({"a": [int(ids[u]) for u, _ in links], "b": [int(ids[v]) for _, v in links]}, dtype="int64")
 
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("_n"))
-    blocks = members.join(sizes.withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int")), "cluster")
-    blocks = blocks.withColumn("_block", F.when(F.col("_blocks") > 1, F.pmod(F.xxhash64("tid"), F.col("_blocks")).cast("int")).otherwise(0))
-    within = blocks.groupBy("cluster", "_block").applyInPandas(join, "a long, b long")
-    large = blocks.where("_blocks > 1")
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
+    blocks = members.join(sizes, "cluster").withColumn("_block", F.pmod(F.xxhash64("tid"), F.col("_blocks")).cast("int"))
+    within = blocks.groupBy("cluster", "_block").applyInPandas(whole, "tid long, group long")
+    large = sizes.where("_blocks > 1")
     if large.isEmpty():
         return within
-    # large clusters: blocks first; then pairs of blocks, sparing texts that those links have joined
+    # clusters of several blocks: then pairs of blocks, of which one has texts outside the main group of the cluster
     within = durable(within)
-    known = components(within)
-    large = large.join(known, F.col("tid") == F.col("node"), "left").withColumn("known", F.coalesce("component", "tid")).drop("node", "component")
+    large = blocks.where("_blocks > 1").join(within.withColumnRenamed("group", "known"), "tid")
     main = large.groupBy("cluster", "known").count().groupBy("cluster").agg(F.max_by("known", F.struct("count", "known")).alias("_main"))
-    pairs = large.join(main, "cluster")
-    pairs = pairs.withColumn("_rest", F.col("known") != F.col("_main"))
-    busy = pairs.where("_rest").groupBy("cluster").agg(F.collect_set("_block").alias("_busy"), F.count("*").alias("_left"))
-    pairs = (pairs.join(busy, "cluster", "left").withColumn("_busy", F.coalesce("_busy", F.array().cast("array<int>")))
-             .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).where("_with <> _block")
-             # only pairs of which one block still has texts outside the main component
+    busy = (large.join(main, "cluster").where("known <> _main").groupBy("cluster").agg(F.collect_set("_block").alias("_busy")))
+    pairs = (large.join(busy, "cluster").withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).where("_with <> _block")
              .where(F.array_contains("_busy", F.col("_block")) | F.array_contains("_busy", F.col("_with")))
              .withColumn("_low", F.least("_block", "_with")).withColumn("_high", F.greatest("_block", "_with")))
-    across = pairs.groupBy("cluster", "_low", "_high").applyInPandas(join, "a long, b long")
-    return within.unionByName(across)
+    links = pairs.groupBy("cluster", "_low", "_high").applyInPandas(across, "a long, b long")
+    own = within.select(F.col("tid").alias("a"), F.col("group").alias("b"))
+    return components(own.unionByName(links)).select(F.col("node").alias("tid"), F.col("component").alias("group"))
 
 
 def similar_texts(docs: DataFrame, k: int, num: int, den: int, text: str = "text") -> DataFrame:
-    """(tid, group): for each text that is similar to another one its id and its group, the smallest id that links reach.
+    """(tid, group): for each text that may be similar to another one its id and its group, the smallest id that links reach.
     A text id is the 64-bit xxhash of the text; that any two of n texts share one has a chance of n * n / 2 ** 65."""
     rows = docs.select(F.xxhash64(text).alias("tid"), F.col(text).alias("text")).where("text IS NOT NULL AND text <> ''")
     clusters = components(candidate_links(rows, k, num, den)).select(F.col("node").alias("tid"), F.col("component").alias("cluster"))
     # copies of a text meet before they are sent
     texts = rows.groupBy("tid").agg(F.first("text").alias("text")).join(durable(clusters), "tid")
-    links = exact_links(texts.select("cluster", "tid", "text"), k, num, den)
-    return components(links).select(F.col("node").alias("tid"), F.col("component").alias("group"))
+    return exact_groups(texts.select("cluster", "tid", "text"), k, num, den)
 
 
 def similarity_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, text: str = "text", id: str = "doc_id") -> DataFrame:

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from detlake.llm import jaccard_join, quality_classifier, suffix_dedup, toxicity
+from detlake.llm import (decontaminate, jaccard_join, license_scan, packing, quality_classifier, quality_rules, sharding,
+                         suffix_dedup, toxicity, url_filter)
 
 _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -73,3 +74,109 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_toxicity")
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+# greedy tiling and packing depend on the order of their steps; SQL cannot express them; brute force is in the tests
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op8_packing")
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"))
+
+
+def _rule_sql() -> str:
+    terms = []
+    for expression, least, most in quality_rules.RULES.values():
+        above, below = expression.split(" / ")
+        terms += [f"coalesce({above} * 1.0e0 / nullif({below}, 0) >= {least}, true)"] * (least is not None)
+        terms += [f"coalesce({above} * 1.0e0 / nullif({below}, 0) <= {most}, true)"] * (most is not None)
+    return " AND ".join(terms)
+
+
+@query("op3_quality_rules", rf"""
+WITH w AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS MATERIALIZED (SELECT doc_id, i, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS g FROM (SELECT doc_id, w, unnest(range(0, len(w) - 2)) AS i FROM w WHERE len(w) >= 3)),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) CROSS JOIN (VALUES (0), (1), (2)) v(k) WHERE c > 1 GROUP BY doc_id),
+m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(translate(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS BIGINT) AS word_chars,
+  CAST(length(t) - length(translate(t, '{quality_rules.SYMBOLS}', '')) AS BIGINT) AS n_symbols, length(t) - length(translate(t, '!?', '')) AS n_marks,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+  len(list_filter(w, lambda x: list_contains({quality_rules.STOP_WORDS}, lower(x)))) AS n_stop, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN r USING (doc_id)),
+x AS (SELECT *, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_rule_sql()} AS kept FROM x""")
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_verdicts(table(spark, folder, "documents"))
+
+
+def _crc_steps() -> list[int]:
+    """What each byte does to a CRC-32."""
+    def step(c: int) -> int:
+        return c >> 1 ^ 0xEDB88320 if c & 1 else c >> 1
+    out = list(range(256))
+    for _ in range(8):
+        out = [step(c) for c in out]
+    return out
+
+
+@query("op4_sharding", f"""
+WITH b AS (SELECT doc_id, source, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+d AS MATERIALIZED (SELECT doc_id, coalesce('=' || source, '') AS stratum, CAST(len(h) // 2 + 8 AS BIGINT) AS size,
+  xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, len(h), 2), lambda i: CAST('0x' || h[i:i + 1] AS BIGINT))),
+      lambda a, x: xor({_crc_steps()}[(xor(a, x) & 255) + 1], a >> 8)), 4294967295) AS text_crc32 FROM b),
+k AS (SELECT *, CAST('0x' || substr(md5('shards:' || doc_id || ':' || text_crc32), 1, 12) AS BIGINT) AS key FROM d),
+r AS (SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id, text_crc32, size) - 0.5e0) / count(*) OVER (PARTITION BY stratum) AS share FROM k),
+p AS (SELECT *, row_number() OVER (ORDER BY share, stratum, key, doc_id, text_crc32, size) - 1 AS i, count(*) OVER () AS n FROM r)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(i * 24 // n AS INTEGER) AS shard, i - (i * 24 // n * n + 23) // 24 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM p""")
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.stratified_shards(table(spark, folder, "documents"))
+
+
+def _url_sql() -> str:
+    fits = [f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}') THEN " for h, _, p in (text.partition("/") for text, _ in _longest())]
+    rule = " ".join(f"{f}'{text}'" for f, (text, _) in zip(fits, _longest()))
+    word = " ".join(f"{f}'{verdict}'" for f, (_, verdict) in zip(fits, _longest()))
+    bad = " OR ".join(f"regexp_matches({_LOWER_URL}, '{url_filter.regex(p)}')" for p in url_filter.PATTERNS)
+    return f"SELECT page_id, host, path, CASE {rule} END AS rule, coalesce(CASE {word} END, CASE WHEN host <> '' AND ({bad}) THEN 'block' END, 'allow') AS verdict FROM h"
+
+
+def _longest() -> list[tuple[str, str]]:
+    return sorted(url_filter.BASE_RULES, key=lambda r: -len(r[0]))
+
+
+_LOWER_URL = "translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op7_url_filter", f"""
+WITH r AS (SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+h AS (SELECT page_id, url, translate(coalesce(regexp_extract(rest, '(?s)^([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  coalesce(regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1), '') AS path FROM r)
+{_url_sql()}""")
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judged(table(spark, folder, "pages"))
+
+
+def _phrase_sql() -> str:
+    return ", ".join("list_filter(range(0, len(w) - {0}), lambda i: {1}) AS p{2}".format(len(p) - 1, " AND ".join(f"w[i + {k + 1}] = '{word}'" for k, word in enumerate(p)), n)
+                     for n, p in enumerate(license_scan.PHRASES.values()))
+
+
+def _template_sql() -> str:
+    return ", ".join("('{}', {})".format(name, sorted({*text.split()})) for name, text in license_scan.TEMPLATES.items())
+
+
+@query("op9_license_scan", rf"""
+WITH d AS MATERIALIZED (SELECT doc_id, {LOWERED} AS t FROM documents),
+w AS (SELECT doc_id, list_filter(string_split_regex(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM d),
+p AS (SELECT doc_id, len(w) AS n, {_phrase_sql()} FROM w),
+b AS (SELECT doc_id, n, flatten([{", ".join(f"p{i}" for i in range(len(license_scan.PHRASES)))}]) AS places,
+  list_filter([{", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{name}' END" for i, name in enumerate(license_scan.PHRASES))}], lambda x: x IS NOT NULL) AS names FROM p),
+l AS (SELECT doc_id, list_filter(string_split_regex(line, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS l FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)),
+f AS (SELECT doc_id, name, len(list_intersect(own, l)) * 1.0e0 / len(own) AS share FROM l CROSS JOIN (VALUES {_template_sql()}) v(name, own) WHERE 100 * len(list_intersect(own, l)) >= 80 * len(own)),
+m AS (SELECT doc_id, list(DISTINCT name) AS more, max(share) AS share FROM f GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base, CAST(list_min(places) AS BIGINT) AS first_word, CAST(list_max(places) AS BIGINT) AS last_word,
+  array_to_string(list_sort(names), ',') AS base_labels, array_to_string(list_sort(list_distinct(list_concat(names, coalesce(more, [])))), ',') AS labels,
+  CASE WHEN len(places) > 0 THEN 1.0e0 ELSE coalesce(share, 0.0e0) END AS score FROM b LEFT JOIN m USING (doc_id)""")
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scanned(table(spark, folder, "documents"))

@@ -65,9 +65,9 @@ def test_large_cluster_in_blocks(spark):
             words[rnd.randrange(300)] = f"n{rnd.randrange(10 ** 6)}"
         texts.append(" ".join(words))
     members = spark.createDataFrame([(0, i, t) for i, t in enumerate(texts)], "cluster long, tid long, text string")
-    whole = J.components(J.exact_links(members, 3, 90, 100)).collect()
-    split = J.components(J.exact_links(members, 3, 90, 100, block=7)).collect()
-    assert sorted(map(tuple, whole)) == sorted(map(tuple, split)) and len(whole) > 2
+    whole = J.exact_groups(members, 3, 90, 100).collect()
+    split = J.exact_groups(members, 3, 90, 100, block=7).collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, split)) and 1 < len({r.group for r in whole}) < len(whole) == 40
 
 
 def test_empty_table(spark):
