@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from detlake.llm import (decontaminate, jaccard_join, license_scan, packing, quality_classifier, quality_rules, sharding,
                          suffix_dedup, toxicity, url_filter)
 
@@ -126,7 +127,8 @@ d AS MATERIALIZED (SELECT doc_id, coalesce('=' || source, '') AS stratum, CAST(l
   xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, len(h), 2), lambda i: CAST('0x' || h[i:i + 1] AS BIGINT))),
       lambda a, x: xor({_crc_steps()}[(xor(a, x) & 255) + 1], a >> 8)), 4294967295) AS text_crc32 FROM b),
 k AS (SELECT *, CAST('0x' || substr(md5('shards:' || doc_id || ':' || text_crc32), 1, 12) AS BIGINT) AS key FROM d),
-r AS (SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id, text_crc32, size) - 0.5e0) / count(*) OVER (PARTITION BY stratum) AS share FROM k),
+r AS (SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id, text_crc32, size) - 1
+  + CAST('0x' || substr(md5('shards:' || stratum), 1, 12) AS BIGINT) / 281474976710656.0e0) / count(*) OVER (PARTITION BY stratum) AS share FROM k),
 p AS (SELECT *, row_number() OVER (ORDER BY share, stratum, key, doc_id, text_crc32, size) - 1 AS i, count(*) OVER () AS n FROM r)
 SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(i * 24 // n AS INTEGER) AS shard, i - (i * 24 // n * n + 23) // 24 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM p""")
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
@@ -180,3 +182,8 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_ba
   CASE WHEN len(places) > 0 THEN 1.0e0 ELSE coalesce(share, 0.0e0) END AS score FROM b LEFT JOIN m USING (doc_id)""")
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scanned(table(spark, folder, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)

@@ -32,7 +32,9 @@ def stratified_shards(docs: DataFrame, shards: int = 24, seed: str = "shards", c
     counts = counts.select("stratum", "cell", (F.sum("n").over(W.partitionBy("stratum").orderBy("cell")) - F.col("n")).alias("before"), F.sum("n").over(W.partitionBy("stratum")).alias("of"))
     rank = F.row_number().over(W.partitionBy("stratum", "cell").orderBy("key", "id", "crc", "size"))
     ranked = rows.withColumn("rank", rank).join(counts, ["stratum", "cell"])
-    ranked = ranked.withColumn("share", (F.col("before") + F.col("rank") - 0.5) / F.col("of")).withColumn("band", F.floor(F.col("share") * F.lit(float(cells))))
+    # each source starts at a seeded place of its own, so small sources of equal size do not fall together
+    offset = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("stratum")).cast("binary")), 1, 12), 16, 10).cast("long") / F.lit(float(1 << 48))
+    ranked = ranked.withColumn("share", (F.col("before") + F.col("rank") - 1 + offset) / F.col("of")).withColumn("band", F.floor(F.col("share") * F.lit(float(cells))))
     bands = ranked.groupBy("band").agg(F.count("*").alias("n"))
     # one row a band: about total / cell_rows rows
     bands = bands.select("band", (F.sum("n").over(W.orderBy("band")) - F.col("n")).alias("ahead"))

@@ -76,7 +76,8 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, length: int, powers: tuple)
     keys = rank * (n + 1) + heads
     order = np.argsort(keys)
     own = order[np.searchsorted(keys[order], np.searchsorted(values, grams[at]) * (n + 1) + at, "right") - 1]
-    return at, grams[at], np.maximum(heads[own], at - width + 1), np.minimum(tails[own], at)
+    # smallest hashes crowd near zero; mixed again they deal evenly
+    return at, mix(grams[at]), np.maximum(heads[own], at - width + 1), np.minimum(tails[own], at)
 
 
 def text_anchors(data: np.ndarray, offsets: np.ndarray, length: int, powers: tuple) -> Iterator[tuple]:
