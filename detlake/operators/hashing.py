@@ -1,8 +1,9 @@
 """Content hashes and ids for reuse of built tables.
 
-`directory_hash` and `split_hash` concatenate one digest line per file, exactly as defined. For folders beyond one
-task's reach there are the two-level forms: a digest per range of names, then a digest over those; same idea, own
-algorithm name, stable here.
+Hashes over many lines are trees with one rule for every size, named in the column `algorithm`: each line falls into one of
+a fixed number of leaves by the MD5 of its own key, a leaf is the SHA-256 of its lines in key order, and the hash is the
+SHA-256 of the leaves' names and digests. A key's hash thus depends on its own lines alone, and no task needs more than a
+leaf of one key.
 """
 
 from __future__ import annotations
@@ -13,8 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from detlake.functions.text import canonical_double
-from detlake.operators.ordering import global_index
-from detlake.operators.skew import by_group_size
 from detlake.operators.splits import SPLITS
 
 # fixed values: settings that shape tiles, in sorted order, and the algorithm version folded into their hash
@@ -24,7 +23,9 @@ TILING_ALGORITHM_VERSION = 1
 SCHEMA_VERSION = 1
 LAYOUT_VERSION = 1
 EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
-TREE_ROWS = 100_000
+# leaves are named by so many hexadecimal digits of the key's MD5
+LEAF_DIGITS = 3
+ALGORITHM = "sha256-tree-4096"
 
 
 def sha_text(c: Column) -> Column:
@@ -35,29 +36,20 @@ def file_hash(files: DataFrame, content: str = "content") -> DataFrame:
     return files.withColumn("sha256", F.sha2(F.col(content).cast("binary"), 256))
 
 
-def _tree(rows: DataFrame, keys: Sequence[str], line: str, order: Sequence[str], leaf_rows: int = TREE_ROWS) -> DataFrame:
-    """SHA-256 over the ordered lines of each key. Keys with at most `leaf_rows` lines are hashed exactly; beyond that
-    each run of `leaf_rows` lines is hashed by itself and the level repeats on the digests."""
+def _tree(rows: DataFrame, keys: Sequence[str], line: str, order: Sequence[str]) -> DataFrame:
+    """Tree SHA-256 over the lines of each key; `order` tells the lines of a key apart."""
     keys = list(keys)
-
-    def exact(part: DataFrame) -> DataFrame:
-        text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, line))), lambda e: e[line]), "")
-        return part.groupBy(*keys).agg(sha_text(text).alias("sha256"))
-
-    def tree(part: DataFrame) -> DataFrame:
-        pos = global_index(part, [F.col(c) for c in (*keys, *order)], "_pos", start=0)
-        leaf = F.floor(F.col("_pos") / F.lit(leaf_rows)).alias("_leaf")
-        text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", line))), lambda e: e[line]), "")
-        level = pos.groupBy(*keys, leaf).agg(sha_text(text).alias("_digest"))
-        return _tree(level.select(*keys, "_leaf", F.concat("_digest", F.lit("\n")).alias("_digest")), keys, "_digest", ["_leaf"], leaf_rows)
-
-    return by_group_size(rows.select(*keys, *order, line), keys, leaf_rows, exact, tree)
+    leaf = F.substring(F.md5(F.concat_ws("\x1f", *[F.col(c).cast("string") for c in order]).cast("binary")), 1, LEAF_DIGITS)
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, line))), lambda e: e[line]), "")
+    leaves = rows.select(*keys, *order, line, leaf.alias("_leaf")).groupBy(*keys, "_leaf").agg(sha_text(lines).alias("_digest"))
+    names = F.transform(F.array_sort(F.collect_list(F.struct("_leaf", "_digest"))), lambda e: F.concat(e["_leaf"], F.lit(":"), e["_digest"], F.lit("\n")))
+    return leaves.groupBy(*keys).agg(sha_text(F.array_join(names, "")).alias("sha256"))
 
 
 def directory_hash(files: DataFrame, root: str = "root", relpath: str = "relpath", content: str = "content") -> DataFrame:
     """SHA-256 over the sorted lines `relpath NUL filehash LF` of each root."""
     line = F.concat(F.col(relpath), F.lit("\x00"), F.sha2(F.col(content).cast("binary"), 256), F.lit("\n"))
-    return _tree(files.select(root, relpath, line.alias("_line")), [root], "_line", [relpath])
+    return _tree(files.select(root, relpath, line.alias("_line")), [root], "_line", [relpath]).withColumn("algorithm", F.lit(ALGORITHM))
 
 
 def dataset_hash(files: DataFrame, annotations: DataFrame, strict: bool = False) -> DataFrame:
@@ -69,7 +61,8 @@ def dataset_hash(files: DataFrame, annotations: DataFrame, strict: bool = False)
     ann = _tree(annotations.select("dataset_id", "split", "ann_id", F.concat(F.lit("ANN:"), "split", "row_json", F.lit("\n")).alias("_line")),
                 ["dataset_id"], "_line", ["split", "ann_id"]).withColumnRenamed("sha256", "_ann")
     both = img.join(ann, "dataset_id", "full")
-    return both.select("dataset_id", sha_text(F.concat(F.coalesce("_ann", F.lit("")), F.lit("|"), F.coalesce("_img", F.lit("")))).alias("dataset_hash"))
+    return both.select("dataset_id", sha_text(F.concat(F.coalesce("_ann", F.lit("")), F.lit("|"), F.coalesce("_img", F.lit("")))).alias("dataset_hash"),
+                       F.lit(ALGORITHM).alias("algorithm"))
 
 
 def migration_hash(files: DataFrame, annotations: DataFrame) -> DataFrame:
@@ -79,17 +72,15 @@ def migration_hash(files: DataFrame, annotations: DataFrame) -> DataFrame:
     ann = _tree(annotations.select("dataset_id", "split", "ann_id", F.col("row_json").alias("_line")), ["dataset_id"], "_line",
                 ["split", "ann_id"]).withColumnRenamed("sha256", "_ann")
     both = img.join(ann, "dataset_id", "full")
-    return both.select("dataset_id", sha_text(F.concat(F.coalesce("_ann", F.lit("")), F.coalesce("_img", F.lit("")))).alias("content_hash"))
+    return both.select("dataset_id", sha_text(F.concat(F.coalesce("_ann", F.lit("")), F.coalesce("_img", F.lit("")))).alias("content_hash"),
+                       F.lit(ALGORITHM).alias("algorithm"))
 
 
 def split_hash(images: DataFrame) -> DataFrame:
-    """Per dataset, over the sorted file names of each split in fixed split order; boxes do not matter."""
-    rank = F.array_position(F.array(*[F.lit(s) for s in SPLITS]), F.col("split")).cast("int")
-    names = images.select("dataset_id", rank.alias("_s"), F.col("file_name").alias("_n"), F.concat(F.lit("\x00"), F.col("file_name")).alias("_line"))
-    heads = images.select("dataset_id").distinct().select("dataset_id", F.explode(F.array(*[
-        F.struct(F.lit(i + 1).alias("_s"), F.lit("").alias("_n"), F.lit(f"SPLIT:{s}").alias("_line")) for i, s in enumerate(SPLITS)])).alias("h"))
-    rows = names.unionByName(heads.select("dataset_id", "h.*"))
-    return _tree(rows, ["dataset_id"], "_line", ["_s", "_n"]).withColumnRenamed("sha256", "split_hash")
+    """Per dataset, over the file names of each split; boxes do not matter."""
+    names = images.select("dataset_id", F.col("split").alias("_s"), F.col("file_name").alias("_n"), F.concat("split", F.lit("\x00"), "file_name", F.lit("\n")).alias("_line"))
+    out = _tree(names.where(F.col("_s").isin(list(SPLITS))), ["dataset_id"], "_line", ["_s", "_n"]).withColumnRenamed("sha256", "split_hash")
+    return out.withColumn("algorithm", F.lit(ALGORITHM))
 
 
 def config_hash(config: Column, fields: Mapping[str, str]) -> Column:

@@ -31,7 +31,7 @@ def mission_report(frames: DataFrame, objects: DataFrame, expected_frames: int =
     names = ["foreign", "tiny", "huge", "good", *[f"n_{c}" for c in CLASSES]]
     rows = frames.join(per_frame, "image_id", "left").select("*", *[F.coalesce(n, F.lit(0)).alias(f"_{n}") for n in names]).drop(*names)
     use = F.col("usable")
-    bad_height = use & (F.abs(F.col("height_asl_m") - height_m) > height_tol)
+    bad_height = use & (F.abs(F.coalesce("height_asl_m", F.lit(0.0)) - height_m) > height_tol)
     bad_pitch = use & (F.abs(F.coalesce("pitch_deg", F.lit(0.0))) > max_pitch)
     out = rows.groupBy("mission_id").agg(
         F.count(F.lit(1)).alias("frames_seen"), F.count_if(use).alias("usable_frames"), F.count_if(~use).alias("invalid_frames"),

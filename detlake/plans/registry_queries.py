@@ -199,15 +199,19 @@ def file_hash(t: Tables):
     return hashing.file_hash(t.view("sub_files")).select("root", "relpath", "sha256")
 
 
-@query("directory_hash", "SELECT root, sha256(string_agg(relpath || chr(0) || sha256(content) || chr(10), '' ORDER BY relpath)) AS sha256 FROM sub_files GROUP BY root")
+def _tree_sql(rows: str, key: str, line: str, order: tuple[str, ...]) -> str:
+    """The hash tree as SQL: leaves by the MD5 of the key, then one digest over all leaves."""
+    by = ", ".join(order)
+    leaves = f"SELECT {key}, substr(md5(concat_ws(chr(31), {by})), 1, 3) AS leaf, sha256(string_agg({line}, '' ORDER BY {by})) AS digest FROM {rows} GROUP BY ALL"
+    return f"(SELECT {key}, sha256(string_agg(leaf || ':' || digest || chr(10), '' ORDER BY leaf)) AS sha256 FROM ({leaves}) GROUP BY {key})"
+
+
+@query("directory_hash", f"SELECT root, sha256, '{hashing.ALGORITHM}' AS algorithm FROM {_tree_sql('sub_files', 'root', 'relpath || chr(0) || sha256(content) || chr(10)', ('relpath',))}")
 def directory_hash(t: Tables):
     return hashing.directory_hash(t.view("sub_files"))
 
 
-@query("split_hash", """
-SELECT dataset_id, sha256('SPLIT:train' || coalesce(string_agg(chr(0) || file_name, '' ORDER BY file_name) FILTER (WHERE split = 'train'), '')
-  || 'SPLIT:val' || coalesce(string_agg(chr(0) || file_name, '' ORDER BY file_name) FILTER (WHERE split = 'val'), '')
-  || 'SPLIT:test' || coalesce(string_agg(chr(0) || file_name, '' ORDER BY file_name) FILTER (WHERE split = 'test'), '')) AS split_hash FROM orc_split_images GROUP BY dataset_id""")
+@query("split_hash", f"SELECT dataset_id, sha256 AS split_hash, '{hashing.ALGORITHM}' AS algorithm FROM {_tree_sql('orc_split_images', 'dataset_id', 'split || chr(0) || file_name || chr(10)', ('split', 'file_name'))}")
 def split_hash(t: Tables):
     return hashing.split_hash(with_split(t.view("sub_images")))
 
@@ -220,19 +224,24 @@ def _hash_inputs(t: Tables):
     return files, anns.select("dataset_id", "split", "ann_id", row.alias("row_json"))
 
 
-_HASHED = """(SELECT a.dataset_id, {a} AS h1, {i} AS h2 FROM (
-  SELECT dataset_id, {al} AS ah FROM (SELECT i.dataset_id, split, ann_id, concat_ws(';', ann_id, a.image_id, category_id, x::bigint, y::bigint, w::bigint, h::bigint) AS row_json FROM sub_annotations a JOIN orc_split_images i ON a.image_id = i.image_id) GROUP BY dataset_id) a
-  JOIN (SELECT dataset_id, {il} AS ih FROM (SELECT dataset_id, split || '/' || file_name AS relpath, width * height AS length FROM orc_split_images) GROUP BY dataset_id) i ON a.dataset_id = i.dataset_id)"""
-_TAGGED = _HASHED.format(a="ah", i="ih", al="sha256(string_agg('ANN:' || split || row_json || chr(10), '' ORDER BY split, ann_id))", il="sha256(string_agg('IMG:' || relpath || length || chr(10), '' ORDER BY relpath))")
-_BARE = _HASHED.format(a="ah", i="ih", al="sha256(string_agg(row_json, '' ORDER BY split, ann_id))", il="sha256(string_agg(relpath || length, '' ORDER BY relpath))")
+def _both_sql(annotation: str, image: str) -> str:
+    rows = """(SELECT i.dataset_id, split, ann_id, concat_ws(';', ann_id, a.image_id, category_id, x::bigint, y::bigint, w::bigint, h::bigint) AS row_json
+      FROM sub_annotations a JOIN orc_split_images i ON a.image_id = i.image_id)"""
+    files = "(SELECT dataset_id, split || '/' || file_name AS relpath, width * height AS length FROM orc_split_images)"
+    return (f"(SELECT dataset_id, a.sha256 AS h1, i.sha256 AS h2, '{hashing.ALGORITHM}' AS algorithm FROM {_tree_sql(rows, 'dataset_id', annotation, ('split', 'ann_id'))} a "
+            f"JOIN {_tree_sql(files, 'dataset_id', image, ('relpath',))} i USING (dataset_id))")
+
+
+_TAGGED = _both_sql("'ANN:' || split || row_json || chr(10)", "'IMG:' || relpath || length || chr(10)")
+_BARE = _both_sql("row_json", "relpath || length")
 
 
-@query("dataset_hash", f"SELECT dataset_id, sha256(h1 || '|' || h2) AS dataset_hash FROM {_TAGGED}")
+@query("dataset_hash", f"SELECT dataset_id, sha256(h1 || '|' || h2) AS dataset_hash, algorithm FROM {_TAGGED}")
 def dataset_hash(t: Tables):
     return hashing.dataset_hash(*_hash_inputs(t))
 
 
-@query("migration_hash", f"SELECT dataset_id, sha256(h1 || h2) AS content_hash FROM {_BARE}")
+@query("migration_hash", f"SELECT dataset_id, sha256(h1 || h2) AS content_hash, algorithm FROM {_BARE}")
 def migration_hash(t: Tables):
     return hashing.migration_hash(*_hash_inputs(t))
 

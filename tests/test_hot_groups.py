@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from detlake.operators import fragments, hashing, matching, ordering, skew, suppress
+from detlake.operators import fragments, matching, ordering, skew, suppress
 
 CORNERS = ["x1", "y1", "x2", "y2"]
 
@@ -173,13 +173,3 @@ def test_nest_keeps_everything(spark):
     out = skew.nest(df, ["k"], F.col("v"), [F.col("v")], "vs", chunk_rows=20).collect()
     assert sorted(v for r in out for v in r["vs"]) == list(range(100))
     assert len([r for r in out if r["k"] == 1]) > 1 and all(r["vs"] == sorted(r["vs"]) for r in out)
-
-
-def test_tree_hash_is_stable(spark):
-    df = spark.createDataFrame([("r", f"f{i:03d}", f"text {i}") for i in range(50)], "root string, relpath string, content string")
-    line = F.concat("relpath", F.lit("\n")).alias("_line")
-    rows = df.select("root", "relpath", line)
-    a = hashing._tree(rows, ["root"], "_line", ["relpath"], leaf_rows=7).first()["sha256"]
-    b = hashing._tree(rows.repartition(3), ["root"], "_line", ["relpath"], leaf_rows=7).first()["sha256"]
-    exact = hashing._tree(rows, ["root"], "_line", ["relpath"]).first()["sha256"]
-    assert a == b and a != exact

@@ -126,10 +126,18 @@ def test_hashes_match_hashlib(spark):
     import hashlib
     files = {"b.txt": "two", "a/x.txt": "one"}
     df = spark.createDataFrame([("r", k, v) for k, v in files.items()], "root string, relpath string, content string")
-    h = hashlib.sha256()
+    leaves = {}
     for k in sorted(files):
-        h.update(k.encode() + b"\0" + hashlib.sha256(files[k].encode()).hexdigest().encode() + b"\n")
-    assert hashing.directory_hash(df).first()["sha256"] == h.hexdigest()
+        leaves.setdefault(hashlib.md5(k.encode()).hexdigest()[:3], []).append(k + "\0" + hashlib.sha256(files[k].encode()).hexdigest() + "\n")
+    text = "".join(f"{n}:{hashlib.sha256(''.join(leaves[n]).encode()).hexdigest()}\n" for n in sorted(leaves))
+    assert hashing.directory_hash(df).first()["sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_hash_of_a_root_depends_on_its_own_files(spark):
+    own = [("r", f"f{i:03d}", f"text {i}") for i in range(50)]
+    more = [("q", f"g{i:03d}", f"text {i}") for i in range(37)]
+    of = lambda rows, n: {r["root"]: r["sha256"] for r in hashing.directory_hash(spark.createDataFrame(rows, "root string, relpath string, content string").repartition(n)).collect()}
+    assert of(own, 1)["r"] == of(own[::-1] + more, 4)["r"] != of(own[1:], 2)["r"]
 
 
 def test_retention(spark):
