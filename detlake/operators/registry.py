@@ -22,13 +22,23 @@ class IntegrityError(ValueError):
     pass
 
 
+def _once(rows: DataFrame, keys: Sequence[str]) -> None:
+    """Raise for a key that comes twice."""
+    twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).limit(1).collect()
+    if twice:
+        raise IntegrityError(f"duplicate key {tuple(twice[0])[:len(keys)]}")
+
+
 def upsert(table: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Table with changed rows replaced as a whole. `order` ranks several changes of one key, the last one wins; the
-    winner is an aggregate, so a key with very many changes combines before the shuffle."""
+    winner is an aggregate, so a key with very many changes combines before the shuffle. Without `order` a key that comes
+    twice is an error."""
     keys = list(keys)
     rest = [c for c in table.columns if c not in keys]
     latest = changes
-    if order:
+    if not order:
+        _once(changes, keys)
+    else:
         best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
         latest = changes.groupBy(*keys).agg(best).select(*keys, "_row.*")
     kept = table.join(latest.select(*keys), keys, "left_anti")
@@ -41,9 +51,9 @@ replace_rows = upsert
 def insert_unique(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Append; a key that exists already, or twice among the new rows, is an error."""
     clash = rows.join(table.select(*keys), list(keys), "left_semi").select(*keys).limit(1).collect()
-    twice = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).limit(1).collect()
-    if clash or twice:
-        raise IntegrityError(f"duplicate key {tuple((clash or twice)[0])[:len(keys)]}")
+    if clash:
+        raise IntegrityError(f"duplicate key {tuple(clash[0])[:len(keys)]}")
+    _once(rows, keys)
     return table.unionByName(rows.select(*table.columns))
 
 
@@ -55,8 +65,9 @@ def key_clashes(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataF
 def patch(table: DataFrame, changes: DataFrame, key: str, columns: Sequence[str], strict: bool = True) -> DataFrame:
     """Overwrite only the columns a change provides (not null). A change for an unknown key is an error.
 
-    One change row per key. Null cannot be set.
+    A key with two changes is an error. Null cannot be set.
     """
+    _once(changes, [key])
     if strict:
         lost = changes.join(table.select(key), key, "left_anti").select(key).limit(1).collect()
         if lost:
@@ -171,7 +182,7 @@ def register_artifacts(files: DataFrame, summaries: DataFrame) -> dict[str, Data
 
 def create_runs(runs: DataFrame, wanted: DataFrame, datasets: DataFrame, replace: bool = False) -> DataFrame:
     """Runs table with the wanted runs: existing ones stay unless `replace`; unknown dataset ids become null."""
-    known = datasets.select("dataset_id", F.lit(True).alias("_known"))
+    known = datasets.select("dataset_id").distinct().withColumn("_known", F.lit(True))
     linked = wanted.join(known, "dataset_id", "left").withColumn("dataset_id", F.when(F.col("_known"), F.col("dataset_id")))
     fresh = linked.select(*[F.col(c) if c in wanted.columns else F.lit(None).cast(t).alias(c) for c, t in runs.dtypes])
     if replace:

@@ -27,4 +27,4 @@ def jobs() -> dict[str, Callable]:
 
 
 def oracles() -> dict[str, str]:
-    return {name: with_views(sql) for name, (_, sql) in _REGISTRY.items() if sql}
+    return {name: with_views(sql, once=True) for name, (_, sql) in _REGISTRY.items() if sql}

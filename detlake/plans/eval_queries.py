@@ -70,19 +70,19 @@ def fragment_components(t: Tables):
 
 
 @query("fuse_components", """
-WITH f AS (SELECT image_id, class_id, component, count(*) AS n, max(confidence) AS confidence, min(x1) AS x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2,
+WITH f AS (SELECT image_id, class_id, component, first(det_id ORDER BY confidence DESC, det_id) AS head, count(*) AS n, max(confidence) AS confidence, min(x1) AS x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2,
     sum((x2 - x1) * (y2 - y1)) AS sa FROM orc_components GROUP BY ALL),
  g AS (SELECT *, n = 1 OR (greatest((x2 - x1) / (y2 - y1), (y2 - y1) / (x2 - x1)) <= 30 AND (x2 - x1) * (y2 - y1) / sa <= 50) AS good FROM f)
-SELECT image_id, class_id, component AS det_id, confidence, x1, y1, x2, y2, CASE WHEN n > 1 THEN 'merged' ELSE 'tile' END AS source, n AS num_members FROM g WHERE good
+SELECT image_id, class_id, head AS det_id, confidence, x1, y1, x2, y2, CASE WHEN n > 1 THEN 'merged' ELSE 'tile' END AS source, n AS num_members FROM g WHERE good
 UNION ALL SELECT c.image_id, c.class_id, c.det_id, c.confidence, c.x1, c.y1, c.x2, c.y2, 'tile', 1 FROM orc_components c JOIN g USING (image_id, class_id, component) WHERE NOT good""")
 def fuse_components(t: Tables):
-    return fragments.fuse_components(_components(t)).drop("inference_time")
+    return fragments.fuse_components(_components(t)).drop("inference_time", "component")
 
 
 @query("merged_from", """
-WITH f AS (SELECT image_id, class_id, component, count(*) AS n, min(x1) AS x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2,
+WITH f AS (SELECT image_id, class_id, component, first(det_id ORDER BY confidence DESC, det_id) AS head, count(*) AS n, min(x1) AS x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2,
     sum((x2 - x1) * (y2 - y1)) AS sa FROM orc_components GROUP BY ALL)
-SELECT c.image_id, c.class_id, c.component AS det_id, c.det_id AS member_id FROM orc_components c JOIN f USING (image_id, class_id, component)
+SELECT c.image_id, c.class_id, head AS det_id, c.det_id AS member_id FROM orc_components c JOIN f USING (image_id, class_id, component)
 WHERE n > 1 AND greatest((f.x2 - f.x1) / (f.y2 - f.y1), (f.y2 - f.y1) / (f.x2 - f.x1)) <= 30 AND (f.x2 - f.x1) * (f.y2 - f.y1) / sa <= 50""")
 def merged_from(t: Tables):
     members = _components(t)

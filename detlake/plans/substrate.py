@@ -289,12 +289,13 @@ def _needed(text: str, seen: list[str], open_: tuple[str, ...] = ()) -> list[str
     return seen
 
 
-def with_views(text: str) -> str:
-    """`text` behind a WITH clause of every view it uses, directly or not."""
+def with_views(text: str, once: bool = False) -> str:
+    """`text` behind a WITH clause of every view it uses, directly or not. `once`: in DuckDB's words, each view is computed
+    one time, however often it is used."""
     names = _needed(text, [])
     if not names:
         return text.strip()
-    ctes = ",\n".join(f"{n} AS ({_ALL[n].strip()})" for n in names)
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if once and n != 'orc_reach' else ''}({_ALL[n].strip()})" for n in names)
     body = text.strip()
     head = "WITH RECURSIVE" if "orc_reach" in names else "WITH"
     return f"{head} {ctes},\n{body[5:]}" if body[:5].upper() == "WITH " else f"{head} {ctes}\n{body}"
