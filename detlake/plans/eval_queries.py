@@ -40,14 +40,49 @@ def nms_capped(t: Tables):
     return _nms(t, 3).select("image_id", "class_id", "det_id", "confidence")
 
 
-@query("soft_nms")
+def _iou_sql(a: str, b: str) -> str:
+    wide = f"greatest(0, least({a}.x2, {b}.x2) - greatest({a}.x1, {b}.x1))"
+    high = f"greatest(0, least({a}.y2, {b}.y2) - greatest({a}.y1, {b}.y1))"
+    area = lambda k: f"({k}.x2 - {k}.x1) * ({k}.y2 - {k}.y1)"
+    return f"(CASE WHEN {wide} * {high} > 0 THEN {wide} * {high} / ({area(a)} + {area(b)} - {wide} * {high}) ELSE 0::double END)"
+
+
+# one turn for each member: the best living entry leaves, what it overlaps fades
+_SOFT = f"""
+WITH l AS (SELECT image_id, class_id, list({{neg: -confidence, det_id: det_id, x1: x1, y1: y1, x2: x2, y2: y2}} ORDER BY confidence DESC, det_id) AS l FROM sub_detections GROUP BY image_id, class_id),
+t AS (SELECT image_id, class_id, unnest(list_reduce(list_prepend({{alive: l, gone: l[1:0]}}, list_transform(l, lambda e: {{alive: l[1:0], gone: l[1:0]}})),
+  lambda s, x: list_transform([list_sort(s.alive)[1]], lambda b: {{
+    alive: list_transform(list_filter(s.alive, lambda e: e.det_id <> b.det_id), lambda e: {{
+      neg: CASE WHEN {_iou_sql("b", "e")} > 0.5::double THEN e.neg * exp(-({_iou_sql("b", "e")} * {_iou_sql("b", "e")}) / 0.5::double) ELSE e.neg END,
+      det_id: e.det_id, x1: e.x1, y1: e.y1, x2: e.x2, y2: e.y2}}),
+    gone: s.gone || [b]}})[1]).gone) AS g FROM l)
+SELECT image_id, class_id, g.det_id AS det_id, round(-g.neg, 6) AS confidence, g.x1 AS x1, g.y1 AS y1, g.x2 AS x2, g.y2 AS y2 FROM t WHERE -g.neg >= 0.001::double"""
+
+
+@query("soft_nms", _SOFT)
 def soft_nms(t: Tables):
-    return suppress.postprocess(_dets(t), "soft_nms", 0.5, 0.001)
+    return suppress.postprocess(_dets(t), "soft_nms", 0.5, 0.001).withColumn("confidence", F.round("confidence", 6))
 
 
-@query("wbf")
+_SIDES = ("x1", "y1", "x2", "y2")
+_OPENED = "{{n: 1, conf: -{e}.neg, ids: [{e}.det_id], " + ", ".join(f"{c}: {{e}}.{c}, w{c}: {{e}}.{c} * -{{e}}.neg, p{c}: {{e}}.{c}" for c in _SIDES) + "}}"
+_JOINED = ("{n: k.n + 1, conf: k.conf - x.e.neg, ids: k.ids || [x.e.det_id], " + ", ".join(
+    f"{c}: CASE WHEN k.conf - x.e.neg > 0 THEN (k.w{c} + x.e.{c} * -x.e.neg) / (k.conf - x.e.neg) ELSE (k.p{c} + x.e.{c}) / (k.n + 1) END, "
+    f"w{c}: k.w{c} + x.e.{c} * -x.e.neg, p{c}: k.p{c} + x.e.{c}" for c in _SIDES) + "}")
+# the first cluster that reaches the threshold takes a detection, else it opens one
+_WBF = f"""
+WITH l AS (SELECT image_id, class_id, list({{neg: -confidence, det_id: det_id, x1: x1, y1: y1, x2: x2, y2: y2}} ORDER BY confidence DESC, det_id) AS l
+  FROM sub_detections WHERE confidence >= {_SCORE}::double GROUP BY image_id, class_id),
+t AS (SELECT image_id, class_id, unnest(list_reduce(list_prepend({{ks: [{_OPENED.format(e="l[1]")}][1:0], e: l[1]}}, list_transform(l, lambda e: {{ks: [{_OPENED.format(e="e")}][1:0], e: e}})),
+  lambda s, x: {{ks: list_transform([coalesce(list_position(list_transform(s.ks, lambda k: {_iou_sql("k", "x.e")} >= 0.55::double), true), 0)], lambda p:
+    CASE WHEN p = 0 THEN s.ks || [{_OPENED.format(e="x.e")}] ELSE list_transform(s.ks, lambda k, i: CASE WHEN i = p THEN {_JOINED} ELSE k END) END)[1], e: x.e}}).ks) AS k FROM l)
+SELECT image_id, class_id, k.ids[1] AS det_id, round(k.conf / k.n, 6) AS confidence, {", ".join(f"round(k.{c}, 6) AS {c}" for c in _SIDES)}, 'wbf' AS source, array_to_string(k.ids, ',') AS merged_from FROM t"""
+
+
+@query("wbf", _WBF)
 def wbf(t: Tables):
-    return suppress.postprocess(_dets(t), "wbf", 0.55, _SCORE)
+    out = suppress.postprocess(_dets(t), "wbf", 0.55, _SCORE)
+    return out.select("image_id", "class_id", "det_id", *[F.round(c, 6).alias(c) for c in ("confidence", *_SIDES)], "source", F.array_join(F.col("merged_from").cast("array<string>"), ",").alias("merged_from"))
 
 
 _EDGES = "SELECT image_id, class_id, src, dst FROM orc_edges"
