@@ -133,7 +133,7 @@ def tile_manifest_entries(pictures: DataFrame, annotations: DataFrame, new_annot
 
 
 def tile_manifest(pictures: DataFrame, entries: DataFrame) -> DataFrame:
-    """Manifest record per output picture (several chunks for pictures of hot images)."""
+    """Manifest record per output picture; `tile_manifest_entries` is its long form."""
     item = F.struct("ann_id", "new_annotation_id", "visible_ratio")
     lists = nest(entries, ["split", "new_image_id"], item, [F.col("ann_id")], "_items")
     kept = F.filter("_items", lambda e: e["new_annotation_id"].isNotNull())
@@ -142,17 +142,17 @@ def tile_manifest(pictures: DataFrame, entries: DataFrame) -> DataFrame:
     ids = F.transform("_kept", lambda e: e["ann_id"])
     lost_ids = F.transform("_lost", lambda e: e["ann_id"])
     lists = lists.select(
-        "split", "new_image_id", "chunk", ids.alias("kept_source_annotation_ids"),
+        "split", "new_image_id", ids.alias("kept_source_annotation_ids"),
         F.transform("_kept", lambda e: e["new_annotation_id"]).alias("kept_annotation_ids"),
         lost_ids.alias("dropped_annotation_ids"),
         F.map_from_arrays(ids, F.transform("_kept", lambda e: e["visible_ratio"])).alias("visible_ratios"),
         F.map_from_arrays(lost_ids, F.transform("_lost", lambda _: F.lit(DROP_ANNOTATION_REASON))).alias(
             "drop_reasons"))
     out = pictures.join(lists, ["split", "new_image_id"], "left")
-    empty_ids, zero = F.array().cast("array<bigint>"), F.lit(0)
+    empty_ids = F.array().cast("array<bigint>")
     for name in ("kept_source_annotation_ids", "kept_annotation_ids", "dropped_annotation_ids"):
         out = out.withColumn(name, F.coalesce(F.col(name), empty_ids))
-    return out.withColumn("chunk", F.coalesce("chunk", zero))
+    return out
 
 
 def enrichment_summary(images: DataFrame, annotations: DataFrame, cfg: Settings = Settings()) -> DataFrame:

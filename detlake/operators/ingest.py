@@ -114,11 +114,10 @@ def yolo_rows(frames: DataFrame, objects: DataFrame, tiers: Sequence[str] = QUAL
 
 
 def yolo_files(frames: DataFrame, rows: DataFrame) -> DataFrame:
-    """Label text per frame (in chunks for frames with very many objects); empty text for frames without lines."""
+    """Label text per frame; empty text for frames without lines. `yolo_rows` is its long form."""
     lists = nest(rows, ["frame_id"], F.col("line"), [F.col("object_id")], "_lines")
     out = frames.select("frame_id").join(lists, "frame_id", "left")
-    return out.select("frame_id", F.coalesce("chunk", F.lit(0)).alias("chunk"),
-                      F.coalesce(F.array_join("_lines", "\n"), F.lit("")).alias("text"))
+    return out.select("frame_id", F.coalesce(F.array_join("_lines", "\n"), F.lit("")).alias("text"))
 
 
 def classify_category_set(categories: DataFrame) -> DataFrame:
@@ -248,8 +247,7 @@ def index_by_image(images: DataFrame, annotations: DataFrame) -> DataFrame:
     """Image -> its annotation ids; images without any get an empty list, annotations of unknown images stay listed."""
     lists = nest(annotations, ["image_id"], F.col("ann_id"), [F.col("ann_id")], "ann_ids")
     out = images.select("image_id").join(lists, "image_id", "full")
-    return out.select("image_id", F.coalesce("chunk", F.lit(0)).alias("chunk"),
-                      F.coalesce("ann_ids", F.array().cast("array<bigint>")).alias("ann_ids"))
+    return out.select("image_id", F.coalesce("ann_ids", F.array().cast("array<bigint>")).alias("ann_ids"))
 
 
 def num_classes(categories: DataFrame, datasets: DataFrame) -> DataFrame:

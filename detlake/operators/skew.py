@@ -38,24 +38,10 @@ def by_group_size(df: DataFrame, keys: Sequence[str], limit: int, small: Callabl
     return out if hot is None else out.unionByName(large(hot).select(*out.columns))
 
 
-def nest(df: DataFrame, keys: Sequence[str], item: Column, order: Sequence[Column], name: str,
-         chunk_rows: int = WINDOW_ROWS) -> DataFrame:
-    """One list of `item` structs per key, ordered by `order`; keys above `chunk_rows` get several numbered chunks.
-
-    Columns: keys, chunk (0 for ordinary keys), `name`. Nothing is dropped: a hot key spreads over as many rows,
-    and so tasks, as it needs. Chunks of a hot key follow a hash of the order columns.
-    """
+def nest(df: DataFrame, keys: Sequence[str], item: Column, order: Sequence[Column], name: str) -> DataFrame:
+    """One list of `item` structs per key, ordered by `order`: the export form, always one row per key. The rows themselves
+    (the long form) are the product for keys of any size."""
     keys = list(keys)
     entry = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], item.alias("_v"))
-
-    def gather(part: DataFrame) -> DataFrame:
-        lists = part.groupBy(*keys, "chunk").agg(F.array_sort(F.collect_list("_e")).alias("_l"))
-        return lists.select(*keys, "chunk", F.transform("_l", lambda e: e["_v"]).alias(name))
-
-    def large(hot: DataFrame) -> DataFrame:
-        sizes = hot.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        chunks = F.ceil(F.col("_n") / F.lit(chunk_rows))
-        return gather(hot.join(sizes, keys).withColumn("chunk", F.pmod(F.xxhash64("_e"), chunks).cast("int")))
-
-    slim = df.select(*keys, entry.alias("_e"))
-    return by_group_size(slim, keys, chunk_rows, lambda d: gather(d.withColumn("chunk", F.lit(0))), large)
+    lists = df.select(*keys, entry.alias("_e")).groupBy(*keys).agg(F.array_sort(F.collect_list("_e")).alias("_l"))
+    return lists.select(*keys, F.transform("_l", lambda e: e["_v"]).alias(name))

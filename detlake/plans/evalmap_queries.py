@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from detlake.operators import evalmap, metrics
-from detlake.operators.splits import with_split
+from detlake.operators.splits import SPLITS, with_split
 from detlake.plans.catalog import query
 from detlake.plans.substrate import Tables
 from detlake.session import work_folder
@@ -123,3 +123,88 @@ def tolerant_events(t: Tables):
     torn = F.when(F.col("seq") % 20 == 0, F.substring(line, 1, 15)).otherwise(line)
     e.select(torn.alias("value")).write.text(f"{root}/log")
     return readers.read_events_tolerant(t.spark, f"{root}/log")[0].select("total", "run_id", "status")
+
+
+_ENTRIES = """WITH a AS (SELECT a.*, i.split FROM sub_annotations a JOIN orc_split_images i ON a.image_id = i.image_id)
+SELECT ann_id, image_id, category_id, x, y, w, h, w * h + 0.5::double AS area, (ann_id % 2)::int AS iscrowd, CASE WHEN ann_id % 3 = 0 THEN 'strong' END AS tier, split FROM a"""
+
+
+@query("coco_round_trip", _ENTRIES)
+def coco_round_trip(t: Tables):
+    """Documents written and read back: given areas and flags and unknown fields stay."""
+    root = work_folder(t.spark)
+    images = with_split(t.view("sub_images")).select("split", "image_id", "file_name", "width", "height")
+    anns = t.view("sub_annotations").join(images.select("image_id", "split"), "image_id").select(
+        "split", "ann_id", "image_id", "category_id", "x", "y", "w", "h", (F.col("w") * F.col("h") + 0.5).alias("area"), (F.col("ann_id") % 2).cast("int").alias("iscrowd"),
+        F.when(F.col("ann_id") % 3 == 0, F.to_json(F.struct(F.lit("strong").alias("quality_tier")))).alias("props"))
+    cats = t.view("sub_categories").filter("dataset_id = 'ds_0'").select(F.explode(F.array(*[F.lit(s) for s in SPLITS])).alias("split"), "category_id", "name")
+    sinks.write_coco_documents(sinks.coco_documents(images, anns, cats), f"{root}/coco")
+    back = readers.read_coco(t.spark, f"{root}/coco", "part-*")["annotations"]
+    return back.select("ann_id", "image_id", "category_id", *[F.get("bbox", i).alias(c) for i, c in enumerate("xywh")], "area", "iscrowd", F.get_json_object("props", "$.quality_tier").alias("tier"), "split")
+
+
+@query("count_records", "SELECT count(*) AS n FROM sub_images")
+def count_records(t: Tables):
+    root = work_folder(t.spark)
+    t.view("sub_images").select("image_id").write.json(f"{root}/lines")
+    return t.spark.range(1).select(F.lit(readers.count_records(t.spark, f"{root}/lines")).cast("bigint").alias("n"))
+
+
+@query("listed_files", "SELECT split || '.csv' AS kind, count(*) AS rows FROM orc_split_images GROUP BY split")
+def listed_files(t: Tables):
+    """A listing with contents of files written here: rows by folder."""
+    root = work_folder(t.spark)
+    with_split(t.view("sub_images")).select("split", "file_name").write.partitionBy("split").csv(f"{root}/files")
+    files = readers.list_files(t.spark, f"{root}/files", ("*.csv",), content=True)
+    n = F.size(F.split(F.col("content").cast("string"), "\n")) - 1
+    return files.groupBy(F.concat(F.regexp_extract("relpath", "split=([^/]+)/", 1), F.lit(".csv")).alias("kind")).agg(F.sum(n).alias("rows"))
+
+
+@query("label_lines", """
+SELECT image_id AS line_no, category_id AS class_id, w / 4096 AS w FROM (SELECT image_id, min_by(category_id, ann_id) AS category_id, min_by(w, ann_id) AS w FROM sub_annotations GROUP BY image_id)""")
+def label_lines(t: Tables):
+    """Label files written as text and read back; the first box of each image, its height holding the image id."""
+    root = work_folder(t.spark)
+    first = t.view("sub_annotations").groupBy("image_id").agg(F.min_by("category_id", "ann_id").alias("c"), F.min_by("w", "ann_id").alias("w"))
+    first.select(F.concat_ws(" ", "c", F.lit("0.5"), F.lit("0.5"), (F.col("w") / 4096).cast("string"), F.col("image_id").cast("string")).alias("value")).write.text(f"{root}/labels")
+    return readers.read_yolo_labels(t.spark, f"{root}/labels").select(F.col("h").cast("bigint").alias("line_no"), "class_id", "w")
+
+
+@query("stored_tile_predictions", "SELECT image_id, class_id, confidence, x1 AS b_x1, y2 AS b_y2, 320 AS ox FROM sub_detections")
+def stored_tile_predictions(t: Tables):
+    """Tile predictions written as JSON documents, one for each image, and read back."""
+    root = work_folder(t.spark)
+    det = F.struct("class_id", "confidence", F.array("x1", "y1", "x2", "y2").alias("bbox_crop"))
+    tiles = t.view("sub_detections").groupBy("image_id").agg(F.collect_list(det).alias("detections"))
+    tile = F.struct(F.lit("s").alias("scale_name"), F.array(F.lit(320), F.lit(0)).alias("crop_offset"), "detections")
+    docs = tiles.groupBy((F.col("image_id") % 8).alias("part")).agg(F.to_json(F.struct(F.collect_list(F.struct("image_id", F.array(tile).alias("tiles"))).alias("images"))).alias("value"))
+    docs.repartition(8, "part").write.partitionBy("part").text(f"{root}/predictions")
+    return readers.read_tile_predictions(t.spark, f"{root}/predictions", "part-*")[1].select("image_id", "class_id", "confidence", "b_x1", "b_y2", "ox")
+
+
+@query("metric_tables", "SELECT category_id::varchar AS class_id, count(*)::varchar AS n FROM sub_annotations GROUP BY category_id")
+def metric_tables(t: Tables):
+    root = work_folder(t.spark)
+    per = t.view("sub_annotations").groupBy(F.col("category_id").alias("class_id")).agg(F.count("*").alias("n"))
+    sinks.write_metric_tables(per, per, per, f"{root}/metrics")
+    return t.spark.read.option("header", True).csv(f"{root}/metrics/per_class_metrics")
+
+
+@query("materialized_once", "SELECT dataset_id, count(*) AS images FROM sub_images GROUP BY dataset_id")
+def materialized_once(t: Tables):
+    """Built once, then read: the second build would give other rows."""
+    root = work_folder(t.spark)
+    counts = t.view("sub_images").groupBy("dataset_id").agg(F.count("*").alias("images"))
+    sinks.materialize_once(t.spark, f"{root}/cache", lambda: counts)
+    return sinks.materialize_once(t.spark, f"{root}/cache", lambda: counts.limit(0))[0]
+
+
+@query("registry_tables", "SELECT image_id::varchar AS image_id, dataset_id, split FROM orc_split_images")
+def registry_tables(t: Tables):
+    """Registry tables created, replaced by a version with rows, and read back."""
+    root = work_folder(t.spark)
+    sinks.init_registry(t.spark, f"{root}/registry")
+    empty = readers.read_registry(t.spark, f"{root}/registry", "images")
+    rows = with_split(t.view("sub_images")).select(F.col("image_id").cast("string").alias("image_id"), "dataset_id", "split", "file_name", "width", "height")
+    sinks.publish_registry(empty.unionByName(rows, allowMissingColumns=True), f"{root}/registry", "images")
+    return readers.read_registry(t.spark, f"{root}/registry", "images").select("image_id", "dataset_id", "split")

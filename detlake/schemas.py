@@ -39,9 +39,10 @@ FOREIGN_KEYS = (
 PARTITIONS = {"images": ["dataset_id", "split"], "annotations": ["dataset_id"], "artifacts": ["run_id"],
               "model_checkpoints": ["run_id"], "evaluation_reports": ["run_id"], "tile_caches": ["dataset_id"]}
 
-COCO = ("images array<struct<id:bigint,file_name:string,width:int,height:int>>, "
-          "annotations array<struct<id:bigint,image_id:bigint,category_id:int,bbox:array<double>,area:double,iscrowd:int>>, "
-          "categories array<struct<id:int,name:string>>")
+# fields of a COCO document's lists; others are kept as JSON text
+COCO = {"images": "id bigint, file_name string, width int, height int",
+        "annotations": "id bigint, image_id bigint, category_id int, bbox array<double>, area double, iscrowd int",
+        "categories": "id int, name string"}
 FRAME = ("schema_version string, frame_id string, timestamp_utc string, usable boolean, invalid_reasons array<string>, "
            "scene struct<scene_id:string,mission_id:string,weather:string,time_of_day:string,sea_state:int,scenario_mode:string>, "
            "sync struct<frame_token:string,strict_sync_valid:boolean,stale_screenshot_check_passed:boolean>, "

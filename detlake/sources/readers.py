@@ -11,29 +11,35 @@ from detlake.schemas import COCO, EVENT, FRAME, REGISTRY, TILE_PREDICTIONS
 CORRUPT = "_corrupt_record"
 
 
-def _documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _documents(spark: SparkSession, path: str, schema: str, pattern: str = "*.json") -> DataFrame:
     """One row per JSON document with its path; unreadable ones carry their text in `_corrupt_record`."""
     full = f"{schema}, {CORRUPT} string"
-    text = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
+    text = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("path"), "value"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     return text.select("path", F.from_json("value", full, options).alias("_r")).select("path", "_r.*")
 
 
-def read_coco(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """`images`, `annotations`, `categories` of all documents under `path`, with the document they came from.
+def read_coco(spark: SparkSession, path: str, pattern: str = "*.json") -> dict[str, DataFrame]:
+    """`images`, `annotations`, `categories` of all documents under `path`, with the document they came from, its split (by
+    file name or folder) and, as `props`, a JSON object of the entry's other fields (null without any).
 
     A document that is no object or lacks one of the three arrays is an error. A document is one JSON value, so it is
     parsed by one task; a large dataset belongs in the table form `write_coco` makes.
     """
-    docs = _documents(spark, path, COCO)
+    docs = _documents(spark, path, ", ".join(f"{name} array<string>" for name in COCO), pattern)
     bad = docs.filter(F.col("images").isNull() | F.col("annotations").isNull() | F.col("categories").isNull()).select("path").limit(1).collect()
     if bad:
         raise ValueError(f"not a COCO document: {bad[0][0]}")
-    split = F.regexp_extract(file_name(F.col("path")), r"instances_(\w+)\.json$", 1).alias("split")
+    split = F.coalesce(F.nullif(F.regexp_extract(file_name(F.col("path")), r"instances_(\w+)\.json$", 1), F.lit("")),
+                       F.regexp_extract("path", r"/split=([^/]+)/", 1)).alias("split")
 
     def part(name: str, renames: dict[str, str]) -> DataFrame:
-        return docs.select("path", split, F.inline(name)).withColumnsRenamed(renames)
+        known = [field.split(" ")[0] for field in COCO[name].split(", ")]
+        rows = docs.select("path", split, F.explode(name).alias("_e"))
+        other = F.map_filter(F.from_json("_e", "map<string,variant>"), lambda k, _: ~k.isin(known))
+        rows = rows.select("path", "split", F.from_json("_e", COCO[name]).alias("_f"), F.when(F.size(other) > 0, F.to_json(other)).alias("props"))
+        return rows.select("path", "split", "_f.*", "props").withColumnsRenamed(renames)
 
     return {"images": part("images", {"id": "image_id"}), "annotations": part("annotations", {"id": "ann_id"}),
             "categories": part("categories", {"id": "category_id"})}
@@ -118,9 +124,9 @@ def read_yolo_labels(spark: SparkSession, path: str) -> DataFrame:
         *[F.get(parts, i).try_cast("double").alias(n) for i, n in enumerate(("cx", "cy", "w", "h"), 1)], "line")
 
 
-def read_tile_predictions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_tile_predictions(spark: SparkSession, path: str, pattern: str = "*.json") -> tuple[DataFrame, DataFrame]:
     """(entry keys, detections) of stored tile predictions; a document without `images` is an error."""
-    docs = _documents(spark, path, TILE_PREDICTIONS)
+    docs = _documents(spark, path, TILE_PREDICTIONS, pattern)
     bad = docs.filter(F.col("images").isNull()).select("path").limit(1).collect()
     if bad:
         raise ValueError(f"predictions must have an 'images' field: {bad[0][0]}")

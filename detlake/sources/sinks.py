@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from detlake.schemas import PARTITIONS, REGISTRY
 
-
-DOCUMENT_ROWS = 2_000_000
-
+#: folders of a label table
+LABEL_PARTS = 256
 
 def _path(spark: SparkSession, text: str):
     return spark._jvm.org.apache.hadoop.fs.Path(text)
@@ -75,34 +74,64 @@ def write_coco(images: DataFrame, annotations: DataFrame, categories: DataFrame,
         df.write.mode("overwrite").partitionBy("split").json(f"{path}/{name}")
 
 
+def coco_entries(images: DataFrame, annotations: DataFrame, categories: DataFrame) -> DataFrame:
+    """`split, part, id, entry`: every entry of the splits' COCO documents as JSON text (part 0 images, 1 annotations,
+    2 categories). Fields in a `props` column come back; `area` and `iscrowd` stay as given, else they are w * h and 0."""
+    def pack(df: DataFrame, part: int, key: str, *cols) -> DataFrame:
+        text = F.to_json(F.struct(F.col(key).alias("id"), *cols))
+        if "props" in df.columns:
+            text = F.when(F.col("props").isNull() | (F.col("props") == "{}"), text).otherwise(
+                F.concat(F.regexp_replace(text, r"\}$", ","), F.substring("props", 2, 2 ** 31 - 1)))
+        return df.select("split", F.lit(part).alias("part"), F.col(key).cast("bigint").alias("id"), text.alias("entry"))
+
+    area = F.coalesce("area", F.col("w") * F.col("h")) if "area" in annotations.columns else F.col("w") * F.col("h")
+    crowd = F.coalesce("iscrowd", F.lit(0)) if "iscrowd" in annotations.columns else F.lit(0)
+    return (pack(images, 0, "image_id", "file_name", "width", "height")
+            .unionByName(pack(annotations, 1, "ann_id", "image_id", "category_id", F.array("x", "y", "w", "h").alias("bbox"), area.alias("area"), crowd.alias("iscrowd")))
+            .unionByName(pack(categories, 2, "category_id", "name")))
+
+
 def coco_documents(images: DataFrame, annotations: DataFrame, categories: DataFrame) -> DataFrame:
-    """`split, document`: one COCO JSON text per split, for exchange with tools that read one file.
+    """`split, document`: one COCO JSON text per split, for exchange with tools that read one file. One document is one
+    value; `coco_document_lines` makes documents of any size."""
+    entries = coco_entries(images, annotations, categories)
+
+    def part(n: int):
+        rows = F.array_sort(F.collect_list(F.when(F.col("part") == n, F.struct("id", "entry"))))
+        return F.array_join(F.transform(rows, lambda e: e["entry"]), ",")
 
-    One document is one value, so splits of more than DOCUMENT_ROWS rows are refused; `write_coco` stores any size.
-    """
-    rows = images.select("split").unionByName(annotations.select("split"))
-    big = rows.groupBy("split").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > DOCUMENT_ROWS).limit(1).collect()
-    if big:
-        raise ValueError(f"split {big[0][0]!r} has {big[0][1]} rows, too many for one document; use write_coco")
+    text = F.concat(F.lit('{"images":['), part(0), F.lit('],"annotations":['), part(1), F.lit('],"categories":['), part(2), F.lit("]}"))
+    return entries.groupBy("split").agg(text.alias("document"))
 
-    def pack(df: DataFrame, name: str, *cols) -> DataFrame:
-        return df.groupBy("split").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(name))
 
-    i = pack(images, "images", F.col("image_id").alias("id"), "file_name", "width", "height")
-    a = pack(annotations, "annotations", F.col("ann_id").alias("id"), "image_id", "category_id", F.array("x", "y", "w", "h").alias("bbox"),
-             (F.col("w") * F.col("h")).alias("area"), F.lit(0).alias("iscrowd"))
-    c = pack(categories, "categories", F.col("category_id").alias("id"), "name")
-    whole = i.join(a, "split", "full").join(c, "split", "full")
-    doc = F.to_json(F.struct(*[F.coalesce(n, F.from_json(F.lit("[]"), dict(whole.dtypes)[n])).alias(n) for n in ("images", "annotations", "categories")]))
-    return whole.select("split", doc.alias("document"))
+def coco_document_lines(images: DataFrame, annotations: DataFrame, categories: DataFrame) -> DataFrame:
+    """`split, line` in the order of the documents: range-partitioned, so that the part files of a split, one after the
+    other, are its JSON document, whatever its size."""
+    entries = coco_entries(images, annotations, categories)
+    first = entries.groupBy("split", "part").agg(F.min(F.struct("id", "entry")).alias("first"))
+    lines = entries.join(first, ["split", "part"]).withColumn("line", F.concat(
+        F.when(F.struct("id", "entry") == F.col("first"), F.lit("")).otherwise(F.lit(",")), "entry")).select("split", (F.col("part") * 2 + 1).alias("part"), "id", "line")
+    marks = entries.select("split").distinct().select("split", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("part"), F.lit(None).cast("bigint").alias("id"), F.lit(mark).alias("line"))
+        for n, mark in ((0, '{"images":['), (2, '],"annotations":['), (4, '],"categories":['), (6, "]}"))])).alias("m")).select("split", "m.*")
+    rows = lines.unionByName(marks)
+    order = [F.col("split"), F.col("part"), F.col("id"), F.col("line")]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select("split", "line")
 
 
 def write_coco_documents(documents: DataFrame, path: str) -> None:
+    """Documents (or their lines) as text, a folder for each split."""
     documents.write.mode("overwrite").partitionBy("split").text(path)
 
 
 def write_yolo_labels(files: DataFrame, path: str) -> None:
-    """`frame_id, text` as partitioned text output, one folder per frame."""
+    """`frame_id, text` as Parquet, by a hash of the frame, so millions of frames make no more folders than `LABEL_PARTS`."""
+    part = F.format_string("%03d", F.pmod(F.xxhash64("frame_id"), F.lit(LABEL_PARTS)))
+    files.select("frame_id", "text", part.alias("part")).repartition("part").write.mode("overwrite").partitionBy("part").parquet(path)
+
+
+def export_yolo_labels(files: DataFrame, path: str) -> None:
+    """One folder with a text file for each frame: the exchange form, for small sets of frames."""
     files.select("frame_id", F.col("text").alias("value")).write.mode("overwrite").partitionBy("frame_id").text(path)
 
 

@@ -14,7 +14,8 @@ from detlake.streaming import events as live
 
 def _coco(path, split, shift):
     doc = {"images": [{"id": shift + i, "file_name": f"frame_{split}_{i}.png", "width": 2560, "height": 1440} for i in range(3)],
-           "annotations": [{"id": shift + k, "image_id": shift + 1 + k % 2, "category_id": k % 3, "bbox": [200 + 100 * k, 200, 80, 60], "area": 4800, "iscrowd": 0} for k in range(4)],
+           "annotations": [{"id": shift + k, "image_id": shift + 1 + k % 2, "category_id": k % 3, "bbox": [200 + 100 * k, 200, 80, 60], "area": 7.5 + k, "iscrowd": k % 2,
+                            "quality_tier": "strong", "more": {"n": [1, "1", None, True]}} for k in range(4)],
            "categories": [{"id": 0, "name": "ships"}, {"id": 1, "name": "helicopters"}, {"id": 2, "name": "airplanes"}]}
     (path / f"instances_{split}.json").write_text(json.dumps(doc, indent=2))
     return doc
@@ -24,9 +25,12 @@ def test_coco_round_trip(spark, tmp_path):
     docs = {s: _coco(tmp_path, s, 100 * i) for i, s in enumerate(("train", "val"))}
     t = readers.read_coco(spark, str(tmp_path))
     assert t["images"].count() == 6 and t["annotations"].filter("split = 'val'").count() == 4
-    a = t["annotations"].select("split", "ann_id", "image_id", "category_id", *[F.get("bbox", i).alias(c) for i, c in enumerate("xywh")])
+    a = t["annotations"].select("split", "ann_id", "image_id", "category_id", "area", "iscrowd", "props", *[F.get("bbox", i).alias(c) for i, c in enumerate("xywh")])
     out = {r["split"]: json.loads(r["document"]) for r in sinks.coco_documents(t["images"], a, t["categories"]).collect()}
-    assert out["val"]["annotations"][1]["bbox"] == docs["val"]["annotations"][1]["bbox"]
+    assert out["val"] == docs["val"] and out["train"] == docs["train"]
+    sinks.write_coco_documents(sinks.coco_document_lines(t["images"], a, t["categories"]), str(tmp_path / "lines"))
+    for split in docs:
+        assert json.loads("".join(f.read_text() for f in sorted((tmp_path / "lines" / f"split={split}").glob("part-*")))) == docs[split]
     assert [i["file_name"] for i in out["train"]["images"]] == [i["file_name"] for i in docs["train"]["images"]]
     (tmp_path / "bad.json").write_text("[1, 2]")
     with pytest.raises(ValueError):
