@@ -12,7 +12,7 @@ from detlake.functions.boxes import letterbox_plan, scale_box, xywh_to_xyxy
 from detlake.functions.text import file_stem
 from detlake.operators.ordering import group_index
 from detlake.operators.skew import nest
-from detlake.operators.tiling import (CROP, DEFAULT_SCALES, STRIDE, Scale, generate_tiles, scale_plan,
+from detlake.operators.tiling import (CROP, DEFAULT_SCALES, STRIDE, Scale, axis_positions, generate_tiles, scale_plan,
                                       tile_annotations)
 
 # fixed value: the one reason a tile of an annotated image is dropped for
@@ -45,10 +45,14 @@ def _pieces(images: DataFrame, annotations: DataFrame, cfg: Settings) -> DataFra
     return tile_annotations(annotations, images, cfg.scales, cfg.crop, cfg.stride, cfg.edges, cfg.threshold)
 
 
-def kept_tiles(tiles: DataFrame, pieces: DataFrame) -> DataFrame:
-    """Tiles with at least one surviving annotation, with their number `num_kept`."""
-    counts = pieces.groupBy(*TILE_KEY).agg(F.count(F.lit(1)).alias("num_kept"))
-    return tiles.join(counts, TILE_KEY)
+def kept_counts(pieces: DataFrame) -> DataFrame:
+    """Tiles with at least one surviving annotation, with their number `num_kept`: the pieces tell all of it."""
+    return pieces.groupBy(*TILE_KEY, "ox", "oy").agg(F.count(F.lit(1)).alias("num_kept"))
+
+
+def kept_tiles(images: DataFrame, pieces: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """`kept_counts` with the columns of the image and of the scale; no tile is generated for it."""
+    return kept_counts(pieces).join(scale_plan(images, cfg.scales).filter("crop"), ["image_id", "scale_name"])
 
 
 def dropped_tiles(tiles: DataFrame, pieces: DataFrame, annotations: DataFrame) -> DataFrame:
@@ -97,7 +101,7 @@ def enriched_images(images: DataFrame, annotations: DataFrame, pieces: DataFrame
     common = ["split", "image_id", "file_name", "width", "height", "scale_ord", "scale_name", "scale_w", "scale_h",
               "sx", "sy", "crop_id", "ox", "oy", "new_width", "new_height", "is_background"]
     side = F.lit(cfg.crop)
-    tiles = (kept_tiles(all_tiles(images, annotations, cfg), pieces)
+    tiles = (kept_tiles(images, pieces, cfg)
              .withColumn("new_width", side).withColumn("new_height", side).withColumn("is_background", F.lit(False)))
     whole = scale_plan(annotated_images(images, annotations), cfg.scales).filter(~F.col("crop"))
     whole = whole.select("*", F.lit(-1).alias("crop_id"), F.lit(0).alias("ox"), F.lit(0).alias("oy"),
@@ -158,13 +162,18 @@ def tile_manifest(pictures: DataFrame, entries: DataFrame) -> DataFrame:
 def enrichment_summary(images: DataFrame, annotations: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Counts per split and scale. Backgrounds form their own scale and are not part of the enriched counts."""
     pieces = _pieces(images, annotations, cfg)
-    tiles = all_tiles(images, annotations, cfg)
     splits = images.select("image_id", "split")
-    per_tile = pieces.groupBy(*TILE_KEY).agg(F.count(F.lit(1)).alias("num_kept"))
-    seen = tiles.select("split", *TILE_KEY).join(per_tile, TILE_KEY, "left")
-    tiled = seen.groupBy("split", "scale_name").agg(
-        F.count("num_kept").alias("num_images"), F.coalesce(F.sum("num_kept"), F.lit(0)).alias("num_annotations"),
-        F.count_if(F.col("num_kept").isNull()).alias("num_dropped_tiles"))
+    # how many tiles there are follows from the sizes
+    w, h = F.col("scale_w"), F.col("scale_h")
+    n = F.size(axis_positions(w, cfg.crop, cfg.stride, cfg.edges)).cast("bigint") * F.size(axis_positions(h, cfg.crop, cfg.stride, cfg.edges))
+    plan = scale_plan(annotated_images(images, annotations), cfg.scales).filter("crop")
+    tiles = plan.groupBy("split", "scale_name").agg(F.sum(n).alias("_tiles"))
+    per_image = kept_counts(pieces).groupBy("image_id", "scale_name").agg(F.count(F.lit(1)).alias("_k"), F.sum("num_kept").alias("_a"))
+    kept = per_image.join(splits, "image_id").groupBy("split", "scale_name").agg(F.sum("_k").alias("_k"), F.sum("_a").alias("_a"))
+    none = F.lit(0).cast("bigint")
+    tiled = tiles.join(kept, ["split", "scale_name"], "left").select(
+        "split", "scale_name", F.coalesce("_k", none).alias("num_images"), F.coalesce("_a", none).alias("num_annotations"),
+        (F.col("_tiles") - F.coalesce("_k", none)).alias("num_dropped_tiles"))
     per_image = annotations.groupBy("image_id").agg(F.count(F.lit(1)).alias("n"))
     whole_scales = [s.name for s in cfg.scales if not s.crop]
     whole = (per_image.join(splits, "image_id").groupBy("split")

@@ -133,7 +133,7 @@ def tile_annotations(t: Tables):
 SELECT image_id, scale_name, crop_id::int AS crop_id, count(*) AS num_kept FROM orc_pieces GROUP BY ALL""")
 def kept_tiles(t: Tables):
     pieces = tiling.tile_annotations(_annotations(t), _images(t))
-    return enrich.kept_tiles(enrich.all_tiles(_images(t), _annotations(t)), pieces).select(*enrich.TILE_KEY, "num_kept")
+    return enrich.kept_counts(pieces).select(*enrich.TILE_KEY, "num_kept")
 
 
 @query("dropped_tiles", """
