@@ -1,13 +1,14 @@
-"""N-gram Jaccard join: clusters of documents that may be similar come from an exact pigeonhole exchange; within a cluster
+"""N-gram Jaccard join: clusters of documents that may be similar come from an exact prefix exchange; within a cluster
 signature trees (nodes with OR-combined token bitmaps and size ranges) are traversed in pairs, and every surviving pair of
 documents is checked exactly.
 
-Candidates, without loss. Two sets of sizes a and b with Jaccard >= t differ in at most D = (1 - t) / (1 + t) * (a + b)
-tokens. Sizes fall into classes; for the largest size of a class D is fixed, and tokens are dealt into m > D parts by their
-hash, so at least m - D parts of two similar sets are equal. A set with at most m - 1 - D empty parts hence agrees with any
-similar set in a part that is not empty, and one 64-bit sum per part finds it. Sets with more empty parts also emit the
-tokens of their hash-ordered prefix, of which two similar sets share one. A set emits for its own class and for classes of
-larger sets within reach. Equal sums only make candidates, so a clash of hashes costs time, never a wrong link.
+Candidates, without loss. Put all tokens in one fixed order. Two sets with Jaccard >= t share more than they can lose, so
+they share one of their first n - ceil(t * n) + 1 tokens (n the size of each). Any order is right; one with rare tokens
+first makes few false candidates, as common passages come late. Rarity is how many documents of the whole corpus have a
+token in its slot of a table of `SLOTS` counters, filled by one pass and of fixed size whatever the corpus; clashes in
+it, or of 64-bit token hashes, cost time, never a link. Texts that share a prefix token are linked to one of them, and the
+connected components of that are the clusters: every link lies within one, and a token that very many texts share costs
+no more than its rows.
 
 Defined cases: null and empty texts have no shingles and link with nothing; equal texts link; repeated rows and repeated
 or null ids stay rows of their own; other columns are ignored. Nothing is sampled or capped: clusters beyond `block` texts
@@ -15,7 +16,7 @@ are cut into blocks, and all pairs of blocks are traversed but those whose texts
 
 from __future__ import annotations
 
-import math
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -29,50 +30,53 @@ from detlake.session import durable
 BITS = 2048
 FANOUT = 8
 BLOCK = 8000
-_PART = np.uint64(0xC2B2AE3D27D4EB4F)
-
-
-class Classes:
-    """Size classes for a threshold of num / den: bounds, allowed differences, number of parts."""
-
-    def __init__(self, num: int, den: int):
-        self.num, self.den, self.rows = num, den, []
-        low = 1
-        while low < 1 << 40:
-            high = max(low, low * 8 // 5)
-            self.rows.append((low, high, *self._parts(low, high)))
-            low = high + 1
-        self.lows = np.array([r[0] for r in self.rows])
-
-    def _parts(self, low: int, high: int) -> tuple[int, int]:
-        differ = (self.den - self.num) * 2 * high // (self.den + self.num)
-        if not differ:
-            return 0, 1
-        parts = differ + 1
-        while parts < 4 * differ + 8:
-            empty = parts * math.exp(-low / parts)
-            if parts - differ - 1 >= empty + 3 * math.sqrt(empty):
-                break
-            parts += max(1, parts // 64)
-        return differ, parts
-
-    def signatures(self, tokens: np.ndarray) -> np.ndarray:
-        n, found = len(tokens), []
-        own = int(np.searchsorted(self.lows, n, "right")) - 1
-        spread = mix(tokens ^ _PART)
-        for c in range(own, len(self.rows)):
-            low, _, differ, parts = self.rows[c]
-            if c > own and n * self.den < low * self.num:
-                break
-            part = (tokens >> np.uint64(1)) % np.uint64(parts)
-            order = np.argsort(part, kind="stable")
-            heads = np.flatnonzero(np.diff(part[order], prepend=np.uint64(parts)))
-            sums = np.add.reduceat(spread[order], heads)
-            found.append(mix(sums ^ mix(part[order][heads] + np.uint64(c << 44))))
-            if parts - len(heads) > parts - 1 - differ:
-                first = n - -(-n * self.num // self.den) + 1
-                found.append(mix(tokens[:first] ^ mix(np.array([c + (1 << 60)], np.uint64))))
-        return np.concatenate(found)
+SLOT_BITS = 24
+SLOTS = 1 << SLOT_BITS
+CHUNKS = 64
+
+
+def rarity(texts: DataFrame, k: int) -> np.ndarray:
+    """How many texts have a token in each slot, as steps of a logarithmic scale (uint8). `texts`: (text)."""
+    width = SLOTS // CHUNKS
+
+    def tally(batches):
+        counts, held, n = np.zeros(SLOTS, np.uint16), [], 0
+
+        def add():
+            slots, times = np.unique(np.concatenate(held), return_counts=True)
+            counts[slots] = np.minimum(counts[slots] + times, 65535).astype(np.uint16)
+
+        for batch in batches:
+            for tokens in _sets(batch, "text", k):
+                held.append((tokens >> np.uint64(64 - SLOT_BITS)).astype(np.uint32))
+                n += len(tokens)
+                if n > 2_000_000:
+                    add()
+                    held, n = [], 0
+        if n:
+            add()
+        yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array([zlib.compress(counts[c * width:(c + 1) * width].tobytes(), 1) for c in range(CHUNKS)], pa.binary())],
+                                         names=["chunk", "counts"])
+
+    def total(batches):
+        sums = {}
+        for batch in batches:
+            for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
+                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(zlib.decompress(counts), np.uint16).astype(np.uint64)
+        steps = [np.minimum(np.round(16 * np.log2(1.0 + c)), 255).astype(np.uint8).tobytes() for c in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(steps, pa.binary())], names=["chunk", "counts"])
+
+    sums = texts.select("text").mapInArrow(tally, "chunk int, counts binary").repartition(CHUNKS, "chunk").mapInArrow(total, "chunk int, counts binary")
+    # CHUNKS rows of a fixed size
+    rows = {r["chunk"]: bytes(r["counts"]) for r in sums.collect()}
+    return np.frombuffer(b"".join(rows.get(c, bytes(width)) for c in range(CHUNKS)), np.uint8)
+
+
+def prefix(tokens: np.ndarray, steps: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The rarest tokens of a set, of which it shares one with every similar set."""
+    n = len(tokens)
+    order = np.argsort(steps[(tokens >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")
+    return tokens[order[:n - -(-n * num // den) + 1]]
 
 
 def star(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -98,7 +102,7 @@ def candidate_links(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(a, b): text ids of which every pair of similar texts is joined by a path. `texts`: (tid long, text)."""
     spark = texts.sparkSession
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    classes = Classes(num, den)
+    shared = spark.sparkContext.broadcast(rarity(texts, k))
 
     def emit(batches):
         def flush(keys, owners):
@@ -118,7 +122,7 @@ def candidate_links(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
             tids = batch.column("tid").to_numpy(zero_copy_only=False)
             for tid, tokens in zip(tids, _sets(batch, "text", k)):
                 if len(tokens):
-                    own = classes.signatures(tokens)
+                    own = mix(prefix(tokens, shared.value, num, den))
                     keys.append(own)
                     owners.append(np.full(len(own), tid, np.int64))
                     held += len(own)

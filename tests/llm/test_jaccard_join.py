@@ -85,7 +85,12 @@ def test_stage_keeps_one_row(spark):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in got.collect()) == [(False, 2), (False, 5), (False, 7), (False, 8), (False, 9), (True, 0)]
 
 
-def test_classes_cover_every_size():
-    c = J.Classes(80, 100)
-    for n in range(1, 400):
-        assert len(c.signatures(np.unique(np.random.default_rng(n).integers(0, 2 ** 63, n).astype(np.uint64))))
+def test_prefixes_meet():
+    rnd = np.random.default_rng(3)
+    steps = rnd.integers(0, 9, J.SLOTS).astype(np.uint8)
+    for n in range(1, 200):
+        a = np.unique(rnd.integers(0, 2 ** 63, n).astype(np.uint64) * np.uint64(2))
+        for drop in range(len(a) // 5 + 1):
+            b = np.delete(a, rnd.permutation(len(a))[:drop])
+            if 100 * len(b) >= 80 * len(a):
+                assert np.intersect1d(J.prefix(a, steps, 80, 100), J.prefix(b, steps, 80, 100)).size
