@@ -56,12 +56,14 @@ def _with_total(per_split: DataFrame) -> DataFrame:
 def capture_manifest(images: DataFrame, frames: DataFrame, objects: DataFrame) -> DataFrame:
     """One record per image with the frame facts that help leak tracking; `has_rich_metadata` false without a frame.
 
-    Quality tiers are kept as counts per tier, which stay small however many objects a frame has.
+    `object_quality_tiers` lists the tiers in object order, `quality_tiers` counts them.
     """
+    order = F.array_sort(F.collect_list(F.struct("object_id", "quality_tier")))
+    listed = objects.groupBy("image_id").agg(F.transform(order, lambda o: o["quality_tier"]).alias("object_quality_tiers"))
     tiers = objects.groupBy("image_id", "quality_tier").agg(F.count(F.lit(1)).alias("n"))
     tiers = tiers.groupBy("image_id").agg(F.sum("n").alias("num_objects"), F.map_from_entries(F.array_sort(
         F.collect_list(F.struct("quality_tier", "n")))).alias("quality_tiers"))
-    facts = frames.join(tiers, "image_id", "left")
+    facts = frames.join(tiers, "image_id", "left").join(listed, "image_id", "left")
     out = images.join(facts.withColumn("_rich", F.lit(True)), "image_id", "left")
     rich = F.coalesce(F.col("_rich"), F.lit(False))
     return (out.withColumn("has_rich_metadata", rich)
@@ -186,36 +188,36 @@ def infer_class(type_name: Column) -> Column:
     return out
 
 
-def lookup_dimensions(types: DataFrame, catalog: DataFrame, classes: Sequence[str] = CLASSES) -> DataFrame:
+def lookup_dimensions(types: DataFrame, catalog: DataFrame, classes: Sequence[str] = CLASSES, strict: bool = False) -> DataFrame:
     """Dimensions per distinct (type_name, class): exact name, name with separators as spaces, first catalog entry
-    contained in either (class names excepted), then the class entry; `dimensions_source` tells which.
+    contained in either (class names excepted), then the class entry; `dimensions_source` tells which. Nothing fits: null,
+    or with `strict` an error.
 
-    `catalog` (`ord, key, length, width, height`) is a small parameter table, collected into literals; distinct types
-    are matched against it in one pass of column expressions, so no theta join is needed.
+    `catalog` (`ord, key, length, width, height`) may be of any size: all four ways are equi-joins on the key; for contained
+    keys every distinct type offers the parts of its name.
     """
-    rows = catalog.orderBy("ord").limit(10_001).collect()
-    if len(rows) > 10_000:
-        raise ValueError("a dimension catalog has at most 10,000 entries")
-    entry = F.array(*[F.struct(F.lit(r["key"]).alias("key"), *[F.lit(float(r[c])).alias(c) for c in ("length", "width", "height")])
-                      for r in rows])
-    name = F.lower(F.coalesce("type_name", F.lit("")))
-    plain = name_tokens(F.coalesce("type_name", F.lit("")))
-    names = [F.lit(c) for c in classes]
-
-    def first(test):
-        return F.get(F.filter("_cat", test), 0)
-
-    found = (types.select("type_name", "class").distinct().withColumn("_cat", entry)
-             .withColumn("_e", first(lambda e: e["key"] == name)).withColumn("_n", first(lambda e: e["key"] == plain))
-             .withColumn("_p", first(lambda e: (F.contains(name, e["key"]) | F.contains(plain, e["key"]))
-                                     & ~F.array_contains(F.array(*names), e["key"])))
-             .withColumn("_c", first(lambda e: e["key"] == F.col("class"))))
-    source = (F.when(F.col("_e").isNotNull(), F.lit("model_catalog")).when(F.col("_n").isNotNull(), F.lit("model_catalog_normalized"))
-              .when(F.col("_p").isNotNull(), F.lit("model_catalog_partial_match")).when(F.col("_c").isNotNull(), F.lit("class_catalog")))
-    best = F.coalesce("_e", "_n", "_p", "_c")
-    found = found.select("type_name", "class", source.alias("dimensions_source"),
-                         *[best[c].alias(c) for c in ("length", "width", "height")])
-    return types.join(found, ["type_name", "class"], "left")
+    name, plain = F.lower(F.coalesce("type_name", F.lit(""))), name_tokens(F.coalesce("type_name", F.lit("")))
+
+    def parts(text: Column) -> Column:
+        at = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text))).otherwise(F.array().cast("array<int>"))
+        return F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.length(text) - i + 1), lambda n: F.substring(text, i, n))))
+
+    keys = ["type_name", "class"]
+    seen = types.select(*keys).distinct()
+    # ways in the order they count, each with the keys it asks for
+    whole = seen.select(*keys, F.explode(F.array(
+        F.struct(F.lit(0).alias("way"), name.alias("key")), F.struct(F.lit(1).alias("way"), plain.alias("key")),
+        F.struct(F.lit(3).alias("way"), F.col("class").alias("key")))).alias("w")).select(*keys, "w.*")
+    inside = seen.select(*keys, F.lit(2).alias("way"), F.explode(F.array_distinct(F.concat(parts(name), parts(plain)))).alias("key")).where(~F.col("key").isin(list(classes)))
+    hits = whole.unionByName(inside).join(catalog, "key")
+    best = hits.groupBy(*keys).agg(F.min(F.struct("way", "ord", "length", "width", "height")).alias("b"))
+    names = F.array(*[F.lit(n) for n in ("model_catalog", "model_catalog_normalized", "model_catalog_partial_match", "class_catalog")])
+    out = types.join(best.select(*keys, F.get(names, F.col("b.way")).alias("dimensions_source"), *[F.col(f"b.{c}").cast("double").alias(c) for c in ("length", "width", "height")]), keys, "left")
+    if strict:
+        lost = out.where(F.col("dimensions_source").isNull()).select(*keys).limit(1).collect()
+        if lost:
+            raise KeyError(f"no dimensions for type {lost[0][0]!r}, class {lost[0][1]!r}")
+    return out
 
 
 def image_rows(images: DataFrame, annotations: DataFrame) -> DataFrame:

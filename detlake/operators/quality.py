@@ -168,15 +168,18 @@ def _declared_per_split(categories: DataFrame, declared: DataFrame) -> DataFrame
 
 
 def count_reconcile(declared: DataFrame, actual: DataFrame) -> DataFrame:
-    """Declared against counted images and annotations per split (`all` is the total). Null counts are not compared."""
-    both = declared.select("split", F.col("num_images").alias("_di"), F.col("num_annotations").alias("_da")).join(actual, "split")
+    """Declared against counted images and annotations per split (`all` is the total). Null counts are not compared; in the
+    total they, and a null `num_classes` where that is a column, are missing keys."""
+    keys = ["num_images", "num_annotations", *(c for c in ("num_classes",) if c in declared.columns)]
+    both = declared.select("split", F.col("num_images").alias("_di"), F.col("num_annotations").alias("_da"), *[F.col(k).isNull().alias(f"_no_{k}") for k in keys]).join(actual, "split")
     at = _say("splits.", F.col("split"))
 
     def differs(name: str, want: str) -> Column:
         return F.when(F.col(want) != F.col(name), _issue("error", at, _say(f"{name}: declared ", F.col(want), ", found ", F.col(name))))
 
     total = F.col("split") == "all"
-    return _collect(both, [differs("num_images", "_di"), F.when(~total, differs("num_annotations", "_da"))])
+    missing = [F.when(total & F.col(f"_no_{k}"), _issue("warning", _say("dataset_info"), _say(f"missing key {k}"))) for k in keys]
+    return _collect(both, [differs("num_images", "_di"), F.when(~total, differs("num_annotations", "_da")), *missing])
 
 
 def manifest_coverage(images: DataFrame, manifest: DataFrame) -> DataFrame:

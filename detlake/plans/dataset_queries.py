@@ -60,13 +60,14 @@ def _frames(t: Tables):
 @query("capture_manifest", """
 SELECT i.image_id, i.split, 'images/' || i.split || '/' || i.file_name AS source_image, f.image_id IS NOT NULL AS has_rich_metadata, f.mission_id,
   f.usable, CASE WHEN f.image_id IS NOT NULL THEN (SELECT count(*) FROM sub_frame_objects o WHERE o.image_id = i.image_id) END AS num_objects,
-  (SELECT count(*) FROM sub_frame_objects o WHERE o.image_id = i.image_id AND quality_tier = 'strong' AND f.image_id IS NOT NULL) AS num_strong
+  (SELECT count(*) FROM sub_frame_objects o WHERE o.image_id = i.image_id AND quality_tier = 'strong' AND f.image_id IS NOT NULL) AS num_strong,
+  (SELECT string_agg(quality_tier, ',' ORDER BY object_id) FROM sub_frame_objects o WHERE o.image_id = i.image_id AND f.image_id IS NOT NULL) AS tiers
 FROM orc_split_images i LEFT JOIN (SELECT * FROM sub_frames WHERE image_id % 10 <> 0) f ON i.image_id = f.image_id""")
 def capture_manifest(t: Tables):
     frames = t.view("sub_frames").filter("image_id % 10 <> 0").select("image_id", "mission_id", "usable")
     out = ingest.capture_manifest(_images(t), frames, t.view("sub_frame_objects"))
     strong = F.coalesce(F.try_element_at("quality_tiers", F.lit("strong")), F.lit(0))
-    return out.select("image_id", "split", "source_image", "has_rich_metadata", "mission_id", "usable", "num_objects", strong.alias("num_strong"))
+    return out.select("image_id", "split", "source_image", "has_rich_metadata", "mission_id", "usable", "num_objects", strong.alias("num_strong"), F.array_join("object_quality_tiers", ",").alias("tiers"))
 
 
 _EXPORT = """(SELECT o.*, f.frame_id, f.usable, valid AND quality_tier IN ('exact_visible', 'exact', 'strong', 'approximate') AND class <> 'buoys' AS ok,
@@ -308,10 +309,12 @@ def category_set_equal(t: Tables):
 
 
 @query("count_reconcile", f"""
-SELECT 'error' AS severity, 'splits.' || split AS location, 'num_images: declared ' || (n + 1) || ', found ' || n AS message FROM (SELECT split, count(*) AS n FROM orc_split_images GROUP BY split) WHERE split = 'val'""")
+SELECT 'error' AS severity, 'splits.' || split AS location, 'num_images: declared ' || (n + 1) || ', found ' || n AS message FROM (SELECT split, count(*) AS n FROM orc_split_images GROUP BY split) WHERE split = 'val'
+UNION ALL SELECT 'warning', 'dataset_info', 'missing key ' || k FROM (VALUES ('num_annotations'), ('num_classes')) v(k)""")
 def count_reconcile(t: Tables):
     actual = ingest.split_counts(_images(t), _placed(t))
     declared = actual.withColumn("num_images", F.col("num_images") + F.when(F.col("split") == "val", 1).otherwise(0))
+    declared = declared.withColumn("num_annotations", F.when(F.col("split") != "all", F.col("num_annotations"))).withColumn("num_classes", F.lit(None).cast("int"))
     return quality.count_reconcile(declared, actual)
 
 
