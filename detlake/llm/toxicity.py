@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from detlake.llm.sampling import TRAINING_ROWS, crc_of, training_rows
+from detlake.session import durable
 
 #: words in the lexicon, at most; the heaviest
 LEXICON = 5_000
@@ -134,7 +135,7 @@ def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], tuple[str, ...]]:
     near = rows.mapInArrow(neighbours, "label int, word string, before string, behind string")
     # one row for each word and surrounding, toxic if any text with it is not clean
     places = near.groupBy("word", "before", "behind").agg(F.max("label").alias("bad"), F.min("label").alias("good"))
-    counts = places.groupBy("word").agg(F.sum("bad").alias("a"), F.sum(1 - F.col("good")).alias("b"))
+    counts = durable(places.groupBy("word").agg(F.sum("bad").alias("a"), F.sum(1 - F.col("good")).alias("b")))
     totals = counts.agg(F.sum("a"), F.sum("b")).first()
     bad, good = (totals[0] or 0) + 1.0, (totals[1] or 0) + 1.0
     odds = F.log((F.col("a") + 0.5) / bad) - F.log((F.col("b") + 0.5) / good)
@@ -179,7 +180,7 @@ class Scorer:
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held: int = 1, rows: int = TRAINING_ROWS, exceptions: tuple[str, ...] = EXCEPTIONS,
           text: str = "text", id: str = "doc_id") -> Scorer:
     """Lexicon and calibration from the labelled rows whose crc32(id) mod `folds` is not `held`."""
-    sample = training_rows(docs, labels, label, F.pmod(crc_of("id"), F.lit(folds)) != held, rows, text, id)
+    sample = durable(training_rows(docs, labels, label, F.pmod(crc_of("id"), F.lit(folds)) != held, rows, text, id))
     lexicon, learnt = learn_lexicon(sample)
     if not lexicon:
         return Scorer(Matcher({}, ()), None)
