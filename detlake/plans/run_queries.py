@@ -145,7 +145,12 @@ def stream_stage_states(t: Tables):
     return live.live_stage_states(live.newest(live.read_log(t.spark, f"{root}/latest"), ["run_id", "stage"]))
 
 
-@query("throttle_progress")
+# a fold over each run's events in order; the state is the time of the last one kept
+@query("throttle_progress", """
+WITH l AS (SELECT run_id, list({seq: seq, iter: iter, t: epoch_us(ts) / 1000000.0::double} ORDER BY seq) AS l FROM sub_run_events WHERE iter IS NOT NULL GROUP BY run_id),
+k AS (SELECT run_id, unnest(list_reduce(list_prepend({e: l[1], last: '-infinity'::double, kept: l[1:0]}, list_transform(l, lambda e: {e: e, last: 0::double, kept: l[1:0]})),
+  lambda s, x: CASE WHEN x.e.iter % 50 = 0 OR x.e.t - s.last >= 259200 THEN {e: x.e, last: x.e.t, kept: s.kept || [x.e]} ELSE {e: x.e, last: s.last, kept: s.kept} END).kept) AS k FROM l)
+SELECT run_id, k.seq AS seq, k.iter::bigint AS iter, k.t AS t FROM k""")
 def throttle_progress(t: Tables):
     root, stream = _replay(t, t.view("sub_run_events").select("run_id", "seq", "iter", _seconds()), "events")
     live.to_change_log(live.throttle_progress(stream, 50, 86400.0 * 3), f"{root}/kept", "append").awaitTermination()

@@ -16,7 +16,7 @@ JOBS, SQL = library.jobs(), library.oracles()
 
 
 def test_oracle_names():
-    assert set(SQL) <= set(JOBS) and set(JOBS) - set(SQL) == {"throttle_progress", "evaluation_report"}
+    assert set(SQL) <= set(JOBS) and set(JOBS) - set(SQL) == {"evaluation_report"}
 
 
 @pytest.mark.parametrize("name", list(JOBS) if os.environ.get("DETLAKE_ALL") else CORE)
