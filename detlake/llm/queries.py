@@ -124,7 +124,7 @@ def _crc_steps() -> list[int]:
 @query("op4_sharding", f"""
 WITH b AS (SELECT doc_id, source, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
 d AS MATERIALIZED (SELECT doc_id, coalesce('=' || source, '') AS stratum, CAST(len(h) // 2 + 8 AS BIGINT) AS size,
-  xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, len(h), 2), lambda i: CAST('0x' || h[i:i + 1] AS BIGINT))),
+  xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(h, '..'), lambda x: CAST('0x' || x AS BIGINT))),
       lambda a, x: xor({_crc_steps()}[(xor(a, x) & 255) + 1], a >> 8)), 4294967295) AS text_crc32 FROM b),
 k AS (SELECT *, CAST('0x' || substr(md5('shards:' || doc_id || ':' || text_crc32), 1, 12) AS BIGINT) AS key FROM d),
 r AS (SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id, text_crc32, size) - 1
