@@ -51,8 +51,9 @@ def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_suffix_dedup", r"""
 WITH d AS MATERIALIZED (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
-p AS MATERIALIZED (SELECT doc_id, unnest(range(0, CAST(len(h) // 2 - 199 AS BIGINT))) AS i FROM d WHERE len(h) >= 400),
-g AS MATERIALIZED (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS g FROM p JOIN d USING (doc_id)),
+p AS MATERIALIZED (SELECT doc_id, 1000 * k AS o, substr(h, CAST(2000 * k + 1 AS BIGINT), 2398) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, CAST((len(h) // 2 - 200) // 1000 + 1 AS BIGINT))) AS k FROM d WHERE len(h) >= 400)),
+g AS MATERIALIZED (SELECT doc_id, o + i AS i, md5(substr(s, 2 * i + 1, 400)) AS g FROM (SELECT doc_id, o, s, unnest(range(0, CAST(len(s) // 2 - 199 AS BIGINT))) AS i FROM p)),
 r AS (SELECT doc_id, i FROM g JOIN (SELECT g FROM g GROUP BY g HAVING count(*) > 1) USING (g)),
 b AS (SELECT doc_id, i, sum(CASE WHEN i - l <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS s
       FROM (SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -1000) AS l FROM r)),
