@@ -275,7 +275,8 @@ def similar_texts(docs: DataFrame, k: int, num: int, den: int, text: str = "text
     clusters = components(candidate_links(rows, k, num, den)).select(F.col("node").alias("tid"), F.col("component").alias("cluster"))
     # copies of a text meet before they are sent
     texts = rows.groupBy("tid").agg(F.first("text").alias("text")).join(durable(clusters), "tid")
-    return exact_groups(texts.select("cluster", "tid", "text"), k, num, den)
+    # callers join the groups more than once
+    return durable(exact_groups(texts.select("cluster", "tid", "text"), k, num, den))
 
 
 def similarity_components(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, text: str = "text", id: str = "doc_id") -> DataFrame:
