@@ -5,7 +5,7 @@ import random
 import corpus_pipeline
 from test_jaccard_join import brute
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 
 
 def test_planted(spark, tmp_path):
@@ -28,7 +28,7 @@ def test_planted(spark, tmp_path):
     rows = [(d, t, "en", "planted", len(t or "")) for d, t in planted.items()]
     base.unionByName(spark.createDataFrame(rows, schema)).write.parquet(str(tmp_path / "documents.parquet"))
     for name in ("labels", "benchmark"):
-        spark.read.parquet(f"{SF}/../sf0.01/{name}.parquet" if name == "labels" else f"{SF}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
     docs, seen = spark.read.parquet(str(tmp_path / "documents.parquet")), {}
     columns = docs.columns
     for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
