@@ -2,7 +2,14 @@
 signature trees (nodes with OR-combined token bitmaps and size ranges) are traversed in pairs, and every surviving pair of
 documents is checked exactly.
 
-Candidates, without loss. Put all tokens in one fixed order. Two sets with Jaccard >= t share more than they can lose, so
+Candidates, without loss, for thresholds from PARTS_FROM on. Two sets of sizes a and b with Jaccard >= t differ in at most
+D = (1 - t) / (1 + t) * (a + b) tokens. Sizes fall into classes; for the largest size of a class D is fixed, and tokens are
+dealt into m > D parts by their hash, so at least m - D parts of two similar sets are equal. A set with at most m - 1 - D
+empty parts hence agrees with any similar set in a part that is not empty, and one 64-bit sum per part finds it. Sets with
+more empty parts also emit the tokens of their hash-ordered prefix. A set emits for its own class and for classes of larger
+sets within reach.
+
+For lower thresholds parts would hold one token or two and pair unlike texts. Put all tokens in one fixed order. Two sets with Jaccard >= t share more than they can lose, so
 they share one of their first n - ceil(t * n) + 1 tokens (n the size of each). Any order is right; one with rare tokens
 first makes few false candidates, as common passages come late. Rarity is how many documents of the whole corpus have a
 token in its slot of a table of `SLOTS` counters, filled by one pass and of fixed size whatever the corpus; clashes in
@@ -16,6 +23,7 @@ are cut into blocks, and all pairs of blocks are traversed but those whose texts
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -30,6 +38,9 @@ from detlake.session import durable
 BITS = 2048
 FANOUT = 8
 BLOCK = 8000
+_PART = np.uint64(0xC2B2AE3D27D4EB4F)
+#: from this threshold on, candidates agree in a part; below, in a rare token
+PARTS_FROM = 0.85
 SLOT_BITS = 24
 SLOTS = 1 << SLOT_BITS
 CHUNKS = 64
@@ -79,6 +90,49 @@ def prefix(tokens: np.ndarray, steps: np.ndarray, num: int, den: int) -> np.ndar
     return tokens[order[:n - -(-n * num // den) + 1]]
 
 
+class Classes:
+    """Size classes for a threshold of num / den: bounds, allowed differences, number of parts."""
+
+    def __init__(self, num: int, den: int):
+        self.num, self.den, self.rows = num, den, []
+        low = 1
+        while low < 1 << 40:
+            high = max(low, low * 8 // 5)
+            self.rows.append((low, high, *self._parts(low, high)))
+            low = high + 1
+        self.lows = np.array([r[0] for r in self.rows])
+
+    def _parts(self, low: int, high: int) -> tuple[int, int]:
+        differ = (self.den - self.num) * 2 * high // (self.den + self.num)
+        if not differ:
+            return 0, 1
+        parts = differ + 1
+        while parts < 4 * differ + 8:
+            empty = parts * math.exp(-low / parts)
+            if parts - differ - 1 >= empty + 3 * math.sqrt(empty):
+                break
+            parts += max(1, parts // 64)
+        return differ, parts
+
+    def signatures(self, tokens: np.ndarray) -> np.ndarray:
+        n, found = len(tokens), []
+        own = int(np.searchsorted(self.lows, n, "right")) - 1
+        spread = mix(tokens ^ _PART)
+        for c in range(own, len(self.rows)):
+            low, _, differ, parts = self.rows[c]
+            if c > own and n * self.den < low * self.num:
+                break
+            part = (tokens >> np.uint64(1)) % np.uint64(parts)
+            order = np.argsort(part, kind="stable")
+            heads = np.flatnonzero(np.diff(part[order], prepend=np.uint64(parts)))
+            sums = np.add.reduceat(spread[order], heads)
+            found.append(mix(sums ^ mix(part[order][heads] + np.uint64(c << 44))))
+            if parts - len(heads) > parts - 1 - differ:
+                first = n - -(-n * self.num // self.den) + 1
+                found.append(mix(tokens[:first] ^ mix(np.array([c + (1 << 60)], np.uint64))))
+        return np.concatenate(found)
+
+
 def star(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """One owner (the smallest) for each key, and distinct links (smallest, other) to its other owners."""
     order = np.lexsort((owners, keys))
@@ -102,7 +156,8 @@ def candidate_links(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """(a, b): text ids of which every pair of similar texts is joined by a path. `texts`: (tid long, text)."""
     spark = texts.sparkSession
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = spark.sparkContext.broadcast(rarity(texts, k))
+    classes = Classes(num, den) if num >= PARTS_FROM * den else None
+    shared = None if classes else spark.sparkContext.broadcast(rarity(texts, k))
 
     def emit(batches):
         def flush(keys, owners):
@@ -122,7 +177,7 @@ def candidate_links(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
             tids = batch.column("tid").to_numpy(zero_copy_only=False)
             for tid, tokens in zip(tids, _sets(batch, "text", k)):
                 if len(tokens):
-                    own = mix(prefix(tokens, shared.value, num, den))
+                    own = classes.signatures(tokens) if classes else mix(prefix(tokens, shared.value, num, den))
                     keys.append(own)
                     owners.append(np.full(len(own), tid, np.int64))
                     held += len(own)
