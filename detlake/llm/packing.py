@@ -1,10 +1,12 @@
 """Best-fit packing into bins of several permitted lengths.
 
 A document's tokens are the bytes of its UTF-8 text and one end mark. A document longer than the largest length is split into
-pieces of that length and a rest. Pieces are packed by best fit, longest first: a piece goes to the open bin that it leaves
-the least room in; if none has room, a bin is opened with the permitted length of least cost per token that this piece and
-those still to come can fill; at the end each bin shrinks to the smallest permitted length that holds its contents. A bin
-costs its length and a fixed `overhead`.
+pieces of that length and a rest. A bin of length c costs c, a fixed `overhead`, and c² / `attention` for attention, which grows
+with the square of the length. `pack_jointly` fills one bin after the other: the longest piece left is tried in each permitted
+length that holds it, each filled up with the longest pieces that still fit, and the length of least cost per token packed is
+taken. So padding and length are weighed together, and a bin never has a longer length than its contents need.
+
+`pack` is best fit by length and overhead alone, where the largest length always costs least; it is the yardstick of the tests.
 
 Documents are dealt into groups by a hash, about `group_tokens` tokens each, and groups are packed apart, so no task holds
 more than its group; a group's bins but the last few are full, so the groups cost little. Only ids and lengths are
@@ -23,6 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 LENGTHS = (512, 1024, 2048, 4096, 8192, 16384)
 OVERHEAD = 32
 GROUP_TOKENS = 16_000_000
+#: length at which attention costs as much as everything else that grows with the tokens
+ATTENTION = 8192
 
 
 def pack(sizes: list[int], lengths: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD) -> tuple[list[tuple[int, int]], list[int]]:
@@ -51,6 +55,63 @@ def pack(sizes: list[int], lengths: tuple[int, ...] = LENGTHS, overhead: int = O
     return placed, [next(c for c in lengths if c >= n) for n in used]
 
 
+def bin_cost(length: int, overhead: int = OVERHEAD, attention: int = ATTENTION) -> float:
+    return length + overhead + length * length / attention
+
+
+def pack_jointly(sizes: list[int], lengths: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD, attention: int = ATTENTION) -> tuple[list[tuple[int, int]], list[int]]:
+    """For sizes in falling order, each within the largest length: (bin, offset) of each; length of each bin."""
+    lengths = tuple(sorted(lengths))
+    cost = {c: bin_cost(c, overhead, attention) for c in lengths}
+    count = [0] * (max(sizes, default=0) + 1)
+    for size in sizes:
+        count[size] += 1
+    following, at = [0] * len(count), 0
+    for size in range(len(count) - 1, 0, -1):
+        following[size] = at
+        at += count[size]
+    # the largest size up to one that still has pieces; sizes only run out, so paths may be cut short
+    below = [n if count[n] else n - 1 for n in range(len(count))]
+    below[0] = 0
+
+    def largest(n: int) -> int:
+        while below[n] != n:
+            below[n] = below[below[n]]
+            n = below[n]
+        return n
+
+    def filled(room: int, size: int) -> list[tuple[int, int]]:
+        taken = []
+        while size:
+            n = min(count[size], room // size)
+            taken.append((size, n))
+            room -= n * size
+            size = largest(min(room, size - 1))
+        return taken
+
+    placed, bins = [(0, 0)] * len(sizes), []
+    while first := largest(len(count) - 1):
+        best = None
+        for length in lengths:
+            if length >= first:
+                taken = filled(length, first)
+                total = sum(size * n for size, n in taken)
+                length = next(c for c in lengths if c >= total)
+                if best is None or cost[length] / total < best[0]:
+                    best = cost[length] / total, length, taken
+        offset = 0
+        for size, n in best[2]:
+            for _ in range(n):
+                placed[following[size]] = len(bins), offset
+                following[size] += 1
+                offset += size
+            count[size] -= n
+            if not count[size]:
+                below[size] = size - 1
+        bins.append(best[1])
+    return placed, bins
+
+
 def packed(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, overhead: int = OVERHEAD, group_tokens: int = GROUP_TOKENS, text: str = "text", id: str = "doc_id") -> DataFrame:
     """One row for each piece: (id, piece, start, n_tokens, bin, bin_length, bin_offset): bytes `start` on of the text lie
     `bin_offset` tokens into a bin of `bin_length`. The last piece of a document ends with its end mark."""
@@ -65,7 +126,7 @@ def packed(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, overhead: int =
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "id", "crc", "piece"], ascending=[False, True, True, True], ignore_index=True)
-        placed, length = pack(pdf["size"].tolist(), lengths, overhead)
+        placed, length = pack_jointly(pdf["size"].tolist(), lengths, overhead)
         group = int(pdf["group"].iat[0])
         bins = [name for name, _ in placed]
         return pdf[["id", "piece", "start", "size"]].assign(bin=[f"{group}-{name}" for name in bins], bin_length=[length[name] for name in bins], bin_offset=[at for _, at in placed])

@@ -102,6 +102,52 @@ def test_pack(seed):
     assert P.pack(sizes, (16, 32, 64), 2) == best_fit(sizes, (16, 32, 64), 2)
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_pack_jointly(seed):
+    rnd = random.Random(seed)
+    sizes = sorted((rnd.choice([rnd.randint(1, 64), rnd.randint(1, 9), 64]) for _ in range(rnd.randint(0, 200))), reverse=True)
+    placed, length = P.pack_jointly(sizes, (16, 32, 64), 2, 64)
+    held = [sorted((at, size) for (b, at), size in zip(placed, sizes) if b == name) for name in range(len(length))]
+    for c, rows in zip(length, held):
+        assert [at for at, _ in rows] == [sum(n for _, n in rows[:i]) for i in range(len(rows))]
+        assert c == min(x for x in (16, 32, 64) if x >= sum(n for _, n in rows))
+    # by definition: the longest piece left, each length filled with the longest that fit, least cost a token
+    left, expected = list(sizes), []
+    while left:
+        tried = []
+        for c in (16, 32, 64):
+            if c >= left[0]:
+                room, taken = c, []
+                for size in left:
+                    if size <= room:
+                        taken.append(size)
+                        room -= size
+                n = sum(taken)
+                c = min(x for x in (16, 32, 64) if x >= n)
+                tried.append((P.bin_cost(c, 2, 64) / n, c, taken))
+        _, c, taken = min(tried, key=lambda x: x[:2])
+        expected.append((c, sorted(taken)))
+        for size in taken:
+            left.remove(size)
+    assert [(c, sorted(n for _, n in rows)) for c, rows in zip(length, held)] == expected
+
+
+def test_several_lengths(spark):
+    """On the real sizes several lengths are opened, and the cost beats that of the one length that holds every piece."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = P.packed(docs).toPandas()
+    used = out.drop_duplicates("bin").bin_length
+    assert used.nunique() >= 4 and used.value_counts(normalize=True).max() < 0.9
+    sizes = sorted(out.n_tokens.tolist(), reverse=True)
+    cost = sum(map(P.bin_cost, used))
+    largest = max(P.LENGTHS)
+    single = [c for c in P.LENGTHS if c >= sizes[0]]
+    assert cost < min(sum(map(P.bin_cost, P.pack(sizes, (c,))[1])) for c in single)
+    assert cost < sum(map(P.bin_cost, P.pack(sizes)[1])) and sizes[0] <= largest
+    # nor is it one bin for each piece, in the smallest length that holds it
+    assert cost < sum(P.bin_cost(min(c for c in P.LENGTHS if c >= n)) for n in sizes)
+
+
 def test_packed(spark):
     rnd = random.Random(2)
     rows = [(i, "é" * rnd.choice([0, 1, 10, 200, 5000]), "b") for i in range(60)] + [(70, None, "b"), (None, "x" * 100, "b"), (None, "x" * 100, "b"), (3, "y", "b")]
