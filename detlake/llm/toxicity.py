@@ -1,18 +1,23 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick after folding look-alike characters and digit substitutions,
 normalised by length, with exception phrases.
 
-The lexicon is learnt: a word's weight is its log odds between toxic and other texts of a bounded sample of labelled rows.
+A base lexicon of insults is the floor; the rest is learnt: a word's weight is its log odds between toxic and other texts of a
+bounded sample of labelled rows. A word is learnt when its log likelihood ratio against the rate of all words is beyond the
+logarithm of the number of stems compared, so whatever the number of labels about one stem gets in by chance. The weight of
+a base word moves from its given one to its log odds as occurrences come in, and the word goes where these speak against it.
 Occurrences count by their distinct pairs of neighbours, so copies of one text do not make its words toxic. Phrases of two
 words with a lexicon word that belong to other texts become exceptions, beside given ones. A text's score is a logistic
 function of its summed weights, of that sum for a hundred words, and of whether there is any match.
 
 Entries are stems, so inflected and compound words count; a match begins where a word begins.
 
-Defined cases: null and empty texts have no match; without labelled rows no word is in the lexicon and all scores are 0;
+Defined cases: null and empty texts have no match; without labelled rows the base lexicon stands alone and
+the calibration is `PRIOR`;
 repeated rows score alike; other columns are ignored; long texts count whole."""
 
 from __future__ import annotations
 
+import math
 import re
 
 import numpy as np
@@ -27,11 +32,21 @@ from detlake.session import durable
 LEXICON = 5_000
 #: letters of a stem, and of a word that stems are taken from
 SHORTEST, LONGEST = 3, 24
-#: distinct surroundings in toxic texts that a word needs
-SUPPORT = 8
+#: insults in four languages as stems, with weights: 3 for words that have other uses, 4 for mild and 5 for strong ones
+BASE = {
+    **dict.fromkeys("clown creep dumb filth garbage loser pathetic pervert ridicul trash abschaum widerlich dégoût escoria".split(), 3.0),
+    **dict.fromkeys("coward cretin crétin degenerate disgusting fool idiot imbecil imbécil lunatic moron scum stupid worthless dumm blödmann trottel versager débile minable estúpid inútil".split(), 4.0),
+    **dict.fromkeys("asshole bastard bitch bullshit cunt dickhead dipshit douchebag fuck motherfuck shithead slut whore wanker arschloch hurensohn missgeburt schlampe wichser connard connasse enculé salope cabrón gilipollas pendej".split(), 5.0),
+}
+#: occurrences that weigh as much as the given weight of a base word
+BASE_EVIDENCE = 8
+#: base words that fall below this weight go
+LEAST_BASE = 1.0
+#: calibration without labels, which labels move away from
+PRIOR = (-4.0, 1.0, 1.0, 1.0)
 LEAST_WEIGHT = 3.0
 HEAVIEST = 6.0
-EXCEPTIONS = ("trash can", "trash bin", "clown fish", "sore loser")
+EXCEPTIONS = ("trash can", "trash bin", "clown fish", "sore loser", "dumbbell", "foolproof", "garbage can", "garbage collect")
 
 # fixed values: characters that stand for a Latin letter (digits and signs, Cyrillic, Greek)
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
@@ -49,8 +64,12 @@ def lowered(text: str) -> str:
     return text.lower().translate(HIDDEN) if not text.isascii() else text.lower()
 
 
+def _folded(text: str) -> str:
+    return lowered(text).translate(PLAIN)
+
+
 def folded_words(text: str) -> list[str]:
-    return WORD.findall(lowered(text).translate(PLAIN).replace("_", " ")) if text else []
+    return WORD.findall(_folded(text).replace("_", " ")) if text else []
 
 
 class Matcher:
@@ -116,6 +135,25 @@ def minimal_stems(stems: dict[str, tuple[int, int, float]]) -> dict[str, float]:
     return {full: min(w, HEAVIEST) for _, w, full in spelt.values()}
 
 
+def with_base(learnt: dict[str, float], seen: dict[str, tuple[int, float]], base: dict[str, float]) -> dict[str, float]:
+    """Learnt stems and base stems, none beginning with another. `seen`: (occurrences, log odds) of base stems."""
+    lexicon = {}
+    for stem, given in base.items():
+        n, odds = seen.get(stem, (0, 0.0))
+        weight = (BASE_EVIDENCE * given + n * odds) / (BASE_EVIDENCE + n)
+        if weight >= LEAST_BASE:
+            lexicon[stem] = min(weight, HEAVIEST)
+    for stem, weight in learnt.items():
+        short = next((s for s in lexicon if stem.startswith(s)), None)
+        if short is not None:
+            lexicon[short] = max(lexicon[short], weight)
+            continue
+        for longer in [s for s in lexicon if s.startswith(stem)]:
+            weight = max(weight, lexicon.pop(longer))
+        lexicon[stem] = weight
+    return lexicon
+
+
 def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], tuple[str, ...]]:
     """(weight of each lexicon word, exception phrases) from a bounded sample (id, label, text)."""
 
@@ -142,10 +180,14 @@ def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], tuple[str, ...]]:
     # stems: the beginnings of words, over distinct words and their places
     stems = (counts.where(F.length("word").between(SHORTEST, LONGEST)).withColumn("stem", F.explode(F.transform(F.sequence(F.lit(SHORTEST), F.length("word")), lambda n: F.substring("word", F.lit(1), n))))
              .groupBy("stem").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
-    top = stems.where(F.col("a") >= SUPPORT).withColumn("w", odds).where(F.col("w") >= LEAST_WEIGHT).orderBy(F.desc("a"), F.desc("w"), "stem").limit(LEXICON).collect()
-    lexicon = minimal_stems({r.stem: (r.a, r.b, float(r.w)) for r in top})
-    if not lexicon:
-        return {}, ()
+    # likelihood of a stem's share of toxic places against that of all words; many stems are compared, and chance must not pass
+    n, share = F.col("a") + F.col("b"), bad / (bad + good)
+    ratio = F.col("a") * F.log(F.col("a") / n / share) + F.when(F.col("b") > 0, F.col("b") * F.log(F.col("b") / n / (1 - share))).otherwise(0.0)
+    compared = max(stems.count(), 1)
+    top = stems.where("a > 0").withColumn("w", odds).where((F.col("w") >= LEAST_WEIGHT) & (ratio >= math.log(compared))).orderBy(F.desc("a"), F.desc("w"), "stem").limit(LEXICON).collect()
+    base = {_folded(word): weight for word, weight in BASE.items()}
+    seen = stems.where(F.col("stem").isin(list(base))).select("stem", n.alias("n"), odds.alias("w")).collect()
+    lexicon = with_base(minimal_stems({r.stem: (r.a, r.b, float(r.w)) for r in top}), {r.stem: (r.n, float(r.w)) for r in seen}, base)
     found = F.array_intersect(F.transform(F.sequence(F.lit(SHORTEST), F.lit(LONGEST)), lambda n: F.substring("word", F.lit(1), n)), F.array(*(F.lit(x) for x in lexicon)))
     held = places.where(F.size(found) > 0)
     pairs = held.select(F.concat_ws(" ", "word", "behind").alias("phrase"), "bad", "good", F.col("behind").alias("o")).unionByName(
@@ -155,24 +197,24 @@ def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], tuple[str, ...]]:
 
 
 def fit(signals: np.ndarray, labels: np.ndarray) -> np.ndarray:
-    """Logistic regression by Newton steps with a small ridge."""
-    w = np.zeros(signals.shape[1])
+    """Logistic regression by Newton steps with a small ridge around `PRIOR`."""
+    w = prior = np.array(PRIOR)
     for _ in range(25):
         p = 1 / (1 + np.exp(-signals @ w))
         h = (signals * (p * (1 - p))[:, None]).T @ signals + 0.5 * np.eye(len(w))
-        w -= np.linalg.solve(h, signals.T @ (p - labels) + 0.5 * w)
+        w = w - np.linalg.solve(h, signals.T @ (p - labels) + 0.5 * (w - prior))
     return w
 
 
 class Scorer:
     """Matcher and calibration."""
 
-    def __init__(self, matcher: Matcher, model: np.ndarray | None):
+    def __init__(self, matcher: Matcher, model: np.ndarray):
         self.matcher, self.model = matcher, model
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
-        if self.model is None or not texts:
-            return np.zeros(len(texts))
+        if not texts:
+            return np.zeros(0)
         found = np.array([self.matcher.weight(t) if t else (0.0, 0) for t in texts], float)
         return 1 / (1 + np.exp(-_signals(found[:, 0], found[:, 1]) @ self.model))
 
@@ -182,8 +224,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     """Lexicon and calibration from the labelled rows whose crc32(id) mod `folds` is not `held`."""
     sample = durable(training_rows(docs, labels, label, F.pmod(crc_of("id"), F.lit(folds)) != held, rows, text, id))
     lexicon, learnt = learn_lexicon(sample)
-    if not lexicon:
-        return Scorer(Matcher({}, ()), None)
     matcher = Matcher(lexicon, (*exceptions, *learnt))
 
     def weigh(batches):

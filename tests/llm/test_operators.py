@@ -200,6 +200,29 @@ def test_matcher():
     assert T.Matcher({}, ()).weight("x") == (0.0, 1)
 
 
+def test_few_labels(spark):
+    """Insults are known with few labels, in one group of copies, and with none."""
+    small = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet")
+    said = ["worthless", "scum", "moron", "loser", "stupid", "trash", "idiot", "clown", "bastard"]
+    for given in (labels, labels.where("false")):
+        scorer = T.train(docs, given)
+        assert all(scorer.matcher.weight(f"you {w}")[0] > 0 for w in said) and (scorer([f"you {w} and idiot" for w in said]) >= 0.7).all()
+        assert (scorer(["a fine day at the lake", "", None]) < 0.3).all()
+    got = T.toxicity_scores(docs, labels).toPandas().merge(labels.toPandas(), on="doc_id").merge(docs.select("doc_id", "text").toPandas(), on="doc_id")
+    # some texts are labelled toxic without any insult
+    insulting = got.text.fillna("").str.lower().str.contains(r"\b(?:" + "|".join([*said, "pathetic", "disgusting"]) + ")")
+    assert (got.predicted[insulting & (got.toxic == 1)] == 1).all() and insulting[got.toxic == 1].sum() >= 5 and got.predicted[got.toxic == 0].mean() < 0.05
+
+
+def test_evidence_for_words(spark):
+    """Words are learnt by what they tell, base words yield to it."""
+    rows = [(i, i % 50 == 0, f"{'zorgle' if i % 50 == 0 else 'plain'} a{i} b{i} {'clown' if i % 50 == 1 else 'word'} c{i} clown d{i}") for i in range(250)]
+    lexicon, _ = T.learn_lexicon(spark.createDataFrame([(i, int(y), t) for i, y, t in rows], "id long, label int, text string"))
+    assert any("zorgle".startswith(s) for s in lexicon) and "clown" not in lexicon and "moron" in lexicon
+    assert T.with_base({"idiotic": 6.0, "mor": 3.5, "new": 3.0}, {"clown": (100, -1.0)}, {"idiot": 4.0, "moron": 4.0, "clown": 3.0}) == {"idiot": 6.0, "mor": 4.0, "new": 3.0}
+
+
 def test_toxic_out(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     docs = docs.unionByName(spark.createDataFrame([(None, None, "en", "s", 0), (10 ** 6, "you idiot, stupid clown and moron", "en", "s", 0)], docs.schema)).withColumn("score", F.lit("x"))
