@@ -1,4 +1,4 @@
-"""Toxicity: a weighted lexicon matched by Aho-Corasick after folding look-alike characters and digit substitutions,
+"""Toxicity: a weighted lexicon matched by Aho-Corasick in text and lexicon folded to one skeleton of look-alike letters,
 normalised by length, with exception phrases.
 
 A base lexicon of insults is the floor; the rest is learnt: a word's weight is its log odds between toxic and other texts of a
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 
 import numpy as np
 import pandas as pd
@@ -48,28 +49,32 @@ LEAST_WEIGHT = 3.0
 HEAVIEST = 6.0
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "sore loser", "dumbbell", "foolproof", "garbage can", "garbage collect")
 
-# fixed values: characters that stand for a Latin letter (digits and signs, Cyrillic, Greek)
-DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
+# fixed values: characters that stand for a Latin letter (digits and signs, Cyrillic, Greek); letters that look alike share one
+CLASSES = {"l": "i"}
+DIGITS = {"0": "o", "1": "i", "!": "i", "|": "i", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s"}
+#: a sign with a second reading
+SECOND = {"6": "b"}
 LOOKALIKES = {"а": "a", "в": "b", "е": "e", "ѕ": "s", "і": "i", "ј": "j", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x", "ԁ": "d",
               "ԛ": "q", "ԝ": "w", "һ": "h", "ӏ": "l", "г": "r", "α": "a", "β": "b", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x",
               "ı": "i", "ɑ": "a", "ɡ": "g", "ⅼ": "l", "ո": "n", "ѵ": "v"}
-HIDDEN = {c: None for c in (0x00AD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF)}
-FOLDED = str.maketrans({**DIGITS, **LOOKALIKES, **{chr(0xFF41 + i): chr(97 + i) for i in range(26)}})
-PLAIN = str.maketrans({**LOOKALIKES, **{chr(0xFF41 + i): chr(97 + i) for i in range(26)}})
+#: characters that are not seen, and diacritics
+HIDDEN = {c: None for c in (0x00AD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, *range(0x0300, 0x0370), *range(0x1AB0, 0x1B00), *range(0x1DC0, 0x1E00), *range(0x20D0, 0x2100), *range(0xFE20, 0xFE30))}
+SKELETON = str.maketrans({c: CLASSES.get(x, x) for c, x in {**CLASSES, **DIGITS, **LOOKALIKES}.items()})
+OTHER = SKELETON | str.maketrans(SECOND)
 WORD = re.compile(r"[^\W_](?:[^\s,.;:!?|()\"#%&*]*[^\W_])?")
 
 
 def lowered(text: str) -> str:
-    """Lower case without hidden characters; the same length as both foldings of it."""
-    return text.lower().translate(HIDDEN) if not text.isascii() else text.lower()
+    """Lower case, decomposed, without diacritics and hidden characters; places in a skeleton are places in it."""
+    return text.lower() if text.isascii() else unicodedata.normalize("NFKD", text.lower()).lower().translate(HIDDEN)
 
 
-def _folded(text: str) -> str:
-    return lowered(text).translate(PLAIN)
+def skeleton(text: str) -> str:
+    return lowered(text).translate(SKELETON)
 
 
 def folded_words(text: str) -> list[str]:
-    return WORD.findall(_folded(text).replace("_", " ")) if text else []
+    return [w.translate(SKELETON) for w in WORD.findall(lowered(text).replace("_", " "))] if text else []
 
 
 class Matcher:
@@ -88,9 +93,12 @@ class Matcher:
         import ahocorasick
 
         self._auto = ahocorasick.Automaton()
+        weights: dict[str, float] = {}
         for word, weight in self.lexicon.items():
+            weights[skeleton(word)] = max(weight, weights.get(skeleton(word), weight))
+        for word, weight in weights.items():
             self._auto.add_word(word, (len(word), weight))
-        for phrase in self.exceptions:
+        for phrase in map(skeleton, self.exceptions):
             self._auto.add_word(phrase, (len(phrase), None))
         if len(self._auto):
             self._auto.make_automaton()
@@ -104,7 +112,7 @@ class Matcher:
             return 0.0, words
         low = lowered(text)
         found, spared = {}, []
-        for form in {low.translate(FOLDED), low.translate(PLAIN)}:
+        for form in (low.translate(SKELETON), *([low.translate(OTHER)] if "6" in low else [])):
             for end, (size, weight) in self._auto.iter(form):
                 start = end - size + 1
                 if start and low[start - 1].isalnum():
@@ -185,7 +193,7 @@ def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], tuple[str, ...]]:
     ratio = F.col("a") * F.log(F.col("a") / n / share) + F.when(F.col("b") > 0, F.col("b") * F.log(F.col("b") / n / (1 - share))).otherwise(0.0)
     compared = max(stems.count(), 1)
     top = stems.where("a > 0").withColumn("w", odds).where((F.col("w") >= LEAST_WEIGHT) & (ratio >= math.log(compared))).orderBy(F.desc("a"), F.desc("w"), "stem").limit(LEXICON).collect()
-    base = {_folded(word): weight for word, weight in BASE.items()}
+    base = {skeleton(word): weight for word, weight in BASE.items()}
     seen = stems.where(F.col("stem").isin(list(base))).select("stem", n.alias("n"), odds.alias("w")).collect()
     lexicon = with_base(minimal_stems({r.stem: (r.a, r.b, float(r.w)) for r in top}), {r.stem: (r.n, float(r.w)) for r in seen}, base)
     found = F.array_intersect(F.transform(F.sequence(F.lit(SHORTEST), F.lit(LONGEST)), lambda n: F.substring("word", F.lit(1), n)), F.array(*(F.lit(x) for x in lexicon)))

@@ -200,6 +200,15 @@ def test_matcher():
     assert T.Matcher({}, ()).weight("x") == (0.0, 1)
 
 
+def test_substitutions():
+    m = T.Matcher({w: 1.0 for w in ("asshole", "loser", "clown", "idiot", "moron", "bastard", "garbage", "nazi", "trottel", "scum", "crétin", "filth")}, ("sore loser",))
+    for word in ("assho1e", "1oser", "c1own", "id!ot", "|diot", "!diot", "idi0t", "morön", "moro\u0308n", "ïdiot", "m0r0n", "6astard", "8astard", "9arbage", "6arbage", "na2i", "7ro77el", "@sshole", "a$$ho|e",
+                 "5cum", "cretin", "crétin", "cr3tin", "fi1th", "fi!th", "FILTH", "CRÉTIN", "ＩＤＩＯＴ", "idіоt", "lDIOT", "cl\u200bown"):
+        assert m.weight(f"you {word}, go")[0] == 1.0 and m.weight(word)[0] == 1.0, word
+        assert m.weight(f"aé{word}")[0] == 0.0, word
+    assert m.weight("no 10000 of 6 | 9! crown, ﬁne")[0] == 0.0 and m.weight("a s0re 1öser")[0] == 0.0 and m.weight("idiot! ﬁlth")[0] == 2.0
+
+
 def test_few_labels(spark):
     """Insults are known with few labels, in one group of copies, and with none."""
     small = "/root/testdata/sf0.001"
@@ -219,7 +228,7 @@ def test_evidence_for_words(spark):
     """Words are learnt by what they tell, base words yield to it."""
     rows = [(i, i % 50 == 0, f"{'zorgle' if i % 50 == 0 else 'plain'} a{i} b{i} {'clown' if i % 50 == 1 else 'word'} c{i} clown d{i}") for i in range(250)]
     lexicon, _ = T.learn_lexicon(spark.createDataFrame([(i, int(y), t) for i, y, t in rows], "id long, label int, text string"))
-    assert any("zorgle".startswith(s) for s in lexicon) and "clown" not in lexicon and "moron" in lexicon
+    assert any(T.skeleton("zorgle").startswith(s) for s in lexicon) and T.skeleton("clown") not in lexicon and "moron" in lexicon
     assert T.with_base({"idiotic": 6.0, "mor": 3.5, "new": 3.0}, {"clown": (100, -1.0)}, {"idiot": 4.0, "moron": 4.0, "clown": 3.0}) == {"idiot": 6.0, "mor": 4.0, "new": 3.0}
 
 
