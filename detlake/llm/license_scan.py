@@ -1,4 +1,7 @@
-"""License scans: an exact set-similarity join of text blocks (lines) with license templates, in DataFrame functions only.
+"""License scans: an exact set-similarity join of text blocks with license templates, in DataFrame functions only.
+
+Blocks are the lines of a text and, as published notices are wrapped, windows over all its words whatever the line ends: twice as
+many words as the longest template has, a new one after each such number, so a notice of that many words lies whole in one.
 
 Tokens are ordered by how often they occur in all documents, rarest first. A block contains a template if it holds at least
 `num` / `den` of its distinct tokens, so at least `need`; then it holds one of the template's first size - need + 1 tokens
@@ -32,9 +35,12 @@ TEMPLATES = {
 NUM, DEN = 80, 100
 
 
-def _blocks(text: Column) -> Column:
-    """Words of each line."""
-    return F.transform(F.split(lower_ascii(F.coalesce(text, F.lit(""))), "\n"), lambda line: words(line, BREAKS))
+def _blocks(text: Column, step: int) -> Column:
+    """Words of each line, and of windows of 2 `step` words that begin `step` words apart."""
+    low = lower_ascii(F.coalesce(text, F.lit("")))
+    lines = F.transform(F.split(low, "\n"), lambda line: words(line, BREAKS))
+    windows = let(words(low, BREAKS), lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w), F.lit(1)), F.lit(step)), lambda i: F.slice(w, i, 2 * step)))
+    return F.when(F.contains(low, F.lit("\n")), F.concat(lines, windows)).otherwise(lines)
 
 
 def template_tokens(templates: dict[str, str]) -> list[str]:
@@ -61,7 +67,7 @@ def contained_templates(docs: DataFrame, templates: dict[str, str] = TEMPLATES,
     entries = F.array(*(F.struct(F.lit(t).alias("token"), F.lit(n).alias("template"), F.lit(i).alias("i"), F.lit(size).alias("size"), F.lit(k).alias("need"),
                                  F.array(*(F.lit(x) for x in sets[n])).alias("own")) for t, n, i, size, k in index))
     index = docs.sparkSession.range(1).select(F.inline(entries))
-    held = F.transform(F.filter(_blocks(F.col(text)), lambda b: F.arrays_overlap(b, F.lit(prefixes))), lambda b: F.array_intersect(F.lit(order), b))
+    held = F.transform(F.filter(_blocks(F.col(text), max(len(t.split()) for t in templates.values())), lambda b: F.arrays_overlap(b, F.lit(prefixes))), lambda b: F.array_intersect(F.lit(order), b))
     blocks = docs.select(F.xxhash64(text).alias("tid"), F.explode(F.filter(held, lambda b: F.size(b) >= least)).alias("block"))
     pairs = blocks.select("tid", "block", F.posexplode("block").alias("j", "token")).join(F.broadcast(index), "token")
     room = F.least("i", "j") + 1 + F.least(F.col("size") - F.col("i") - 1, F.size("block") - F.col("j") - 1)

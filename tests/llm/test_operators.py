@@ -298,3 +298,13 @@ def test_licenses(spark):
     assert got[4] == (5, 0, None, None, "", "mit", 1.0) and got[5][:4] == (60_002, 1, 60_000, 60_000) and got[6][5] == "" and got[7][5] == "apache-2.0" and got[8][1] == 0
     assert got[9] == (9, 3, 0, 6, "gpl,reserved", "gpl,reserved", 1.0)
     assert L.scanned(docs.where("false")).count() == 0
+
+
+def test_wrapped_licenses(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"
+    apache = "you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at"
+    texts = {(name, n): "\n".join(["filler words here"] * n) + "\n# " + text.replace("\n", "\n# ") + "\n\nmore words" * n for n in (0, 1, 5, 9, 14) for name, text in (("bsd", bsd), ("mit-text", mit), ("apache-2.0-text", apache))}
+    rows = [(i, t) for i, t in enumerate(texts.values())] + [(90, "redistribution and use\n" + "word " * 100 + "\nin source and binary forms with or without modification are")]
+    got = {r.doc_id: (r.labels, r.score) for r in L.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == [(name, 1.0) for name, _ in texts] and got[90] == ("", 0.0)
