@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from detlake.llm import (decontaminate, jaccard_join, license_scan, packing, quality_classifier, quality_rules, sharding,
-                         suffix_dedup, toxicity, url_filter)
+from detlake.llm import (decontaminate, exact_dedup, jaccard_join, license_scan, packing, prefix_trie, quality_classifier, quality_rules,
+                         sharding, suffix_dedup, toxicity, url_filter, whitening)
 
 _REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -185,6 +185,37 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scanned(table(spark, folder, "documents"))
 
 
+@query("op11_exact_dedup", f"""
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+FROM (SELECT doc_id, {LOWERED} AS norm FROM documents) WINDOW w AS (PARTITION BY norm)""")
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.copies(table(spark, folder, "documents"), largest=True)
+
+
+# eigenvectors have no SQL form; a plain covariance is the yardstick of the tests
+@query("op12_embedding_whitening")
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
+@query("op13_prefix_trie", f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+l AS MATERIALIZED (SELECT conv_id, list({{r: r, t: t}} ORDER BY turn NULLS FIRST, sha256(length(r) || ':' || r || t)) AS l FROM t GROUP BY conv_id),
+h AS (SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(lower(hex(encode(CAST(conv_id AS VARCHAR)))), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+   lambda a, x: xor({_crc_steps()}[(xor(a, x) & 255) + 1], a >> 8)), 4294967295) % 6 AS h FROM l),
+b AS MATERIALIZED (SELECT h.conv_id, coalesce(b.l, h.l[1:0])[1:h] || h.l[h + 1:] AS l FROM h LEFT JOIN l b ON b.conv_id = h.conv_id - h.conv_id % 100),
+p AS (SELECT conv_id, l, d, d = len(l) AS ends FROM (SELECT conv_id, l, unnest(range(0, len(l) + 1)) AS d FROM b)),
+k AS MATERIALIZED (SELECT conv_id, d, ends, l[1:d] AS k, sha256(CAST(to_json(l[1:d]) AS VARCHAR)) AS id FROM p),
+n AS MATERIALIZED (SELECT id, d, min(conv_id) AS conv_id, count(*) AS n, any_value(k) AS k, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS e FROM k GROUP BY id, d),
+a AS MATERIALIZED (SELECT id AS node, up, sha256(CAST(to_json(k[1:up]) AS VARCHAR)) AS id, CASE WHEN d > 0 THEN (n - 1) * length(k[d].t) ELSE 0 END AS own, d FROM (SELECT *, unnest(range(0, d + 1)) AS up FROM n)),
+c AS MATERIALIZED (SELECT id, count(*) AS kids FROM a WHERE up = d - 1 GROUP BY id),
+s AS (SELECT a.id, sum(a.own) AS saved, count(*) FILTER (WHERE c.kids IS NULL) AS leaves FROM a LEFT JOIN c ON c.id = a.node GROUP BY a.id)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(c.kids, 0) AS n_children, s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(n.e) AS ends_sha256
+FROM n JOIN s USING (id) LEFT JOIN c USING (id) LEFT JOIN a ON a.node = n.id AND a.up = n.d - 1 LEFT JOIN n u ON u.id = a.id""")
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
