@@ -79,73 +79,81 @@ def test_no_benchmark(spark):
 
 # packing
 
-def best_fit(sizes, lengths, overhead):
-    bins, out, left = [], [], sum(sizes)
+LENGTHS = (16, 32, 64)
+
+
+def fitted(sizes, limits, opened):
+    """Best fit by definition, bin by bin."""
+    bins, out = [], []
     for size in sizes:
         fit = [b for b in bins if b[0] - b[1] >= size]
         if fit:
             b = min(fit, key=lambda b: (b[0] - b[1], b[2]))
         else:
-            length = min((c for c in lengths if c >= size), key=lambda c: ((c + overhead) / min(c, left), c))
-            b = [length, 0, len(bins)]
+            b = [next(o for n, o in zip(limits, opened) if size <= n), 0, len(bins)]
             bins.append(b)
         out.append((b[2], b[1]))
         b[1] += size
-        left -= size
-    return out, [min(c for c in lengths if c >= b[1]) for b in bins]
+    return out, [b[1] for b in bins]
 
 
-@pytest.mark.parametrize("seed", range(8))
-def test_pack(seed):
+def some_sizes(seed):
     rnd = random.Random(seed)
-    sizes = sorted((rnd.choice([rnd.randint(1, 64), rnd.randint(1, 9), 64]) for _ in range(rnd.randint(0, 200))), reverse=True)
-    assert P.pack(sizes, (16, 32, 64), 2) == best_fit(sizes, (16, 32, 64), 2)
+    return sorted((rnd.choice([rnd.randint(1, 64), rnd.randint(1, 9), 64]) for _ in range(rnd.randint(0, 200))), reverse=True)
 
 
 @pytest.mark.parametrize("seed", range(8))
-def test_pack_jointly(seed):
-    rnd = random.Random(seed)
-    sizes = sorted((rnd.choice([rnd.randint(1, 64), rnd.randint(1, 9), 64]) for _ in range(rnd.randint(0, 200))), reverse=True)
-    placed, length = P.pack_jointly(sizes, (16, 32, 64), 2, 64)
+@pytest.mark.parametrize("opened", [(16, 32, 64), (64, 64, 64), (32, 64, 64)])
+def test_best_fit(seed, opened):
+    sizes = some_sizes(seed)
+    assert P.best_fit(sizes, LENGTHS, opened) == fitted(sizes, LENGTHS, opened)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_lengths_are_chosen_jointly(seed):
+    """The cost of the search is that of best fit under some choice for all classes, no more than under any choice that differs in one
+    class or under the shortest lengths, and each bin has the smallest length that holds it."""
+    import itertools
+
+    sizes = some_sizes(seed)
+    cost = lambda used: sum(P.bin_cost(min(c for c in LENGTHS if c >= n), 2, 64) for n in used)
+    placed, length = P.pack_jointly(sizes, LENGTHS, 2, 64, classes=1)
     held = [sorted((at, size) for (b, at), size in zip(placed, sizes) if b == name) for name in range(len(length))]
     for c, rows in zip(length, held):
         assert [at for at, _ in rows] == [sum(n for _, n in rows[:i]) for i in range(len(rows))]
-        assert c == min(x for x in (16, 32, 64) if x >= sum(n for _, n in rows))
-    # by definition: the longest piece left, each length filled with the longest that fit, least cost a token
-    left, expected = list(sizes), []
-    while left:
-        tried = []
-        for c in (16, 32, 64):
-            if c >= left[0]:
-                room, taken = c, []
-                for size in left:
-                    if size <= room:
-                        taken.append(size)
-                        room -= size
-                n = sum(taken)
-                c = min(x for x in (16, 32, 64) if x >= n)
-                tried.append((P.bin_cost(c, 2, 64) / n, c, taken))
-        _, c, taken = min(tried, key=lambda x: x[:2])
-        expected.append((c, sorted(taken)))
-        for size in taken:
-            left.remove(size)
-    assert [(c, sorted(n for _, n in rows)) for c, rows in zip(length, held)] == expected
+        assert c == min(x for x in LENGTHS if x >= sum(n for _, n in rows))
+    total = sum(P.bin_cost(c, 2, 64) for c in length)
+    tried = {o: cost(fitted(sizes, LENGTHS, o)[1]) for o in itertools.product(LENGTHS, LENGTHS, LENGTHS) if all(x >= n for x, n in zip(o, LENGTHS))}
+    assert any(total == pytest.approx(v) for v in tried.values()) and total <= tried[LENGTHS] + 1e-9
+    best = [o for o, v in tried.items() if v == pytest.approx(total)]
+    near = lambda a, b: sum(x != y for x, y in zip(a, b)) == 1
+    assert any(all(v >= total - 1e-9 for o, v in tried.items() if near(o, b)) for b in best)
 
 
 def test_several_lengths(spark):
-    """On the real sizes several lengths are opened, and the cost beats that of the one length that holds every piece."""
+    """On the real sizes several lengths are opened, and the cost beats that of any one length and of best fit under the
+    shortest lengths."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = P.packed(docs).toPandas()
     used = out.drop_duplicates("bin").bin_length
     assert used.nunique() >= 4 and used.value_counts(normalize=True).max() < 0.9
     sizes = sorted(out.n_tokens.tolist(), reverse=True)
     cost = sum(map(P.bin_cost, used))
-    largest = max(P.LENGTHS)
-    single = [c for c in P.LENGTHS if c >= sizes[0]]
-    assert cost < min(sum(map(P.bin_cost, P.pack(sizes, (c,))[1])) for c in single)
-    assert cost < sum(map(P.bin_cost, P.pack(sizes)[1])) and sizes[0] <= largest
+    shrunk = lambda used: sum(P.bin_cost(min(c for c in P.LENGTHS if c >= n)) for n in used)
+    for c in P.LENGTHS:
+        if c >= sizes[0]:
+            assert cost < len(fitted(sizes, [c], [c])[1]) * P.bin_cost(c)
+    assert cost < shrunk(P.best_fit(sizes, P.LENGTHS, P.LENGTHS)[1]) and cost <= 5_152_384
     # nor is it one bin for each piece, in the smallest length that holds it
-    assert cost < sum(P.bin_cost(min(c for c in P.LENGTHS if c >= n)) for n in sizes)
+    assert cost < shrunk(sizes)
+
+
+def test_large_ids_beside_a_null_one(spark):
+    ids = [2 ** 53 + 1, 2 ** 53 + 3, None, -(2 ** 62) - 1]
+    out = P.packed(spark.createDataFrame([(i, "some text") for i in ids], "doc_id long, text string")).collect()
+    assert sorted(str(r.doc_id) for r in out) == sorted(map(str, ids))
+    out = P.packed(spark.createDataFrame([("b", "x"), (None, "y")], "doc_id string, text string")).collect()
+    assert sorted(str(r.doc_id) for r in out) == ["None", "b"]
 
 
 def test_packed(spark):
