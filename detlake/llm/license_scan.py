@@ -1,7 +1,8 @@
 """License scans: an exact set-similarity join of text blocks with license templates, in DataFrame functions only.
 
-Blocks are the lines of a text and, as published notices are wrapped, windows over all its words whatever the line ends: twice as
-many words as the longest template has, a new one after each such number, so a notice of that many words lies whole in one.
+Blocks are windows over the words of a whole text, whatever its line ends, as published notices are wrapped. A template of n
+words is sought in windows of twice `span` words that begin `span` words apart, span being the least of 8, 16, 32, ... from n on:
+a notice of n words lies whole in one of them, and words scattered over a text do not add up to a notice.
 
 Tokens are ordered by how often they occur in all documents, rarest first. A block contains a template if it holds at least
 `num` / `den` of its distinct tokens, so at least `need`; then it holds one of the template's first size - need + 1 tokens
@@ -29,18 +30,28 @@ TEMPLATES = {
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "cc-by-nc-4.0": "licensed under cc by nc 4 0",
     "gpl-3.0": "this work is licensed under the gnu general public license version 3",
+    "gpl-2.0-text": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
+    "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    "lgpl-text": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license",
     "mit": "released under the mit license",
     "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
+    "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "no-warranty": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability",
+    "public-domain": "this is free and unencumbered software released into the public domain",
 }
 NUM, DEN = 80, 100
 
 
-def _blocks(text: Column, step: int) -> Column:
-    """Words of each line, and of windows of 2 `step` words that begin `step` words apart."""
-    low = lower_ascii(F.coalesce(text, F.lit("")))
-    lines = F.transform(F.split(low, "\n"), lambda line: words(line, BREAKS))
-    windows = let(words(low, BREAKS), lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w), F.lit(1)), F.lit(step)), lambda i: F.slice(w, i, 2 * step)))
-    return F.when(F.contains(low, F.lit("\n")), F.concat(lines, windows)).otherwise(lines)
+def span(template: str) -> int:
+    n = 8
+    while n < len(template.split()):
+        n *= 2
+    return n
+
+
+def _blocks(w: Column, step: int) -> Column:
+    """Windows of 2 `step` words that begin `step` words apart."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(w), F.lit(1)), F.lit(step)), lambda i: F.slice(w, i, 2 * step))
 
 
 def template_tokens(templates: dict[str, str]) -> list[str]:
@@ -63,13 +74,20 @@ def contained_templates(docs: DataFrame, templates: dict[str, str] = TEMPLATES,
     sets = {name: sorted({*t.split()}, key=rank.__getitem__) for name, t in templates.items()}
     need = {name: -(-num * len(s) // den) for name, s in sets.items()}
     index = [(t, name, i, len(s), need[name]) for name, s in sets.items() for i, t in enumerate(s[:len(s) - need[name] + 1])]
-    prefixes, least = sorted({r[0] for r in index}), min(need.values())
-    entries = F.array(*(F.struct(F.lit(t).alias("token"), F.lit(n).alias("template"), F.lit(i).alias("i"), F.lit(size).alias("size"), F.lit(k).alias("need"),
-                                 F.array(*(F.lit(x) for x in sets[n])).alias("own")) for t, n, i, size, k in index))
+    entries = F.array(*(F.struct(F.lit(t).alias("token"), F.lit(n).alias("template"), F.lit(span(templates[n])).alias("span"), F.lit(i).alias("i"), F.lit(size).alias("size"),
+                                 F.lit(k).alias("need"), F.array(*(F.lit(x) for x in sets[n])).alias("own")) for t, n, i, size, k in index))
+    spans = sorted({span(t) for t in templates.values()})
+    prefixes = {n: sorted({t for t, name, *_ in index if span(templates[name]) == n}) for n in spans}
+    least = {n: min(k for name, k in need.items() if span(templates[name]) == n) for n in spans}
     index = docs.sparkSession.range(1).select(F.inline(entries))
-    held = F.transform(F.filter(_blocks(F.col(text), max(len(t.split()) for t in templates.values())), lambda b: F.arrays_overlap(b, F.lit(prefixes))), lambda b: F.array_intersect(F.lit(order), b))
-    blocks = docs.select(F.xxhash64(text).alias("tid"), F.explode(F.filter(held, lambda b: F.size(b) >= least)).alias("block"))
-    pairs = blocks.select("tid", "block", F.posexplode("block").alias("j", "token")).join(F.broadcast(index), "token")
+
+    def held(w: Column, n: int) -> Column:
+        met = F.transform(F.filter(_blocks(w, n), lambda b: F.arrays_overlap(b, F.lit(prefixes[n]))), lambda b: F.array_intersect(F.lit(order), b))
+        return F.transform(F.filter(met, lambda b: F.size(b) >= least[n]), lambda b: F.struct(F.lit(n).alias("span"), b.alias("block")))
+
+    low = lower_ascii(F.coalesce(F.col(text), F.lit("")))
+    blocks = docs.select(F.xxhash64(text).alias("tid"), F.inline(let(words(low, BREAKS), lambda w: F.concat(*(held(w, n) for n in spans)))))
+    pairs = blocks.select("tid", "span", "block", F.posexplode("block").alias("j", "token")).join(F.broadcast(index), ["token", "span"])
     room = F.least("i", "j") + 1 + F.least(F.col("size") - F.col("i") - 1, F.size("block") - F.col("j") - 1)
     pairs = pairs.where((F.size("block") >= F.col("need")) & (room >= F.col("need")))
     both = F.size(F.array_intersect("block", "own"))

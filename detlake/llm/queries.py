@@ -166,7 +166,11 @@ def _phrase_sql() -> str:
 
 
 def _template_sql() -> str:
-    return ", ".join("('{}', {})".format(name, sorted({*text.split()})) for name, text in license_scan.TEMPLATES.items())
+    return ", ".join("('{}', {}, {})".format(name, license_scan.span(text), sorted({*text.split()})) for name, text in license_scan.TEMPLATES.items())
+
+
+def _span_sql() -> str:
+    return ", ".join(f"({n})" for n in sorted({license_scan.span(text) for text in license_scan.TEMPLATES.values()}))
 
 
 @query("op9_license_scan", rf"""
@@ -175,8 +179,8 @@ w AS (SELECT doc_id, list_filter(string_split_regex(t, '[\x00-\x2F\x3A-\x60\x7B-
 p AS (SELECT doc_id, len(w) AS n, {_phrase_sql()} FROM w),
 b AS (SELECT doc_id, n, flatten([{", ".join(f"p{i}" for i in range(len(license_scan.PHRASES)))}]) AS places,
   list_filter([{", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{name}' END" for i, name in enumerate(license_scan.PHRASES))}], lambda x: x IS NOT NULL) AS names FROM p),
-l AS (SELECT doc_id, list_filter(string_split_regex(line, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS l FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)),
-f AS (SELECT doc_id, name, len(list_intersect(own, l)) * 1.0e0 / len(own) AS share FROM l CROSS JOIN (VALUES {_template_sql()}) v(name, own) WHERE 100 * len(list_intersect(own, l)) >= 80 * len(own)),
+l AS (SELECT doc_id, span, w[i:i + 2 * span - 1] AS l FROM (SELECT doc_id, w, span, unnest(range(1, greatest(len(w), 1) + 1, span)) AS i FROM w CROSS JOIN (VALUES {_span_sql()}) s(span))),
+f AS (SELECT doc_id, name, len(list_intersect(own, l)) * 1.0e0 / len(own) AS share FROM l JOIN (VALUES {_template_sql()}) v(name, span, own) USING (span) WHERE 100 * len(list_intersect(own, l)) >= 80 * len(own)),
 m AS (SELECT doc_id, list(DISTINCT name) AS more, max(share) AS share FROM f GROUP BY doc_id)
 SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base, CAST(list_min(places) AS BIGINT) AS first_word, CAST(list_max(places) AS BIGINT) AS last_word,
   array_to_string(list_sort(names), ',') AS base_labels, array_to_string(list_sort(list_distinct(list_concat(names, coalesce(more, [])))), ',') AS labels,
