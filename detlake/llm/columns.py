@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -27,3 +27,11 @@ def words(text: Column, breaks: str = SPACES) -> Column:
 def starts(n: Column, size: int) -> Column:
     """0, 1, ... up to the last start of `size` words among n; empty if there are fewer."""
     return F.when(n >= size, F.sequence(F.lit(0), n - size)).otherwise(F.array().cast("array<int>"))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like `name` that `df` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -31,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from detlake.llm.columns import fresh
 from detlake.llm.components import components
 from detlake.llm.words import SPACES, column_bytes, mix, pieces, shingle_sets, word_hashes
 from detlake.session import durable
@@ -364,10 +365,11 @@ def one_per_group(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, te
     best = slim.groupBy("group").agg(F.min(pick).alias("best"), F.count("*").alias("rows"))
     kept = best.select(F.col("best.i").alias("_id"), F.col("best.t").alias("_tid"), F.col("rows").alias("_rows"))
     gone = slim.join(kept, (slim["_tid"] == kept["_tid"]) & slim["_id"].eqNullSafe(kept["_id"]), "left_anti").select("_id", "_tid").distinct()
-    rows = docs.withColumn("_tid", tid)
-    rest = rows.join(gone, (rows["_tid"] == gone["_tid"]) & rows[id].cast("long").eqNullSafe(gone["_id"]), "left_anti")
+    own = fresh(docs, "_tid")
+    rows = docs.withColumn(own, tid)
+    rest = rows.join(gone, (rows[own] == gone["_tid"]) & rows[id].cast("long").eqNullSafe(gone["_id"]), "left_anti")
     # rows with equal id and equal text: one of them
     twice = slim.groupBy("_id", "_tid").agg(F.count("*").alias("_c")).where("_c > 1")
-    once = rest.join(twice, (rest["_tid"] == twice["_tid"]) & rest[id].cast("long").eqNullSafe(twice["_id"]), "left_anti")
-    many = rest.join(twice, (rest["_tid"] == twice["_tid"]) & rest[id].cast("long").eqNullSafe(twice["_id"]), "left_semi").dropDuplicates([id, "_tid"])
+    once = rest.join(twice, (rest[own] == twice["_tid"]) & rest[id].cast("long").eqNullSafe(twice["_id"]), "left_anti")
+    many = rest.join(twice, (rest[own] == twice["_tid"]) & rest[id].cast("long").eqNullSafe(twice["_id"]), "left_semi").dropDuplicates([id, own])
     return once.unionByName(many).select(*docs.columns)

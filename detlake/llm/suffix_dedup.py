@@ -27,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from detlake.llm.columns import fresh
 from detlake.llm.words import PIECE, column_bytes, mix, pieces
 
 LENGTH = 200
@@ -418,9 +419,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", c
     texts = distinct_texts(docs, text, length)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(1 << 40).cast("long").alias("end")))
     spans = repeated_spans(texts, length)
+    own, cuts = fresh(docs, "_tid"), fresh(docs, "_spans")
     found = (spans.unionByName(texts.where("copies > 1").select("tid", whole.alias("spans")))
-             .groupBy("tid").agg(F.flatten(F.collect_list("spans")).alias("_spans")).withColumnRenamed("tid", "_tid"))
-    rows = docs.withColumn("_tid", F.xxhash64(text)).join(found, "_tid", "left").withColumn(text, cut(F.col(text), F.col("_spans")))
+             .groupBy("tid").agg(F.flatten(F.collect_list("spans")).alias(cuts)).withColumnRenamed("tid", own))
+    rows = docs.withColumn(own, F.xxhash64(text)).join(found, own, "left").withColumn(text, cut(F.col(text), F.col(cuts)))
     if chars in docs.columns:
-        rows = rows.withColumn(chars, F.when(F.col("_spans").isNull(), F.col(chars)).otherwise(F.length(text)).cast(docs.schema[chars].dataType))
+        rows = rows.withColumn(chars, F.when(F.col(cuts).isNull(), F.col(chars)).otherwise(F.length(text)).cast(docs.schema[chars].dataType))
     return rows.select(*docs.columns)

@@ -51,6 +51,20 @@ def test_planted(spark, tmp_path):
     assert set(seen["packing"]) == set(seen["decontamination"]) - {1_000_042, 1_000_043}
 
 
+def test_columns_with_names_of_helpers(spark, tmp_path):
+    """Columns that the stages use inside come back as they went in, from every stage."""
+    names = ["_tid", "_spans", "_id", "group", "tid", "id", "label", "crc", "score", "n_rows", "cluster", "piece"]
+    texts = {1: "alpha beta " * 200, 2: "alpha beta " * 200, 3: "one two three four five six", 4: None, 5: ""}
+    rows = [(d, t, "en", "s", len(t or ""), *[11 * d + i for i in range(len(names))]) for d, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` long" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert [r[n] for n in names] == [11 * r.doc_id + i for i in range(len(names))], name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and "bin" in out.columns and corpus_pipeline.ORACLE_SQL is None
