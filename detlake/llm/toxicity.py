@@ -9,7 +9,9 @@ Occurrences count by their distinct pairs of neighbours, so copies of one text d
 words with a lexicon word that belong to other texts become exceptions, beside given ones. A text's score is a logistic
 function of its summed weights, of that sum for a hundred words, and of whether there is any match.
 
-Entries are stems, so inflected and compound words count; a match begins where a word begins.
+Learnt entries are beginnings of words, so inflected and compound words count; base entries take the endings of inflected
+words and no others. A match begins where a word begins. White space of any length is one blank. The sample is the only bound:
+stems and exceptions that pass the test all count.
 
 Defined cases: null and empty texts have no match; without labelled rows the base lexicon stands alone and
 the calibration is `PRIOR`;
@@ -24,20 +26,19 @@ import unicodedata
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from detlake.llm.sampling import TRAINING_ROWS, crc_of, training_rows
 from detlake.session import durable
 
-#: words in the lexicon, at most; the heaviest
-LEXICON = 5_000
-#: letters of a stem, and of a word that stems are taken from
+#: letters of a stem; of longer words the first `LONGEST` letters are their stems
 SHORTEST, LONGEST = 3, 24
-#: insults in four languages as stems, with weights: 3 for words that have other uses, 4 for mild and 5 for strong ones
+#: insults in four languages as stems, with weights: 3 for words that have other uses, 4 for mild and 5 for strong ones. A word
+#: of the base lexicon is a stem and one of `ENDINGS`
 BASE = {
-    **dict.fromkeys("clown creep dumb filth garbage loser pathetic pervert ridicul trash abschaum widerlich dégoût escoria".split(), 3.0),
-    **dict.fromkeys("coward cretin crétin degenerate disgusting fool idiot imbecil imbécil lunatic moron scum stupid worthless dumm blödmann trottel versager débile minable estúpid inútil".split(), 4.0),
-    **dict.fromkeys("asshole bastard bitch bullshit cunt dickhead dipshit douchebag fuck motherfuck shithead slut whore wanker arschloch hurensohn missgeburt schlampe wichser connard connasse enculé salope cabrón gilipollas pendej".split(), 5.0),
+    **dict.fromkeys("clown creep dumb filth filthi garbage loser pathetic pervert ridicul trash abschaum widerlich dégoût escoria".split(), 3.0),
+    **dict.fromkeys("coward cretin crétin degenerate disgusting fool idiot imbecil imbécil lunatic moron scum scumbag stupid worthless dumm dummkopf blödmann trottel versager débile minable estúpid inútil".split(), 4.0),
+    **dict.fromkeys("asshole dumbass bastard bitch bullshit cunt dickhead dipshit douchebag fuck motherfuck shithead slut whore wanker arschloch arschlöch hurensohn hurensöhn missgeburt schlampe wichser connard connasse enculé salope cabrón gilipollas pendej".split(), 5.0),
 }
 #: occurrences that weigh as much as the given weight of a base word
 BASE_EVIDENCE = 8
@@ -47,7 +48,7 @@ LEAST_BASE = 1.0
 PRIOR = (-4.0, 1.0, 1.0, 1.0)
 LEAST_WEIGHT = 3.0
 HEAVIEST = 6.0
-EXCEPTIONS = ("trash can", "trash bin", "clown fish", "sore loser", "dumbbell", "foolproof", "garbage can", "garbage collect")
+EXCEPTIONS = ("trash can", "trash bin", "clown fish", "sore loser", "garbage can", "garbage collect", "dumb bell", "april fool", "dumb waiter")
 
 # fixed values: characters that stand for a Latin letter (digits and signs, Cyrillic, Greek); letters that look alike share one
 CLASSES = {"l": "i"}
@@ -65,26 +66,32 @@ WORD = re.compile(r"[^\W_](?:[^\s,.;:!?|()\"#%&*]*[^\W_])?")
 
 
 def lowered(text: str) -> str:
-    """Lower case, decomposed, without diacritics and hidden characters; places in a skeleton are places in it."""
-    return text.lower() if text.isascii() else unicodedata.normalize("NFKD", text.lower()).lower().translate(HIDDEN)
+    """Lower case, decomposed, without diacritics and hidden characters, white space as one blank; places in a skeleton are
+    places in it."""
+    return " ".join((text.lower() if text.isascii() else unicodedata.normalize("NFKD", text.lower()).lower().translate(HIDDEN)).split())
 
 
 def skeleton(text: str) -> str:
     return lowered(text).translate(SKELETON)
 
 
+#: endings of inflected words in these languages, beside none
+ENDINGS = frozenset(map(skeleton, ["", *"s es ed d er ers r rs ing ings in innen en em e n st ste sten te ten est ish ishly ic ical ically ly ity ities ism ous ously ness a as o os ez is iss ie ies".split()]))
+
+
 def folded_words(text: str) -> list[str]:
     return [w.translate(SKELETON) for w in WORD.findall(lowered(text).replace("_", " "))] if text else []
 
 
 class Matcher:
-    """Finds lexicon words in a text; pickles as its word list."""
+    """Finds lexicon words in a text; pickles as its word list. Entries in `inflected` end where a word with an ending of
+    `ENDINGS` ends, others anywhere in a word."""
 
-    def __init__(self, lexicon: dict[str, float], exceptions: tuple[str, ...]):
-        self.lexicon, self.exceptions, self._auto = lexicon, exceptions, None
+    def __init__(self, lexicon: dict[str, float], exceptions: tuple[str, ...], inflected: frozenset[str] = frozenset()):
+        self.lexicon, self.exceptions, self.inflected, self._auto = lexicon, exceptions, inflected, None
 
     def __getstate__(self):
-        return {"lexicon": self.lexicon, "exceptions": self.exceptions, "_auto": None}
+        return {**self.__dict__, "_auto": None}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -93,37 +100,46 @@ class Matcher:
         import ahocorasick
 
         self._auto = ahocorasick.Automaton()
-        weights: dict[str, float] = {}
+        weights: dict[str, tuple[float, bool]] = {}
         for word, weight in self.lexicon.items():
-            weights[skeleton(word)] = max(weight, weights.get(skeleton(word), weight))
-        for word, weight in weights.items():
-            self._auto.add_word(word, (len(word), weight))
+            key = skeleton(word)
+            weights[key] = max(weights.get(key, (weight, False)), (weight, word in self.inflected))
+        for word, (weight, ends) in weights.items():
+            self._auto.add_word(word, (len(word), weight, ends))
         for phrase in map(skeleton, self.exceptions):
-            self._auto.add_word(phrase, (len(phrase), None))
+            self._auto.add_word(phrase, (len(phrase), None, False))
         if len(self._auto):
             self._auto.make_automaton()
 
     def weight(self, text: str) -> tuple[float, int]:
-        """(sum of the weights of matches outside exceptions, number of words)"""
+        """(sum of the weights of matches outside exceptions, the heaviest where several begin; number of words)"""
         if self._auto is None:
             self._build()
-        words = text.count(" ") + text.count("\n") + 1
+        low = lowered(text)
+        words = low.count(" ") + 1
         if not len(self._auto):
             return 0.0, words
-        low = lowered(text)
         found, spared = {}, []
         for form in (low.translate(SKELETON), *([low.translate(OTHER)] if "6" in low else [])):
-            for end, (size, weight) in self._auto.iter(form):
+            for end, (size, weight, ends) in self._auto.iter(form):
                 start = end - size + 1
                 if start and low[start - 1].isalnum():
                     continue
                 if weight is None:
                     spared.append((start, end))
-                else:
-                    found[start, end] = weight
+                elif not ends or _ending(low, form, end + 1) in ENDINGS:
+                    found[start] = max((weight, end), found.get(start, (weight, end)))
         if not found:
             return 0.0, words
-        return sum(w for (a, b), w in found.items() if not any(x <= a and b <= y for x, y in spared)), words
+        return sum(w for a, (w, b) in found.items() if not any(x <= a and b <= y for x, y in spared)), words
+
+
+def _ending(low: str, form: str, at: int) -> str:
+    """The letters of the skeleton from a place to the end of the word."""
+    end = at
+    while end < len(low) and low[end].isalpha():
+        end += 1
+    return form[at:end]
 
 
 def _signals(weight: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -144,7 +160,7 @@ def minimal_stems(stems: dict[str, tuple[int, int, float]]) -> dict[str, float]:
 
 
 def with_base(learnt: dict[str, float], seen: dict[str, tuple[int, float]], base: dict[str, float]) -> dict[str, float]:
-    """Learnt stems and base stems, none beginning with another. `seen`: (occurrences, log odds) of base stems."""
+    """Learnt stems, and base stems that begin with none of them. `seen`: (occurrences, log odds) of base stems."""
     lexicon = {}
     for stem, given in base.items():
         n, odds = seen.get(stem, (0, 0.0))
@@ -152,10 +168,6 @@ def with_base(learnt: dict[str, float], seen: dict[str, tuple[int, float]], base
         if weight >= LEAST_BASE:
             lexicon[stem] = min(weight, HEAVIEST)
     for stem, weight in learnt.items():
-        short = next((s for s in lexicon if stem.startswith(s)), None)
-        if short is not None:
-            lexicon[short] = max(lexicon[short], weight)
-            continue
         for longer in [s for s in lexicon if s.startswith(stem)]:
             weight = max(weight, lexicon.pop(longer))
         lexicon[stem] = weight
@@ -186,13 +198,12 @@ def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], tuple[str, ...]]:
     bad, good = (totals[0] or 0) + 1.0, (totals[1] or 0) + 1.0
     odds = F.log((F.col("a") + 0.5) / bad) - F.log((F.col("b") + 0.5) / good)
     # stems: the beginnings of words, over distinct words and their places
-    stems = (counts.where(F.length("word").between(SHORTEST, LONGEST)).withColumn("stem", F.explode(F.transform(F.sequence(F.lit(SHORTEST), F.length("word")), lambda n: F.substring("word", F.lit(1), n))))
-             .groupBy("stem").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    starts = F.transform(F.sequence(F.lit(SHORTEST), F.least(F.length("word"), F.lit(LONGEST))), lambda n: F.substring("word", F.lit(1), n))
+    stems = durable(counts.where(F.length("word") >= SHORTEST).withColumn("stem", F.explode(starts)).groupBy("stem").agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
     # likelihood of a stem's share of toxic places against that of all words; many stems are compared, and chance must not pass
-    n, share = F.col("a") + F.col("b"), bad / (bad + good)
-    ratio = F.col("a") * F.log(F.col("a") / n / share) + F.when(F.col("b") > 0, F.col("b") * F.log(F.col("b") / n / (1 - share))).otherwise(0.0)
+    n, ratio = F.col("a") + F.col("b"), likelihood_ratio(bad / (bad + good))
     compared = max(stems.count(), 1)
-    top = stems.where("a > 0").withColumn("w", odds).where((F.col("w") >= LEAST_WEIGHT) & (ratio >= math.log(compared))).orderBy(F.desc("a"), F.desc("w"), "stem").limit(LEXICON).collect()
+    top = stems.where("a > 0").withColumn("w", odds).where((F.col("w") >= LEAST_WEIGHT) & (ratio >= math.log(compared))).collect()
     base = {skeleton(word): weight for word, weight in BASE.items()}
     seen = stems.where(F.col("stem").isin(list(base))).select("stem", n.alias("n"), odds.alias("w")).collect()
     lexicon = with_base(minimal_stems({r.stem: (r.a, r.b, float(r.w)) for r in top}), {r.stem: (r.n, float(r.w)) for r in seen}, base)
@@ -200,10 +211,21 @@ def learn_lexicon(rows: DataFrame) -> tuple[dict[str, float], tuple[str, ...]]:
     held = places.where(F.size(found) > 0)
     pairs = held.select(F.concat_ws(" ", "word", "behind").alias("phrase"), "bad", "good", F.col("behind").alias("o")).unionByName(
         held.select(F.concat_ws(" ", "before", "word").alias("phrase"), "bad", "good", F.col("before").alias("o"))).where("o <> ''")
-    spared = pairs.groupBy("phrase").agg(F.sum("bad").alias("a"), F.sum(1 - F.col("good")).alias("b")).where("b >= 5 AND b > 4 * a").orderBy(F.desc("b"), "phrase").limit(LEXICON).collect()
+    phrases = durable(pairs.groupBy("phrase").agg(F.sum("bad").alias("a"), F.sum(1 - F.col("good")).alias("b")))
+    a, b, compared = phrases.agg(F.sum("a"), F.sum("b"), F.count("*")).first()
+    # as for stems, the other way round: phrases with lexicon words that stand in other texts beyond chance
+    other = likelihood_ratio(((a or 0) + 1.0) / ((a or 0) + (b or 0) + 2.0))
+    spared = phrases.where((F.col("b") > F.col("a")) & (other >= math.log(max(compared, 2)))).collect()
     return lexicon, tuple(r.phrase for r in spared)
 
 
+def likelihood_ratio(share: float) -> Column:
+    """Log likelihood ratio of `a` toxic places beside `b` others, against `share` of toxic places in all."""
+    n = F.col("a") + F.col("b")
+    return (F.when(F.col("a") > 0, F.col("a") * F.log(F.col("a") / n / share)).otherwise(0.0)
+            + F.when(F.col("b") > 0, F.col("b") * F.log(F.col("b") / n / (1 - share))).otherwise(0.0))
+
+
 def fit(signals: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Logistic regression by Newton steps with a small ridge around `PRIOR`."""
     w = prior = np.array(PRIOR)
@@ -232,7 +254,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     """Lexicon and calibration from the labelled rows whose crc32(id) mod `folds` is not `held`."""
     sample = durable(training_rows(docs, labels, label, F.pmod(crc_of("id"), F.lit(folds)) != held, rows, text, id))
     lexicon, learnt = learn_lexicon(sample)
-    matcher = Matcher(lexicon, (*exceptions, *learnt))
+    matcher = Matcher(lexicon, (*exceptions, *learnt), frozenset(map(skeleton, BASE)))
 
     def weigh(batches):
         for batch in batches:

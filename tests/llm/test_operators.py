@@ -40,6 +40,28 @@ def tiling(doc, item, seed):
         used_i.update(range(y, y + n))
 
 
+def test_tiles_by_definition():
+    import numpy as np
+
+    rnd = random.Random(8)
+    for _ in range(150):
+        k = rnd.choice([1, 2, 3, 9])
+        doc, item = ([rnd.randint(1, k) for _ in range(rnd.randint(0, 40))] for _ in range(2))
+        seed = rnd.choice([1, 2, 5])
+        got = D.tiles(np.array(doc, np.uint64), np.array(item, np.uint64), seed)
+        assert [n for _, _, n in got] == tiling(doc, item, seed) if len(item) >= seed else got == []
+        assert all(doc[x:x + n] == item[y:y + n] for x, y, n in got)
+
+
+def test_repetitive_texts_stay_small(spark):
+    """Texts of one word over and over share all seeds with each other; memory and time follow their lengths."""
+    docs = spark.createDataFrame([(1, "a " * 200_000), (2, "b " * 200_000), (3, "yes, a clean sentence")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a " * 3_000), (2, "a b " * 2_000), (3, "yes")], "item_id long, text string")
+    assert [(r.doc_id, r.item_id, r.coverage, r.longest) for r in D.contaminated(docs, items).collect()] == [(1, 1, 1.0, 3000)]
+    assert sorted(r.doc_id for r in D.without_benchmark(docs, items).collect()) == [2, 3]
+    assert {r.doc_id for r in D.contaminated(docs, items, least_words=1).collect()} == {1, 3}
+
+
 @pytest.mark.parametrize("block", [2_000_000, 20])
 def test_tiling(spark, block):
     rnd = random.Random(4)
@@ -62,10 +84,10 @@ def test_tiling(spark, block):
             if w and (tiles := tiling(words(t), w, 5)) and sum(tiles) >= 0.5 * len(w):
                 expected.append((d is None, d or 0, i, round(sum(tiles) / len(w), 9), len(tiles), max(tiles)))
     got = D.contaminated(spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, item_id long").repartition(3),
-                         spark.createDataFrame(items, "item_id long, text string"), block=block)
+                         spark.createDataFrame(items, "item_id long, text string"), block=block, least_words=1)
     assert sorted((r.doc_id is None, r.doc_id or 0, r.item_id, round(r.coverage, 9), r.n_tiles, r.longest) for r in got.collect()) == sorted(expected)
     frame = spark.createDataFrame([(d, t, 1) for d, t in docs], "doc_id long, text string, id long")
-    clean = D.without_benchmark(frame, spark.createDataFrame(items, "item_id long, text string"), block=block)
+    clean = D.without_benchmark(frame, spark.createDataFrame(items, "item_id long, text string"), block=block, least_words=1)
     bad = {(e[0], e[1]) for e in expected}
     texts = {(t or "") for d, t in docs if (d is None, d or 0) not in bad}
     assert clean.columns == frame.columns and {(r.text or "") for r in clean.collect()} == texts
@@ -180,14 +202,15 @@ def test_held_out(spark, job, label, folds, held):
     got = job(docs, labels).toPandas()
     assert len(got) == docs.count() and got.score.between(0, 1).all()
     assert (got.held_out == [zlib.crc32(str(d).encode()) % folds == held for d in got.doc_id]).all()
+    scores = got.set_index("doc_id").score
     got = got.merge(labels.toPandas(), on="doc_id")
     got = got[got.held_out]
     rank, y = got.score.rank(), got[label]
     assert (rank[y == 1].mean() - rank[y == 0].mean()) / len(got) + 0.5 > 0.9 and (got.predicted == y).mean() > 0.9
     # labels of held-out rows change nothing
     turned = labels.withColumn(label, F.when(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds)) == held, 1 - F.col(label)).otherwise(F.col(label)))
-    again = job(docs.limit(50), turned).toPandas().set_index("doc_id")
-    assert len(again) == 50
+    again = job(docs, turned).toPandas().set_index("doc_id").score
+    assert (again - scores).abs().max() < 1e-9
 
 
 @pytest.mark.parametrize("job", [Q.quality_scores, T.toxicity_scores])
@@ -217,6 +240,26 @@ def test_substitutions():
     assert m.weight("no 10000 of 6 | 9! crown, ﬁne")[0] == 0.0 and m.weight("a s0re 1öser")[0] == 0.0 and m.weight("idiot! ﬁlth")[0] == 2.0
 
 
+def test_whole_words_and_white_space(spark):
+    """Base words take endings of inflection only; white space of any kind and length is one blank."""
+    scorer = T.train(spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "doc_id long, toxic int"))
+    weight = lambda t: scorer.matcher.weight(t)[0]
+    for text in ("a dummy variable", "the salopette", "idiotype antibodies", "foolscap paper", "clownfish", "foolproof", "dumbbells", "trash can", "trash  can", "trash\n\tcan"):
+        assert weight(text) == 0, text
+    for text in ("idiots", "dumme", "estúpidos", "moronic", "ridiculously", "worthlessness", "versagerin", "fucking", "motherfuckers", "scumbags", "IDIOTS!", "connards", "pendejas"):
+        assert weight(text) > 0, text
+    text = "you idiot and moron , you stupid loser in a long row of other words that say nothing at all"
+    assert len({scorer([text.replace(" ", blank)])[0] for blank in (" ", "   ", "\t", "\n\n", "\u00a0")}) == 1
+
+
+def test_no_cap_on_what_is_learnt(spark):
+    """Long words count by their beginning, and an exception needs no fixed number of places."""
+    long_word = "donaudampfschifffahrtsgesellschaftskapitaen"
+    rows = [(i, int(i % 2 == 0), f"{long_word if i % 2 == 0 else 'plain'} a{i} grolf {'b' + str(i) if i % 2 == 0 else 'stone'} c{i}") for i in range(400)]
+    lexicon, spared = T.learn_lexicon(spark.createDataFrame(rows, "id long, label int, text string"))
+    assert any(T.skeleton(long_word).startswith(s) for s in lexicon)
+
+
 def test_few_labels(spark):
     """Insults are known with few labels, in one group of copies, and with none."""
     small = "/root/testdata/sf0.001"
@@ -237,7 +280,7 @@ def test_evidence_for_words(spark):
     rows = [(i, i % 50 == 0, f"{'zorgle' if i % 50 == 0 else 'plain'} a{i} b{i} {'clown' if i % 50 == 1 else 'word'} c{i} clown d{i}") for i in range(250)]
     lexicon, _ = T.learn_lexicon(spark.createDataFrame([(i, int(y), t) for i, y, t in rows], "id long, label int, text string"))
     assert any(T.skeleton("zorgle").startswith(s) for s in lexicon) and T.skeleton("clown") not in lexicon and "moron" in lexicon
-    assert T.with_base({"idiotic": 6.0, "mor": 3.5, "new": 3.0}, {"clown": (100, -1.0)}, {"idiot": 4.0, "moron": 4.0, "clown": 3.0}) == {"idiot": 6.0, "mor": 4.0, "new": 3.0}
+    assert T.with_base({"idiotic": 6.0, "mor": 3.5, "new": 3.0}, {"clown": (100, -1.0)}, {"idiot": 4.0, "moron": 4.0, "clown": 3.0}) == {"idiot": 4.0, "idiotic": 6.0, "mor": 4.0, "new": 3.0}
 
 
 def test_toxic_out(spark):
