@@ -134,6 +134,19 @@ def _replay(t: Tables, df, name: str):
     return root, t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 64).json(f"{root}/{name}")
 
 
+def _shuffled(t: Tables, df, name: str, stretches: int = 8):
+    """As `_replay`, but in several batches out of order: stretches of the log are swapped in pairs, and a mark ends it. With
+    the stream the lateness that covers this."""
+    root = work_folder(t.spark)
+    first, last = df.agg(F.min("seq"), F.max("seq")).first()
+    size = ((last or 0) - (first or 0)) // stretches + 1
+    for k in range(stretches):
+        df.filter(F.floor((F.col("seq") - F.lit(first or 0)) / size) == (k ^ 1)).write.mode("append").json(f"{root}/{name}")
+    live.mark(t.spark, (last or 0) + 4 * size, df).write.mode("append").json(f"{root}/{name}")
+    files = max(1, t.spark.sparkContext.defaultParallelism)
+    return root, t.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).json(f"{root}/{name}"), 3 * size
+
+
 def _seconds():
     return (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("t")
 
@@ -141,8 +154,8 @@ def _seconds():
 @query("stream_stage_states", f"SELECT run_id, stage_index, stage, state FROM {_STATES}")
 def stream_stage_states(t: Tables):
     root, stream = _replay(t, t.view("sub_run_events").select("run_id", "seq", "stage", "status"), "events")
-    live.to_change_log(live.stream_latest_stages(stream), f"{root}/latest").awaitTermination()
-    return live.live_stage_states(live.newest(live.read_log(t.spark, f"{root}/latest"), ["run_id", "stage"]))
+    live.partials_log(stream, f"{root}/latest", live.latest_stages).awaitTermination()
+    return live.live_stage_states(live.compact(t.spark, f"{root}/latest", live.merge_stages, f"{root}/compact"))
 
 
 # a fold over each run's events in order; the state is the time of the last one kept
@@ -152,8 +165,8 @@ k AS (SELECT run_id, unnest(list_reduce(list_prepend({e: l[1], last: '-infinity'
   lambda s, x: CASE WHEN x.e.iter % 50 = 0 OR x.e.t - s.last >= 259200 THEN {e: x.e, last: x.e.t, kept: s.kept || [x.e]} ELSE {e: x.e, last: s.last, kept: s.kept} END).kept) AS k FROM l)
 SELECT run_id, k.seq AS seq, k.iter::bigint AS iter, k.t AS t FROM k""")
 def throttle_progress(t: Tables):
-    root, stream = _replay(t, t.view("sub_run_events").select("run_id", "seq", "iter", _seconds()), "events")
-    live.to_change_log(live.throttle_progress(stream, 50, 86400.0 * 3), f"{root}/kept", "append").awaitTermination()
+    root, stream, lateness = _shuffled(t, t.view("sub_run_events").select("run_id", "seq", "iter", _seconds()), "events")
+    live.to_change_log(live.throttle_progress(stream, 50, 86400.0 * 3, lateness), f"{root}/kept", "append").awaitTermination()
     return live.read_log(t.spark, f"{root}/kept").drop("batch")
 
 
@@ -161,8 +174,8 @@ def throttle_progress(t: Tables):
 SELECT run_id, seq, round((iter - li)::double / (epoch_us(ts) / 1000000.0::double - lt), 6) AS iters_per_second FROM (SELECT *, lag(iter) OVER w AS li, lag(epoch_us(ts) / 1000000.0::double) OVER w AS lt FROM sub_run_events WINDOW w AS (PARTITION BY run_id ORDER BY seq))
 WHERE iter > li AND epoch_us(ts) / 1000000.0::double > lt""")
 def stream_throughput(t: Tables):
-    root, stream = _replay(t, t.view("sub_run_events").select("run_id", "seq", "iter", _seconds()), "events")
-    live.to_change_log(live.stream_throughput(stream), f"{root}/rates", "append").awaitTermination()
+    root, stream, lateness = _shuffled(t, t.view("sub_run_events").select("run_id", "seq", "iter", _seconds()), "events")
+    live.to_change_log(live.stream_throughput(stream, lateness), f"{root}/rates", "append").awaitTermination()
     return live.read_log(t.spark, f"{root}/rates").select("run_id", "seq", F.round("iters_per_second", 6).alias("iters_per_second"))
 
 
@@ -171,8 +184,9 @@ SELECT run_id, max_by(status, seq) FILTER (WHERE status IS NOT NULL) AS status,
   min_by(epoch_us(ts), seq) FILTER (WHERE status = 'success') AS finished_us FROM sub_updates WHERE status IS NULL OR status <> 'lost' GROUP BY run_id""")
 def stream_status(t: Tables):
     root, stream = _replay(t, t.view("sub_updates").withColumn("ts", F.unix_micros(F.col("ts").cast("timestamp"))), "updates")
-    live.to_change_log(live.stream_status(stream, ["phase", "loss"]), f"{root}/status").awaitTermination()
-    return live.newest(live.read_log(t.spark, f"{root}/status"), ["run_id"]).withColumnRenamed("finished_at", "finished_us")
+    fields = ["phase", "loss"]
+    live.partials_log(stream, f"{root}/status", lambda batch: live.status_parts(batch, fields)).awaitTermination()
+    return live.merge_status(live.read_log(t.spark, f"{root}/status"), fields).withColumnRenamed("finished_at", "finished_us")
 
 
 @query("ingest_commands", """

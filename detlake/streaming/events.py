@@ -1,15 +1,16 @@
-"""Live run monitoring. Streams keep only aggregates or one small state per run; results go to a change log of
-idempotent batch folders, from which the newest row per key is read."""
+"""Live run monitoring. Results go to a change log of idempotent batch folders. Latest stages and merged statuses are folds of
+each batch that are folded again on reading, without state; readings that depend on the one before wait in state until the
+watermark has passed them, so batches and file order change nothing."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from detlake.operators.runs import STAGES, canonical_stage, run_heads, stage_states
 from detlake.schemas import COMMAND, EVENT, STATUSES
@@ -19,6 +20,8 @@ TERMINAL = ("success", "failed", "stopped")
 COMMAND_FIELDS = ("run_id", "dataset_id", "mission_path", "dcs_config_path", "dcs_source_dataset_dir", "target_dataset_dir")
 # default size of one micro-batch, which bounds what a single run can bring into one task
 BATCH_BYTES = 256 * 1024 * 1024
+# how many positions behind the newest one a row of the log may come
+LATENESS = 100_000
 
 
 def stream_events(spark: SparkSession, path: str, schema: str = EVENT, max_bytes: int = BATCH_BYTES) -> DataFrame:
@@ -47,11 +50,30 @@ def newest(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     return log.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_n")).select(*keys, "_n.*")
 
 
-def stream_latest_stages(events: DataFrame) -> DataFrame:
-    """Latest status per (run, stage), as a streaming aggregate."""
+def partials_log(df: DataFrame, target: str, fold: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+    """Run until the available input is used up, each batch folded on its own and added to the change log. Folds of folds are
+    the result (`merge_stages`, `merge_status`), so no state is kept between batches: nothing has to expire when runs end, and
+    rows may come late by any time. A repeated batch overwrites its own folder."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fold(batch).write.mode("overwrite").parquet(f"{target}/rows/batch={batch_id}")
+
+    return df.writeStream.outputMode("append").option("checkpointLocation", f"{target}/progress").trigger(availableNow=True).foreachBatch(write).start()
+
+
+def compact(spark: SparkSession, target: str, fold: Callable[[DataFrame], DataFrame], into: str) -> DataFrame:
+    """The log folded into one table in a folder of its own, so that readers of a long log need not fold all its batches."""
+    fold(read_log(spark, target).drop("batch")).write.mode("overwrite").parquet(into)
+    return spark.read.parquet(into)
+
+
+def latest_stages(events: DataFrame) -> DataFrame:
+    """Latest status per (run, stage) of some events, with its position: a fold that `merge_stages` folds on."""
     known = events.withColumn("stage", canonical_stage(F.col("stage")))
-    known = known.filter(F.col("stage").isNotNull() & (F.coalesce("status", F.lit("")) != ""))
-    return known.groupBy("run_id", "stage").agg(F.max_by("status", "seq").alias("status"), F.max("seq").alias("seq"))
+    return merge_stages(known.filter(F.col("stage").isNotNull() & (F.coalesce("status", F.lit("")) != "")))
+
+
+def merge_stages(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("run_id", "stage").agg(F.max_by("status", "seq").alias("status"), F.max("seq").alias("seq"))
 
 
 def live_stage_states(latest: DataFrame, stages: Sequence[str] = STAGES) -> DataFrame:
@@ -59,67 +81,138 @@ def live_stage_states(latest: DataFrame, stages: Sequence[str] = STAGES) -> Data
     return stage_states(run_heads(latest), latest.select("run_id", "stage", "status"), stages)
 
 
+class InOrder(StatefulProcessor):
+    """Readings of a run in order of `seq`, across batches: rows wait in state until the watermark has passed them, then a fold
+    takes them in order. One timer a run stands at its earliest waiting row; with no row left only the fold's memory stays."""
+
+    def __init__(self, fold: Callable[[pd.DataFrame, tuple | None], tuple[pd.DataFrame, tuple]], memory: str):
+        self.fold, self.memory = fold, memory
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", READING)
+        self.last = handle.getValueState("last", self.memory)
+
+    def _release(self, key: tuple, rows: pd.DataFrame, watermark: int) -> Iterator[pd.DataFrame]:
+        """Fold what the watermark has passed; the rest goes back to wait."""
+        passed = rows["seq"].map(_millis) <= watermark
+        rest = rows[~passed]
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if len(rest):
+            self.waiting.put(list(rest.itertuples(index=False, name=None)))
+            self.handle.registerTimer(_millis(int(rest["seq"].min())))
+        else:
+            self.waiting.clear()
+        if passed.any():
+            out, memory = self.fold(rows[passed].sort_values("seq", ignore_index=True), self.last.get() if self.last.exists() else None)
+            self.last.update(memory)
+            yield out.assign(run_id=key[0])
+
+    def _waiting(self) -> list[tuple]:
+        return [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        if pd.isna(key[0]):  # marks of progress, which only move the watermark
+            return
+        new = [r for part in rows for r in part[["seq", "iter", "t"]].itertuples(index=False, name=None)]
+        yield from self._release(key, _readings(self._waiting() + new), timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._release(key, _readings(self._waiting()), timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+
+READING = "seq bigint, iter bigint, t double"
+
+
+def _millis(seq: int) -> int:
+    """Event time of a position of the log: a second a position, from 1 on."""
+    return (seq + 1) * 1000
+
+
+def _readings(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["seq", "iter", "t"]).astype({"seq": "int64", "iter": "int64", "t": "float64"})
+
+
+def _ordered(events: DataFrame, fold, memory: str, columns: str, lateness: int) -> DataFrame:
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    run = events.schema["run_id"].dataType.simpleString()
+    typed = events.select("run_id", F.col("seq").cast("bigint"), F.col("iter").cast("bigint"), F.col("t").cast("double"),
+                          F.timestamp_seconds(F.col("seq") + 1).alias("at")).withWatermark("at", f"{lateness} seconds")
+    # the condition names the event time, so that rows without a reading move the watermark before they go
+    rows = typed.filter(F.col("at").isNotNull() & F.col("iter").isNotNull() | F.col("run_id").isNull())
+    return rows.groupBy("run_id").transformWithStateInPandas(InOrder(fold, memory), f"{columns}, run_id {run}", "Append", "EventTime")
+
+
+def mark(spark: SparkSession, seq: int, like: DataFrame) -> DataFrame:
+    """A row of no run that says the log has reached `seq`; it lets waiting rows go that nothing else would follow."""
+    values = {"seq": F.lit(seq)}
+    return spark.range(1).select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in like.schema])
+
+
 def _throttle(every: int, seconds: float):
-    def emit(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else float("-inf")
-        rows = pd.concat(list(chunks)).sort_values("seq", ignore_index=True)  # one run within one size-bounded batch
-        out = []
+    def fold(rows: pd.DataFrame, memory: tuple | None) -> tuple[pd.DataFrame, tuple]:
+        last, out = memory[0] if memory else float("-inf"), []
         for i, (it, t) in enumerate(zip(rows["iter"], rows["t"])):
             if it % every == 0 or t - last >= seconds:
                 last = t
                 out.append(i)
-        state.update((last,))
-        yield rows.loc[out, ["seq", "iter", "t"]].assign(run_id=key[0])[["run_id", "seq", "iter", "t"]]
-    return emit
+        return rows.loc[out, ["seq", "iter", "t"]], (last,)
+    return fold
 
 
-def throttle_progress(events: DataFrame, every: int, seconds: float) -> DataFrame:
+def throttle_progress(events: DataFrame, every: int, seconds: float, lateness: int = LATENESS) -> DataFrame:
     """Progress events worth logging: every n-th iteration, or when long enough since the last one that was logged.
 
-    Events: `run_id, seq, iter, t` (seconds). The only state per run is the time of its last logged event.
+    Events: `run_id, seq, iter, t` (seconds); they may come up to `lateness` positions behind the newest one and are judged in
+    order of `seq` whatever the batches. Rows behind that are late and dropped (`numRowsDroppedByWatermark` counts them). State
+    of a run: rows that still wait, and the time of its last logged event.
     """
-    rows = events.filter(F.col("iter").isNotNull()).select("run_id", "seq", "iter", "t")
-    run = rows.schema["run_id"].dataType.simpleString()
-    schema = f"run_id {run}, seq bigint, iter bigint, t double"
-    typed = rows.select("run_id", F.col("seq").cast("bigint"), F.col("iter").cast("bigint"), F.col("t").cast("double"))
-    return typed.groupBy("run_id").applyInPandasWithState(_throttle(every, seconds), schema, "last double", "append", GroupStateTimeout.NoTimeout)
+    return _ordered(events, _throttle(every, seconds), "last double", READING, lateness).select("run_id", "seq", "iter", "t")
 
 
-def _rates(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(chunks)).sort_values("seq", ignore_index=True)
-    before = pd.DataFrame({"iter": [state.get[0]], "t": [state.get[1]]}) if state.exists else pd.DataFrame({"iter": [float("nan")], "t": [float("nan")]})
-    prev = pd.concat([before, rows[["iter", "t"]]], ignore_index=True).iloc[:-1]
+def _rates(rows: pd.DataFrame, memory: tuple | None) -> tuple[pd.DataFrame, tuple]:
+    before = _readings([(-1, *memory)] if memory else [(-1, 0, float("nan"))])
+    prev = pd.concat([before, rows], ignore_index=True).iloc[:-1]
     d_it, d_t = rows["iter"] - prev["iter"], rows["t"] - prev["t"]
-    state.update((int(rows["iter"].iloc[-1]), float(rows["t"].iloc[-1])))
     ok = (d_it > 0) & (d_t > 0)
-    yield pd.DataFrame({"run_id": key[0], "seq": rows["seq"][ok], "iters_per_second": d_it[ok] / d_t[ok]})
+    return pd.DataFrame({"seq": rows["seq"][ok], "iters_per_second": d_it[ok] / d_t[ok]}), (int(rows["iter"].iloc[-1]), float(rows["t"].iloc[-1]))
 
 
-def stream_throughput(events: DataFrame) -> DataFrame:
-    """Iterations per second between successive readings of a run; state is the last reading."""
-    rows = events.filter(F.col("iter").isNotNull())
-    run = rows.schema["run_id"].dataType.simpleString()
-    typed = rows.select("run_id", F.col("seq").cast("bigint"), F.col("iter").cast("bigint"), F.col("t").cast("double"))
-    return typed.groupBy("run_id").applyInPandasWithState(_rates, f"run_id {run}, seq bigint, iters_per_second double", "iter bigint, t double",
-                                                          "append", GroupStateTimeout.NoTimeout)
+def stream_throughput(events: DataFrame, lateness: int = LATENESS) -> DataFrame:
+    """Iterations per second between successive readings of a run, in order of `seq` as in `throttle_progress`; state is what
+    waits and the last reading."""
+    return _ordered(events, _rates, "iter bigint, t double", "seq bigint, iters_per_second double", lateness).select("run_id", "seq", "iters_per_second")
 
 
 def valid_status(status: Column) -> Column:
     return status.isNull() | status.isin(list(STATUSES))
 
 
-def stream_status(updates: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """One merged status per run: nulls never overwrite; the first terminal update stamps `finished_at` unless given.
+def status_parts(updates: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """One partial status per run: for each field its last value that is not null, with its position, and the first end.
 
-    `updates` has `run_id, seq, ts, status` and `fields`; rows with an unknown status are rejected beforehand.
-    """
+    `updates` has `run_id, seq, ts, status` and `fields`; rows with an unknown status are rejected."""
     def last(name: str) -> Column:
-        return F.max_by(F.col(name), F.when(F.col(name).isNotNull(), F.col("seq"))).alias(name)
+        return F.max(F.when(F.col(name).isNotNull(), F.struct("seq", F.col(name).alias("value")))).alias(name)
 
-    ended = F.min_by("ts", F.when(F.col("status").isin(list(TERMINAL)), F.col("seq"))).alias("finished_at")
+    ended = F.min(F.when(F.col("status").isin(list(TERMINAL)), F.struct("seq", F.col("ts").alias("value")))).alias("finished_at")
     return updates.filter(valid_status(F.col("status"))).groupBy("run_id").agg(last("status"), *[last(f) for f in fields], ended)
 
 
+def merge_parts(parts: DataFrame, fields: Sequence[str]) -> DataFrame:
+    return parts.groupBy("run_id").agg(*[F.max(c).alias(c) for c in ("status", *fields)], F.min("finished_at").alias("finished_at"))
+
+
+def merge_status(parts: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """One merged status per run: nulls never overwrite; the first terminal update stamps `finished_at`."""
+    merged = merge_parts(parts, fields)
+    return merged.select("run_id", *[F.col(c)["value"].alias(c) for c in ("status", *fields, "finished_at")])
+
+
 def judge_commands(files: DataFrame) -> DataFrame:
     """Command documents (`file_name, text`) with `accepted` and, if not, `problem`; parsed fields in `command`."""
     parsed = files.withColumn("command", F.from_json("text", COMMAND, {"mode": "PERMISSIVE"}))

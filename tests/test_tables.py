@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -165,20 +167,76 @@ def test_commands_stream_once(spark, tmp_path):
     assert rows == {"a.command.json": (False, 0), "b.command.json": (True, 0), "c.command.json": (True, 1)}
 
 
-def test_throttle_keeps_state_between_runs(spark, tmp_path):
+READINGS = "run_id string, seq bigint, iter bigint, t double"
+
+
+def _feed(spark, folder, name, lines):
+    """One file of the log, newer than those before it."""
+    (folder / f"{name}.json").write_text("\n".join(json.dumps(e) for e in lines))
+    os.utime(folder / f"{name}.json", (1_700_000_000 + name, 1_700_000_000 + name))
+    return spark.readStream.schema(READINGS).option("maxFilesPerTrigger", 1).json(str(folder))
+
+
+def _throttled(lines, every, seconds):
+    want, last = [], {}
+    for e in sorted(lines, key=lambda e: e["seq"]):
+        if e["iter"] % every == 0 or e["t"] - last.get(e["run_id"], float("-inf")) >= seconds:
+            last[e["run_id"]] = e["t"]
+            want.append((e["run_id"], e["seq"]))
+    return sorted(want)
+
+
+def test_readings_out_of_order_over_batches(spark, tmp_path):
+    """One file a trigger, files and rows shuffled within the lateness, two starts of the query: as if read in order."""
+    src, out, rates = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "rates")
+    src.mkdir()
+    rnd = random.Random(4)
+    lines = [{"run_id": rnd.choice("ab"), "seq": i, "iter": i % 97, "t": float(i) + rnd.random()} for i in range(160)]
+    parts = [lines[20 * (k ^ 1):20 * (k ^ 1) + 20] for k in range(8)]
+    for k, part in enumerate(parts):
+        rnd.shuffle(part)
+        stream = _feed(spark, src, k, part)
+        if k == 3:
+            live.to_change_log(live.throttle_progress(stream, 10, 4.0, 60), out, "append").awaitTermination()
+    waited = live.read_log(spark, out).count()
+    stream = _feed(spark, src, 100, [{"run_id": None, "seq": 1000, "iter": None, "t": None}])
+    live.to_change_log(live.throttle_progress(stream, 10, 4.0, 60), out, "append").awaitTermination()
+    assert sorted((r.run_id, r.seq) for r in live.read_log(spark, out).collect()) == _throttled(lines, 10, 4.0) and waited < len(_throttled(lines, 10, 4.0))
+    live.to_change_log(live.stream_throughput(stream, 60), rates, "append").awaitTermination()
+    want = []
+    for run in "ab":
+        own = [e for e in lines if e["run_id"] == run]
+        want += [(run, y["seq"], round((y["iter"] - x["iter"]) / (y["t"] - x["t"]), 6)) for x, y in zip(own, own[1:]) if y["iter"] > x["iter"] and y["t"] > x["t"]]
+    assert sorted((r.run_id, r.seq, round(r.iters_per_second, 6)) for r in live.read_log(spark, rates).collect()) == sorted(want)
+
+
+def test_rows_behind_the_watermark_are_late(spark, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    _feed(spark, src, 0, [{"run_id": "a", "seq": 1, "iter": 10, "t": 1.0}, {"run_id": "b", "seq": 900, "iter": 10, "t": 2.0}])
+    _feed(spark, src, 1, [{"run_id": "a", "seq": 950, "iter": 10, "t": 3.0}])
+    _feed(spark, src, 2, [{"run_id": "a", "seq": 2, "iter": 10, "t": 4.0}])
+    stream = _feed(spark, src, 3, [{"run_id": None, "seq": 5000, "iter": None, "t": None}])
+    live.to_change_log(live.throttle_progress(stream, 10, 4.0, 60), out, "append").awaitTermination()
+    assert sorted((r.run_id, r.seq) for r in live.read_log(spark, out).collect()) == [("a", 1), ("a", 950), ("b", 900)]
+
+
+def test_statuses_without_state(spark, tmp_path):
+    """Folds of batches, folded again: no state rows, and rows late by any time count."""
     src, out = tmp_path / "in", str(tmp_path / "out")
     src.mkdir()
-    lines = [{"run_id": "r", "seq": i, "iter": i, "t": float(i)} for i in range(1, 41)]
-    want, last = [], float("-inf")
-    for e in lines:
-        if e["iter"] % 10 == 0 or e["t"] - last >= 4:
-            last = e["t"]
-            want.append(e["seq"])
-    for part in (lines[:17], lines[17:]):
-        (src / f"{part[0]['seq']}.json").write_text("\n".join(json.dumps(e) for e in part))
-        stream = spark.readStream.schema("run_id string, seq bigint, iter bigint, t double").json(str(src))
-        live.to_change_log(live.throttle_progress(stream, 10, 4.0), out, "append").awaitTermination()
-    assert sorted(r["seq"] for r in live.read_log(spark, out).collect()) == want
+    rows = [("r", 3, 30, "success", None), ("r", 1, 10, "running", "p1"), ("q", 2, 20, None, "p2"), ("r", 9, 90, "failed", None), ("q", 4, 40, "lost", "p3"), ("r", 2, 20, None, "p0")]
+    for i, (run, seq, ts, status, phase) in enumerate(rows):
+        (src / f"{i}.json").write_text(json.dumps({"run_id": run, "seq": seq, "ts": ts, "status": status, "phase": phase}))
+    stream = spark.readStream.schema("run_id string, seq bigint, ts bigint, status string, phase string").option("maxFilesPerTrigger", 1).json(str(src))
+    done = live.partials_log(stream, out, lambda batch: live.status_parts(batch, ["phase"]))
+    done.awaitTermination()
+    assert all(not p["stateOperators"] for p in (json.loads(x.json) if hasattr(x, "json") else x for x in done.recentProgress))
+    want = [("q", None, "p2", None), ("r", "failed", "p0", 30)]
+    log = live.read_log(spark, out)
+    assert sorted(tuple(r) for r in live.merge_status(log, ["phase"]).collect()) == want
+    small = live.compact(spark, out, lambda parts: live.merge_parts(parts, ["phase"]), str(tmp_path / "compact"))
+    assert small.count() == 2 and sorted(tuple(r) for r in live.merge_status(small, ["phase"]).collect()) == want
 
 
 def test_event_stream_drops_torn_lines(spark, tmp_path):
