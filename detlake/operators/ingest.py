@@ -155,26 +155,44 @@ def remap_categories(annotations: DataFrame, remap: Mapping[int, int | None] = L
     return mapped.filter(F.col("_new").isNotNull()).drop(column).withColumnRenamed("_new", column), counts
 
 
-def migrate_dataset(images: DataFrame, annotations: DataFrame, categories: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Canonical tables plus a report row per (dataset, split). Datasets already canonical pass through; unknown class
-    sets are an error."""
+def content_marks(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per dataset the number of rows and two sums of 64-bit hashes of their columns, whatever their order; equal contents have
+    equal marks. Summed before the shuffle, so a dataset of any size is one row a task."""
+    def total(seed: int) -> Column:
+        return F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)"))
+    return rows.groupBy("dataset_id").agg(F.struct(F.count(F.lit(1)).alias("n"), total(1).alias("a"), total(2).alias("b")).alias("mark"))
+
+
+def migrate_dataset(images: DataFrame, annotations: DataFrame, categories: DataFrame, target: DataFrame | None = None,
+                    columns: Sequence[str] = ("image_id", "ann_id", "category_id", "x", "y", "w", "h")) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Canonical tables plus a report row per (dataset, split).
+
+    `action`: `migrate` (legacy classes renumbered, canonical ones passed through), `keep` (`target`, annotations already
+    stored, holds the very rows that would be written: nothing is), `refuse` (`target` holds other rows of the dataset) or
+    `unknown` (its class set is neither). Only datasets to migrate are in the tables; one of the others stops none."""
     kinds = classify_category_set(categories)
-    bad = kinds.filter(F.col("kind") == "unknown").limit(1).collect()
-    if bad:
-        raise ValueError(f"dataset {bad[0][0]} has an unknown class set")
     rows = annotations.join(kinds, "dataset_id")
     moved, _ = remap_categories(rows.filter(F.col("kind") == "legacy4"))
     out = rows.filter(F.col("kind") == "canonical").unionByName(moved)
+    if target is None:
+        plan = kinds.withColumn("action", F.when(F.col("kind") == "unknown", "unknown").otherwise("migrate"))
+    else:
+        held = content_marks(target, columns).withColumnRenamed("mark", "_held")
+        plan = kinds.join(content_marks(out, columns), "dataset_id", "left").join(held, "dataset_id", "left").select(
+            "dataset_id", "kind", F.when(F.col("kind") == "unknown", "unknown").when(F.col("_held").isNull(), "migrate")
+            .when(F.col("_held").eqNullSafe(F.col("mark")), "keep").otherwise("refuse").alias("action"))
     n = F.count(F.lit(1))
     key = ["dataset_id", "split"]
     report = (images.groupBy(*key).agg(n.alias("num_images")).join(rows.groupBy(*key).agg(n.alias("before")), key, "left")
-              .join(out.groupBy(*key).agg(n.alias("num_annotations")), key, "left").join(kinds, "dataset_id"))
+              .join(out.groupBy(*key).agg(n.alias("num_annotations")), key, "left").join(plan, "dataset_id"))
     zero = F.lit(0)
-    report = report.select(*key, "kind", "num_images", F.coalesce("num_annotations", zero).alias("num_annotations"),
+    report = report.select(*key, "kind", "action", "num_images", F.coalesce("num_annotations", zero).alias("num_annotations"),
                            (F.coalesce("before", zero) - F.coalesce("num_annotations", zero)).alias("dropped"))
-    cats = categories.select("dataset_id").distinct().select("dataset_id", F.explode(F.array(*[
+    going = plan.filter(F.col("action") == "migrate").select("dataset_id")
+    cats = going.select("dataset_id", F.explode(F.array(*[
         F.struct(F.lit(i).alias("category_id"), F.lit(c).alias("name")) for i, c in CANONICAL_SET.items()])).alias("c"))
-    return {"images": images, "annotations": out.drop("kind"), "categories": cats.select("dataset_id", "c.*")}, report
+    return {"images": images.join(going, "dataset_id", "left_semi"), "annotations": out.drop("kind").join(going, "dataset_id", "left_semi"),
+            "categories": cats.select("dataset_id", "c.*")}, report
 
 
 def infer_class(type_name: Column) -> Column:

@@ -24,18 +24,20 @@ def camera_intrinsics(t: Tables):
 
 
 @query("basis_from_angles", """
-SELECT image_id, round(cos(h) * cos(p), 6) AS fx, round(sin(p), 6) AS fy, round(sin(h) * cos(p), 6) AS fz,
-  round(-sin(h) * cos(b) + cos(h) * sin(p) * sin(b), 6) AS rx, round(-cos(p) * sin(b), 6) AS ry,
-  round(-cos(h) * sin(p) * cos(b) - sin(h) * sin(b), 6) AS ux, round(cos(p) * cos(b), 6) AS uy,
-  round(degrees(atan2(sin(h) * cos(p), cos(h) * cos(p))), 4) AS yaw, round(degrees(p), 5) AS pitch
-FROM (SELECT image_id, radians(heading_deg) AS h, -radians(pitch_deg) AS p, radians((image_id % 7)::double) AS b FROM sub_frames WHERE heading_deg <> 180)""")
+SELECT image_id, round(cos(h) * cos(p), 6) + 0.0::double AS fx, round(sin(p), 6) + 0.0::double AS fy, round(sin(h) * cos(p), 6) + 0.0::double AS fz,
+  round(-sin(h) * cos(b) + cos(h) * sin(p) * sin(b), 6) + 0.0::double AS rx, round(-cos(p) * sin(b), 6) + 0.0::double AS ry,
+  round(-cos(h) * sin(p) * cos(b) - sin(h) * sin(b), 6) + 0.0::double AS ux, round(cos(p) * cos(b), 6) + 0.0::double AS uy,
+  round(sin(h), 6) + 0.0::double AS yaw_sin, round(cos(h), 6) + 0.0::double AS yaw_cos, round(degrees(p), 5) AS pitch
+FROM (SELECT image_id, radians(heading_deg) AS h, -radians(pitch_deg) AS p, radians((image_id % 7)::double) AS b FROM sub_frames)""")
 def basis_from_angles(t: Tables):
+    """Yaw as sine and cosine, which are the same for 180 and -180 degrees."""
     f, u, r = camera.basis_from_angles(F.radians("heading_deg"), F.radians("pitch_deg"), F.radians((F.col("image_id") % 7).cast("double")))
     euler = camera.basis_to_euler(f, r)
     six = lambda c, n: (F.round(c, 6) + 0.0).alias(n)
-    return t.view("sub_frames").filter("heading_deg <> 180").select(
+    yaw = F.radians(euler["yaw"])
+    return t.view("sub_frames").select(
         "image_id", six(f.x, "fx"), six(f.y, "fy"), six(f.z, "fz"), six(r.x, "rx"), six(r.y, "ry"), six(u.x, "ux"), six(u.y, "uy"),
-        F.round(euler["yaw"], 4).alias("yaw"), F.round(euler["pitch"], 5).alias("pitch"))
+        six(F.sin(yaw), "yaw_sin"), six(F.cos(yaw), "yaw_cos"), F.round(euler["pitch"], 5).alias("pitch"))
 
 
 @query("basis_from_axes", """

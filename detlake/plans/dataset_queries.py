@@ -129,18 +129,36 @@ def remap_counts(t: Tables):
     return ingest.remap_categories(t.view("sub_legacy"))[1]
 
 
-@query("migrate_dataset", """
-SELECT dataset_id, split, CASE WHEN dataset_id IN ('ds_2', 'ds_3') THEN 'legacy4' ELSE 'canonical' END AS kind, count(DISTINCT i.image_id) AS num_images,
-  count(a.ann_id) FILTER (WHERE NOT (dataset_id IN ('ds_2', 'ds_3') AND k1 % 4 = 1)) AS num_annotations,
-  count(a.ann_id) FILTER (WHERE dataset_id IN ('ds_2', 'ds_3') AND k1 % 4 = 1) AS dropped
-FROM orc_split_images i LEFT JOIN sub_annotations a ON a.image_id = i.image_id WHERE dataset_id <> 'ds_4' GROUP BY dataset_id, split""")
-def migrate_dataset(t: Tables):
-    images = _images(t).filter("dataset_id <> 'ds_4'")
+def _old_rows(t: Tables):
+    images = _images(t)
     old = F.col("dataset_id").isin("ds_2", "ds_3")
     rows = t.view("sub_annotations").join(images.select("image_id", "dataset_id", "split"), "image_id")
     rows = rows.withColumn("category_id", F.when(old, (F.col("k1") % 4).cast("int")).otherwise(F.col("category_id")))
-    rows = rows.select("dataset_id", "split", "image_id", "ann_id", "category_id", "x", "y", "w", "h")
-    return ingest.migrate_dataset(images, rows, t.view("sub_categories").filter("dataset_id <> 'ds_4'"))[1]
+    return images, rows.select("dataset_id", "split", "image_id", "ann_id", "category_id", "x", "y", "w", "h")
+
+
+@query("migrate_dataset", """
+SELECT dataset_id, split, CASE WHEN dataset_id IN ('ds_2', 'ds_3') THEN 'legacy4' WHEN dataset_id = 'ds_4' THEN 'unknown' ELSE 'canonical' END AS kind,
+  CASE WHEN dataset_id = 'ds_4' THEN 'unknown' ELSE 'migrate' END AS action, count(DISTINCT i.image_id) AS num_images,
+  count(a.ann_id) FILTER (WHERE dataset_id <> 'ds_4' AND NOT (dataset_id IN ('ds_2', 'ds_3') AND k1 % 4 = 1)) AS num_annotations,
+  count(a.ann_id) FILTER (WHERE dataset_id = 'ds_4' OR dataset_id IN ('ds_2', 'ds_3') AND k1 % 4 = 1) AS dropped
+FROM orc_split_images i LEFT JOIN sub_annotations a ON a.image_id = i.image_id GROUP BY dataset_id, split""")
+def migrate_dataset(t: Tables):
+    return ingest.migrate_dataset(*_old_rows(t), t.view("sub_categories"))[1]
+
+
+@query("migrate_again", """
+SELECT i.dataset_id, CASE i.dataset_id WHEN 'ds_0' THEN 'keep' WHEN 'ds_1' THEN 'migrate' WHEN 'ds_2' THEN 'keep' WHEN 'ds_3' THEN 'refuse' ELSE 'unknown' END AS action,
+  count(a.ann_id) FILTER (WHERE i.dataset_id = 'ds_1') AS written
+FROM orc_split_images i LEFT JOIN sub_annotations a ON a.image_id = i.image_id GROUP BY i.dataset_id""")
+def migrate_again(t: Tables):
+    """A second migration onto stored results: of ds_0 and ds_2 as they are, of ds_3 with one class changed, of ds_1 none."""
+    images, rows = _old_rows(t)
+    stored = ingest.migrate_dataset(images, rows, t.view("sub_categories"))[0]["annotations"].filter("dataset_id <> 'ds_1'")
+    stored = stored.withColumn("category_id", F.when((F.col("dataset_id") == "ds_3") & (F.col("ann_id") % 1000 < 500), 2).otherwise(F.col("category_id")))
+    tables, report = ingest.migrate_dataset(images, rows, t.view("sub_categories"), stored)
+    written = tables["annotations"].groupBy("dataset_id").agg(F.count("*").alias("written"))
+    return report.select("dataset_id", "action").distinct().join(written, "dataset_id", "left").select("dataset_id", "action", F.coalesce("written", F.lit(0)).alias("written"))
 
 
 _TYPES = """SELECT ann_id, CASE k1 % 9 WHEN 0 THEN 'Arleigh_Burke' WHEN 1 THEN 'UH-1H' WHEN 2 THEN 'F-16C bl.50' WHEN 3 THEN 'Su-25T' WHEN 4 THEN 'kilo'

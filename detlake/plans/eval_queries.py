@@ -152,8 +152,9 @@ def match_any_class(t: Tables):
 
 
 @query("false_examples", """
-SELECT 'fp' AS kind, image_id, class_id, det_id AS box_id, confidence, x1, y1, x2, y2 FROM sub_detections WHERE det_id NOT IN (SELECT det_id FROM orc_match WHERE threshold = 0.5)
-UNION ALL SELECT 'fn', image_id, class_id, gt_id, NULL, x1, y1, x2, y2 FROM orc_gt WHERE gt_id NOT IN (SELECT gt_id FROM orc_match WHERE threshold = 0.5)""")
+WITH m AS MATERIALIZED (SELECT det_id, gt_id FROM orc_match WHERE threshold = 0.5)
+SELECT 'fp' AS kind, image_id, class_id, det_id AS box_id, confidence, x1, y1, x2, y2 FROM sub_detections d WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.det_id = d.det_id)
+UNION ALL SELECT 'fn', image_id, class_id, gt_id, NULL, x1, y1, x2, y2 FROM orc_gt g WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.gt_id = g.gt_id)""")
 def false_examples(t: Tables):
     return matching.false_examples(_dets(t), _truth(t), _matches(t))
 

@@ -125,22 +125,39 @@ def tolerant_events(t: Tables):
     return readers.read_events_tolerant(t.spark, f"{root}/log")[0].select("total", "run_id", "status")
 
 
-_ENTRIES = """WITH a AS (SELECT a.*, i.split FROM sub_annotations a JOIN orc_split_images i ON a.image_id = i.image_id)
-SELECT ann_id, image_id, category_id, x, y, w, h, w * h + 0.5::double AS area, (ann_id % 2)::int AS iscrowd, CASE WHEN ann_id % 3 = 0 THEN 'strong' END AS tier, split FROM a"""
+# image ids that share one JSON document
+BLOCK = 20_000
+
+_ENTRIES = """WITH a AS (SELECT a.*, i.split FROM sub_annotations a JOIN orc_split_images i ON a.image_id = i.image_id),
+s AS (SELECT unnest(['train', 'val', 'test']) AS split)
+SELECT 'annotation' AS kind, ann_id AS id, image_id, category_id, x, y, w, h, w * h + 0.5::double AS area, (ann_id % 2)::int AS iscrowd, CASE WHEN ann_id % 3 = 0 THEN 'strong' END AS extra, split FROM a
+UNION ALL SELECT 'image', image_id, NULL, NULL, NULL, NULL, width::double, height::double, NULL, NULL, file_name, split FROM orc_split_images
+UNION ALL SELECT 'category', category_id, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, name, split FROM sub_categories, s WHERE dataset_id = 'ds_0'"""
 
 
 @query("coco_round_trip", _ENTRIES)
 def coco_round_trip(t: Tables):
-    """Documents written and read back: given areas and flags and unknown fields stay."""
+    """Documents written and read back, all three tables: given areas and flags and unknown fields stay. A document holds the
+    images of a block of ids with their boxes, so documents keep their size as the table grows."""
     root = work_folder(t.spark)
-    images = with_split(t.view("sub_images")).select("split", "image_id", "file_name", "width", "height")
+    images = with_split(t.view("sub_images")).select("split", "image_id", "file_name", "width", "height").withColumn(
+        "split", F.concat_ws("-", "split", F.floor(F.col("image_id") / BLOCK).cast("string")))
     anns = t.view("sub_annotations").join(images.select("image_id", "split"), "image_id").select(
         "split", "ann_id", "image_id", "category_id", "x", "y", "w", "h", (F.col("w") * F.col("h") + 0.5).alias("area"), (F.col("ann_id") % 2).cast("int").alias("iscrowd"),
         F.when(F.col("ann_id") % 3 == 0, F.to_json(F.struct(F.lit("strong").alias("quality_tier")))).alias("props"))
-    cats = t.view("sub_categories").filter("dataset_id = 'ds_0'").select(F.explode(F.array(*[F.lit(s) for s in SPLITS])).alias("split"), "category_id", "name")
-    sinks.write_coco_documents(sinks.coco_documents(images, anns, cats), f"{root}/coco")
-    back = readers.read_coco(t.spark, f"{root}/coco", "part-*")["annotations"]
-    return back.select("ann_id", "image_id", "category_id", *[F.get("bbox", i).alias(c) for i, c in enumerate("xywh")], "area", "iscrowd", F.get_json_object("props", "$.quality_tier").alias("tier"), "split")
+    cats = images.select("split").distinct().join(t.view("sub_categories").filter("dataset_id = 'ds_0'").select("category_id", "name", F.lit(0).alias("one")).withColumn("one", F.lit(True)), F.col("one"))
+    sinks.write_coco_documents(sinks.coco_documents(images, anns, cats.drop("one")), f"{root}/coco")
+    back = readers.read_coco(t.spark, f"{root}/coco", "part-*")
+    split = F.substring_index("split", "-", 1).alias("split")
+    number = lambda *names: [F.lit(None).cast("double").alias(n) for n in names]
+    none = lambda kind, *names: [F.lit(None).cast(kind).alias(n) for n in names]
+    boxes = back["annotations"].select(F.lit("annotation").alias("kind"), F.col("ann_id").alias("id"), "image_id", "category_id", *[F.get("bbox", i).alias(c) for i, c in enumerate("xywh")], "area", "iscrowd",
+                                       F.get_json_object("props", "$.quality_tier").alias("extra"), split)
+    pictures = back["images"].select(F.lit("image").alias("kind"), F.col("image_id").alias("id"), *none("bigint", "image_id"), *none("int", "category_id"), *number("x", "y"), F.col("width").cast("double").alias("w"),
+                                     F.col("height").cast("double").alias("h"), *number("area"), *none("int", "iscrowd"), F.col("file_name").alias("extra"), split)
+    classes = back["categories"].select(F.lit("category").alias("kind"), F.col("category_id").cast("bigint").alias("id"), *none("bigint", "image_id"), *none("int", "category_id"), *number("x", "y", "w", "h", "area"),
+                                        *none("int", "iscrowd"), F.col("name").alias("extra"), split).distinct()
+    return boxes.unionByName(pictures).unionByName(classes)
 
 
 @query("count_records", "SELECT count(*) AS n FROM sub_images")
@@ -161,24 +178,29 @@ def listed_files(t: Tables):
 
 
 @query("label_lines", """
-SELECT image_id AS line_no, category_id AS class_id, w / 4096 AS w FROM (SELECT image_id, min_by(category_id, ann_id) AS category_id, min_by(w, ann_id) AS w FROM sub_annotations GROUP BY image_id)""")
+SELECT ann_id AS box_id, category_id AS class_id, x / 4096 AS cx, y / 4096 AS cy, w / 4096 AS w, row_number() OVER (PARTITION BY image_id ORDER BY ann_id) > 1 AS later FROM sub_annotations""")
 def label_lines(t: Tables):
-    """Label files written as text and read back; the first box of each image, its height holding the image id."""
+    """Label files of many lines written as text and read back: every box, its height holding its id. Lines of an image stand
+    one after the other, and `later` tells of each line whether another one of its image stands before it."""
     root = work_folder(t.spark)
-    first = t.view("sub_annotations").groupBy("image_id").agg(F.min_by("category_id", "ann_id").alias("c"), F.min_by("w", "ann_id").alias("w"))
-    first.select(F.concat_ws(" ", "c", F.lit("0.5"), F.lit("0.5"), (F.col("w") / 4096).cast("string"), F.col("image_id").cast("string")).alias("value")).write.text(f"{root}/labels")
-    return readers.read_yolo_labels(t.spark, f"{root}/labels").select(F.col("h").cast("bigint").alias("line_no"), "class_id", "w")
+    boxes = t.view("sub_annotations")
+    line = F.concat_ws(" ", "category_id", *[(F.col(c) / 4096).cast("string") for c in ("x", "y", "w")], F.col("ann_id").cast("string"))
+    boxes.repartition("image_id").sortWithinPartitions("image_id", "ann_id").select(line.alias("value")).write.text(f"{root}/labels")
+    read = readers.read_yolo_labels(t.spark, f"{root}/labels").select("file", "line_no", F.col("h").cast("bigint").alias("box_id"), "class_id", "cx", "cy", "w")
+    place = read.join(boxes.select(F.col("ann_id").alias("box_id"), "image_id"), "box_id")
+    first = place.groupBy("file", "image_id").agg(F.min("line_no").alias("_first"))
+    return place.join(first, ["file", "image_id"]).select("box_id", "class_id", "cx", "cy", "w", (F.col("line_no") > F.col("_first")).alias("later"))
 
 
 @query("stored_tile_predictions", "SELECT image_id, class_id, confidence, x1 AS b_x1, y2 AS b_y2, 320 AS ox FROM sub_detections")
 def stored_tile_predictions(t: Tables):
-    """Tile predictions written as JSON documents, one for each image, and read back."""
+    """Tile predictions written as JSON documents, one for each block of image ids, and read back."""
     root = work_folder(t.spark)
     det = F.struct("class_id", "confidence", F.array("x1", "y1", "x2", "y2").alias("bbox_crop"))
     tiles = t.view("sub_detections").groupBy("image_id").agg(F.collect_list(det).alias("detections"))
     tile = F.struct(F.lit("s").alias("scale_name"), F.array(F.lit(320), F.lit(0)).alias("crop_offset"), "detections")
-    docs = tiles.groupBy((F.col("image_id") % 8).alias("part")).agg(F.to_json(F.struct(F.collect_list(F.struct("image_id", F.array(tile).alias("tiles"))).alias("images"))).alias("value"))
-    docs.repartition(8, "part").write.partitionBy("part").text(f"{root}/predictions")
+    docs = tiles.groupBy(F.floor(F.col("image_id") / BLOCK).alias("part")).agg(F.to_json(F.struct(F.collect_list(F.struct("image_id", F.array(tile).alias("tiles"))).alias("images"))).alias("value"))
+    docs.repartition("part").write.partitionBy("part").text(f"{root}/predictions")
     return readers.read_tile_predictions(t.spark, f"{root}/predictions", "part-*")[1].select("image_id", "class_id", "confidence", "b_x1", "b_y2", "ox")
 
 

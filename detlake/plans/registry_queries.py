@@ -62,9 +62,12 @@ def patch_run(t: Tables):
     return registry.patch(_runs(t), changes, "run_id", ["status", "tile_cache_id"]).select("run_id", "dataset_id", "status", "tile_cache_id")
 
 
-@query("fk_violations", "SELECT run_id, tile_cache_id FROM sub_runs WHERE tile_cache_id IS NOT NULL AND tile_cache_id NOT IN (SELECT tile_cache_id FROM sub_caches)")
+@query("fk_violations", """
+SELECT run_id, dataset_id FROM sub_runs WHERE dataset_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sub_images i WHERE i.dataset_id = sub_runs.dataset_id AND i.dataset_id <> 'ds_2')""")
 def fk_violations(t: Tables):
-    return registry.fk_violations(_runs(t), "tile_cache_id", t.view("sub_caches"), "tile_cache_id").select("run_id", "tile_cache_id")
+    """Runs of datasets that a registry without ds_2 does not know: their references are orphans."""
+    known = t.view("sub_images").filter("dataset_id <> 'ds_2'").select("dataset_id").distinct()
+    return registry.fk_violations(_runs(t), "dataset_id", known, "dataset_id").select("run_id", "dataset_id")
 
 
 @query("delete_by_key", "SELECT run_id, dataset_id FROM sub_runs WHERE dataset_id NOT IN ('ds_1', 'ds_3')")

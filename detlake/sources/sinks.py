@@ -61,6 +61,10 @@ def materialize_once(spark: SparkSession, target: str, build: Callable[[], DataF
     return spark.read.parquet(target), "created"
 
 
+#: copies of one entry that are made from one row
+COPIES = 65_536
+
+
 def append_manifest(df: DataFrame, path: str) -> int:
     """Append JSON lines and tell how many, counted while writing."""
     seen = Observation()
@@ -108,14 +112,21 @@ def coco_document_lines(images: DataFrame, annotations: DataFrame, categories: D
     """`split, line` in the order of the documents: range-partitioned, so that the part files of a split, one after the
     other, are its JSON document, whatever its size."""
     entries = coco_entries(images, annotations, categories)
-    first = entries.groupBy("split", "part").agg(F.min(F.struct("id", "entry")).alias("first"))
-    lines = entries.join(first, ["split", "part"]).withColumn("line", F.concat(
-        F.when(F.struct("id", "entry") == F.col("first"), F.lit("")).otherwise(F.lit(",")), "entry")).select("split", (F.col("part") * 2 + 1).alias("part"), "id", "line")
+    # how often each entry stands there, and the smallest one of each array with its number: the first copy has no comma
+    counted = entries.groupBy("split", "part", "id", "entry").agg(F.count(F.lit(1)).alias("n"))
+    first = counted.groupBy("split", "part").agg(F.min(F.struct(F.col("id").isNotNull(), "id", "entry", "n")).alias("first")).select("split", "part", "first.id", "first.entry", "first.n")
+    others = entries.join(first.select("split", "part", F.col("id").alias("_id"), F.col("entry").alias("_entry")), ["split", "part"]).filter(
+        ~(F.col("id").eqNullSafe(F.col("_id")) & (F.col("entry") == F.col("_entry")))).select("split", "part", "id", F.concat(F.lit(","), "entry").alias("line"))
+    blocks = first.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / COPIES))))
+    copies = blocks.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.least(F.lit(COPIES - 1), F.col("n") - 1 - F.col("_b") * COPIES)))).select(
+        "split", "part", "id", F.concat(F.when((F.col("_b") == 0) & (F.col("_i") == 0), F.lit("")).otherwise(F.lit(",")), "entry").alias("line"),
+        ((F.col("_b") > 0) | (F.col("_i") > 0)).alias("_late"))
+    lines = others.withColumn("_late", F.lit(True)).unionByName(copies).withColumn("part", F.col("part") * 2 + 1)
     marks = entries.select("split").distinct().select("split", F.explode(F.array(*[
         F.struct(F.lit(n).alias("part"), F.lit(None).cast("bigint").alias("id"), F.lit(mark).alias("line"))
         for n, mark in ((0, '{"images":['), (2, '],"annotations":['), (4, '],"categories":['), (6, "]}"))])).alias("m")).select("split", "m.*")
-    rows = lines.unionByName(marks)
-    order = [F.col("split"), F.col("part"), F.col("id"), F.col("line")]
+    rows = lines.unionByName(marks.withColumn("_late", F.lit(False)))
+    order = [F.col("split"), F.col("part"), F.col("_late"), F.col("id"), F.col("line")]
     return rows.repartitionByRange(*order).sortWithinPartitions(*order).select("split", "line")
 
 
