@@ -28,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from detlake.llm.columns import fresh
-from detlake.llm.words import PIECE, column_bytes, mix, pieces
+from detlake.llm.words import column_bytes, mix, pieces
 
 LENGTH = 200
 GRAM = 32
+#: bytes whose hashes are in memory at a time; about twenty arrays of 8 bytes for each of them are
+PIECE = 1 << 18
 RUN = 20_000
 ANCHORS = 1_000_000
 
@@ -84,7 +86,7 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, length: int, powers: tuple)
 def text_anchors(data: np.ndarray, offsets: np.ndarray, length: int, powers: tuple) -> Iterator[tuple]:
     """For ranges of texts (first, after last): text of each anchor, then as arrays its place in the text, its gram hash
     and the first and last start of its strings."""
-    for i, j in pieces(offsets):
+    for i, j in pieces(offsets, PIECE):
         begin, end = int(offsets[i]), int(offsets[j])
         if end - begin <= PIECE:
             at, grams, low, high = _anchors(data[begin:end], offsets[i:j + 1] - begin, length, powers)
