@@ -37,12 +37,18 @@ def file_hash(files: DataFrame, content: str = "content") -> DataFrame:
 
 
 def _tree(rows: DataFrame, keys: Sequence[str], line: str, order: Sequence[str]) -> DataFrame:
-    """Tree SHA-256 over the lines of each key; `order` tells the lines of a key apart."""
+    """Tree SHA-256 over the lines of each key; `order` tells the lines of a key apart. Without `order` lines are their own
+    order, and a leaf collects nothing beside them."""
     keys = list(keys)
-    leaf = F.substring(F.md5(F.concat_ws("\x1f", *[F.col(c).cast("string") for c in order]).cast("binary")), 1, LEAF_DIGITS)
-    lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, line))), lambda e: e[line]), "")
+    own = [F.col(c).cast("string") for c in order] or [F.col(line)]
+    leaf = F.substring(F.md5(F.concat_ws("\x1f", *own).cast("binary")), 1, LEAF_DIGITS)
+    if order:
+        lines = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, line))), lambda e: e[line]), "")
+    else:
+        lines = F.array_join(F.sort_array(F.collect_list(line)), "")
     leaves = rows.select(*keys, *order, line, leaf.alias("_leaf")).groupBy(*keys, "_leaf").agg(sha_text(lines).alias("_digest"))
-    names = F.transform(F.array_sort(F.collect_list(F.struct("_leaf", "_digest"))), lambda e: F.concat(e["_leaf"], F.lit(":"), e["_digest"], F.lit("\n")))
+    # leaf and digest in one text of fixed width, which sorts by the leaf
+    names = F.sort_array(F.collect_list(F.concat("_leaf", F.lit(":"), "_digest", F.lit("\n"))))
     return leaves.groupBy(*keys).agg(sha_text(F.array_join(names, "")).alias("sha256"))
 
 
@@ -77,9 +83,9 @@ def migration_hash(files: DataFrame, annotations: DataFrame) -> DataFrame:
 
 
 def split_hash(images: DataFrame) -> DataFrame:
-    """Per dataset, over the file names of each split; boxes do not matter."""
-    names = images.select("dataset_id", F.col("split").alias("_s"), F.col("file_name").alias("_n"), F.concat("split", F.lit("\x00"), "file_name", F.lit("\n")).alias("_line"))
-    out = _tree(names.where(F.col("_s").isin(list(SPLITS))), ["dataset_id"], "_line", ["_s", "_n"]).withColumnRenamed("sha256", "split_hash")
+    """Per dataset, over the file names of each split; boxes do not matter. Lines `split NUL file name LF` are their own order."""
+    lines = images.where(F.col("split").isin(list(SPLITS))).select("dataset_id", F.concat("split", F.lit("\x00"), "file_name", F.lit("\n")).alias("_line"))
+    out = _tree(lines, ["dataset_id"], "_line", []).withColumnRenamed("sha256", "split_hash")
     return out.withColumn("algorithm", F.lit(ALGORITHM))
 
 

@@ -214,7 +214,10 @@ def directory_hash(t: Tables):
     return hashing.directory_hash(t.view("sub_files"))
 
 
-@query("split_hash", f"SELECT dataset_id, sha256 AS split_hash, '{hashing.ALGORITHM}' AS algorithm FROM {_tree_sql('orc_split_images', 'dataset_id', 'split || chr(0) || file_name || chr(10)', ('split', 'file_name'))}")
+_SPLIT_LINE = "split || chr(0) || file_name || chr(10)"
+
+
+@query("split_hash", f"SELECT dataset_id, sha256 AS split_hash, '{hashing.ALGORITHM}' AS algorithm FROM {_tree_sql('orc_split_images', 'dataset_id', _SPLIT_LINE, (_SPLIT_LINE,))}")
 def split_hash(t: Tables):
     return hashing.split_hash(with_split(t.view("sub_images")))
 

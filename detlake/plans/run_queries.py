@@ -158,6 +158,20 @@ def stream_stage_states(t: Tables):
     return live.live_stage_states(live.compact(t.spark, f"{root}/latest", live.merge_stages, f"{root}/compact"))
 
 
+@query("stream_events", """
+SELECT run_id::varchar AS run_id, stage, status, CASE WHEN seq % 3 = 0 THEN 'm' || seq END AS message, CASE WHEN seq % 5 = 0 THEN 'p' || seq END AS note FROM sub_run_events WHERE seq % 7 <> 3""")
+def stream_events(t: Tables):
+    """The event log as JSON lines, every seventh one torn, followed as a stream; fields inside `payload` by their path."""
+    root = work_folder(t.spark)
+    seq = F.col("seq")
+    whole = F.to_json(F.struct(F.col("run_id").cast("string").alias("run_id"), "stage", "status", F.when(seq % 3 == 0, F.concat(F.lit("m"), seq.cast("string"))).alias("message"),
+                               F.struct(F.when(seq % 5 == 0, F.concat(F.lit("p"), seq.cast("string"))).alias("note")).alias("payload")))
+    t.view("sub_run_events").select(F.when(seq % 7 == 3, F.substring(whole, 1, 25)).otherwise(whole).alias("value")).write.text(f"{root}/events")
+    schema = "run_id string, stage string, status string, message string, payload struct<note:string>"
+    live.to_change_log(live.stream_events(t.spark, f"{root}/events", schema), f"{root}/log", "append").awaitTermination()
+    return live.read_log(t.spark, f"{root}/log").select("run_id", "stage", "status", "message", F.col("payload.note").alias("note"))
+
+
 # a fold over each run's events in order; the state is the time of the last one kept
 @query("throttle_progress", """
 WITH l AS (SELECT run_id, list({seq: seq, iter: iter, t: epoch_us(ts) / 1000000.0::double} ORDER BY seq) AS l FROM sub_run_events WHERE iter IS NOT NULL GROUP BY run_id),

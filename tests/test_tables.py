@@ -246,3 +246,29 @@ def test_event_stream_drops_torn_lines(spark, tmp_path):
     out = str(tmp_path / "log")
     live.to_change_log(live.stream_events(spark, str(src)), out, "append").awaitTermination()
     assert live.read_log(spark, out).count() == 1
+
+
+def test_equal_entries_of_a_document_keep_their_commas(spark):
+    images = spark.createDataFrame([("a", 1, "x.png", 4, 4)] * 3 + [("a", 2, "y.png", 4, 4), ("b", 5, "z.png", 4, 4)], "split string, image_id long, file_name string, width int, height int")
+    anns = spark.createDataFrame([("a", 9, 1, 0, 0.0, 0.0, 1.0, 1.0)] * 2 + [("a", None, 1, 0, 0.0, 0.0, 1.0, 1.0)] * 2, "split string, ann_id long, image_id long, category_id int, x double, y double, w double, h double")
+    cats = spark.createDataFrame([("a", 0, "ships"), ("b", 0, "ships")], "split string, category_id int, name string")
+    text = {}
+    for r in sinks.coco_document_lines(images, anns, cats).collect():
+        text[r.split] = text.get(r.split, "") + r.line + "\n"
+    documents = {k: json.loads(v) for k, v in text.items()}
+    assert [e["id"] for e in documents["a"]["images"]] == [1, 1, 1, 2] and sorted(str(e.get("id")) for e in documents["a"]["annotations"]) == ["9", "9", "None", "None"]
+    assert documents["b"] == {"images": [{"id": 5, "file_name": "z.png", "width": 4, "height": 4}], "annotations": [], "categories": [{"id": 0, "name": "ships"}]}
+
+
+def test_migration_keeps_refuses_and_reports(spark):
+    images = spark.createDataFrame([(d, "train", 1) for d in ("new", "same", "other", "odd")], "dataset_id string, split string, image_id long")
+    old = list(ingest.LEGACY_SET.items())
+    cats = spark.createDataFrame([(d, i, n) for d in ("new", "same", "other") for i, n in old] + [("odd", 0, "trees")], "dataset_id string, category_id int, name string")
+    rows = spark.createDataFrame([(d, "train", 1, a, 0, 0.0, 0.0, 1.0, float(a)) for d in ("new", "same", "other", "odd") for a in (1, 2, 2)],
+                                 "dataset_id string, split string, image_id long, ann_id long, category_id int, x double, y double, w double, h double")
+    stored = ingest.migrate_dataset(images, rows, cats)[0]["annotations"].where("dataset_id <> 'new'")
+    stored = stored.withColumn("w", F.when((F.col("dataset_id") == "other") & (F.col("ann_id") == 1), 7.0).otherwise(F.col("w")))
+    tables, report = ingest.migrate_dataset(images, rows, cats, stored)
+    assert {r.dataset_id: r.action for r in report.collect()} == {"new": "migrate", "same": "keep", "other": "refuse", "odd": "unknown"}
+    assert {r.dataset_id for name in ("images", "annotations", "categories") for r in tables[name].select("dataset_id").collect()} == {"new"}
+    assert tables["annotations"].count() == 3
