@@ -94,8 +94,7 @@ def fragment_edges(t: Tables):
 
 
 def _components(t: Tables):
-    dets = _nms(t)
-    return fragments.fragment_components(dets, fragments.fragment_edges(dets))
+    return fragments.near_components(_nms(t))
 
 
 @query("fragment_components", """

@@ -1,10 +1,13 @@
 """The ways taken by large groups give what the small-group ways and plain Python give."""
 
+import math
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from detlake.operators import fragments, matching, ordering, skew, suppress
+from detlake.operators import fragments, grid, matching, ordering, skew, suppress
 
 CORNERS = ["x1", "y1", "x2", "y2"]
 
@@ -145,6 +148,73 @@ def test_edges_and_components(detections):
     assert fragments.merged_from(a, fused).count() == fused.filter("source = 'merged'").agg(F.sum("num_members")).first()[0]
 
 
+def _reference_components(rows, cfg):
+    """Union by pairs in plain Python: rows are (image, class, det, scale, crop, x1, y1, x2, y2)."""
+    parent = {r[2]: r[2] for r in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(rows):
+        for b in rows[i + 1:]:
+            if a[:2] != b[:2] or (cfg.same_scale and a[3] != b[3]) or (cfg.adjacent_crops and abs(a[4] - b[4]) > 1):
+                continue
+            dx, dy = max(b[5] - a[7], a[5] - b[7], 0.0), max(b[6] - a[8], a[6] - b[8], 0.0)
+            if math.sqrt(dx * dx + dy * dy) <= cfg.max_distance_px:
+                low, high = sorted((root(a[2]), root(b[2])))
+                parent[high] = low
+    return sorted((i, root(i)) for i in parent)
+
+
+@pytest.mark.parametrize("cfg", [fragments.Fusion(max_distance_px=4.0), fragments.Fusion(max_distance_px=0.0),
+                                 fragments.Fusion(max_distance_px=6.0, same_scale=True, adjacent_crops=True)])
+def test_components_without_edges(spark, cfg):
+    rng = random.Random(11)
+    rows = []
+    for i in range(420):
+        # thin, tiny, empty and long boxes, dense in one corner, sparse elsewhere
+        w, h = rng.choice([(1.5, 40.0), (30.0, 1.0), (0.0, 0.0), (5.0, 5.0), (0.25, 0.5), (90.0, 0.5)])
+        x, y = (rng.uniform(0, 40), rng.uniform(0, 40)) if i % 3 == 0 else (rng.uniform(0, 700), rng.uniform(0, 700))
+        x, y = (round(x), round(y)) if i % 2 else (x, y)
+        rows.append((1, i % 2, i, rng.randrange(2), rng.randrange(6), float(x), float(y), float(x + w), float(y + h)))
+    schema = "image_id bigint, class_id int, det_id bigint, scale_level int, crop_id int, x1 double, y1 double, x2 double, y2 double"
+    want = _reference_components(rows, cfg)
+    df = spark.createDataFrame(rows, schema)
+    assert 20 < len({c for _, c in want}) < 400
+    for group_rows, fold_rows in ((1000, 1000), (5, 1000)):
+        assert _rows(fragments.near_components(df, cfg, group_rows, fold_rows), "det_id", "component") == want
+
+
+def test_components_of_dense_and_broken_boxes(spark):
+    # a thousand boxes on one spot beside a second heap just out of reach, that a thin box far below connects; null and
+    # NaN corners stay alone, and so does a disabled class
+    heap = [(1, 0, i, 0.0 + i % 7, 0.0, 20.0 + i % 7, 20.0) for i in range(500)] + [(1, 0, i, 40.0, 0.0, 60.0 + i % 5, 20.0) for i in range(500, 900)]
+    bridge = [(1, 0, 990, 3.0, 24.0, 55.0, 24.5)]
+    odd = [(1, 0, 995, None, 0.0, 9.0, 9.0), (1, 0, 996, float("nan"), 0.0, 9.0, 9.0), (1, 3, 997, 0.0, 0.0, 9.0, 9.0), (1, 3, 998, 0.0, 0.0, 9.0, 9.0), (None, 0, 999, 0.0, 0.0, 9.0, 9.0)]
+    schema = "image_id bigint, class_id int, det_id bigint, x1 double, y1 double, x2 double, y2 double"
+    cfg = fragments.Fusion(max_distance_px=5.0, disabled_classes=(3,))
+    for extra, second in (([], 500), (bridge, 0)):
+        df = spark.createDataFrame(heap + extra + odd, schema)
+        got = dict(_rows(fragments.near_components(df, cfg), "det_id", "component"))
+        assert {got[i] for i in range(500)} == {0} and {got[i] for i in range(500, 900)} == {second}
+        assert all(got[i] == i for i in range(995, 1000)) and len(got) == len(heap + extra + odd)
+    empty = spark.createDataFrame([], schema)
+    assert fragments.near_components(empty, cfg).count() == 0
+
+
+def test_pairs_of_unlike_sizes(spark):
+    # one giant box among small ones takes four cells of its own size, and every pair comes once
+    rng = random.Random(3)
+    boxes = [(1, i, x, y, x + s, y + s) for i, (x, y, s) in enumerate((rng.uniform(-300, 300), rng.uniform(-300, 300), rng.choice([0.0, 2.0, 17.0, 64.0])) for _ in range(150))]
+    boxes.append((1, 150, -100000.0, -100000.0, 100000.0, 100000.0))
+    df = spark.createDataFrame(boxes, "g int, k int, x1 double, y1 double, x2 double, y2 double")
+    got = grid.meeting_pairs(df, df, ["g"], 1.5).select("a_k", "b_k").collect()
+    want = {(a[1], b[1]) for a in boxes for b in boxes if max(a[2], b[2]) - min(a[4], b[4]) <= 3.0 and max(a[3], b[3]) - min(a[5], b[5]) <= 3.0}
+    assert len(got) == len(set(got)) and {tuple(r) for r in got} == want
+
+
 def test_positions_and_running_sums(spark):
     rows = [(("hot" if i % 3 else "cold"), (i * 7919) % 1000, i % 5) for i in range(1000)]
     df = spark.createDataFrame(rows, "g string, k int, v int")
