@@ -117,9 +117,9 @@ def cache_state(wanted: DataFrame, meta: DataFrame) -> DataFrame:
     for h in hashes:
         ok = ok & (F.col(f"_{h}") == F.col(h))
     ok = ok & (F.size(F.array_intersect("splits", F.array(*[F.lit(s) for s in SPLITS]))) == len(SPLITS))
-    good = wanted.join(m, "tile_cache_id").filter(ok).select("tile_cache_id").distinct().withColumn("_ok", F.lit(True))
+    good = wanted.join(m, "tile_cache_id").filter(ok).select("tile_cache_id", *hashes).distinct().withColumn("_ok", F.lit(True))
     state = (F.when(F.col("dataset_hash") == EMPTY_SHA256, "refused_empty").when(F.col("_ok"), "reused").otherwise("rebuild"))
-    return wanted.join(good, "tile_cache_id", "left").withColumn("state", state).drop("_ok")
+    return wanted.join(good, ["tile_cache_id", *hashes], "left").withColumn("state", state).drop("_ok")
 
 
 def resolve_cache(wanted: DataFrame, meta: DataFrame) -> DataFrame:

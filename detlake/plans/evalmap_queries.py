@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from detlake.operators import evalmap, metrics
@@ -9,7 +11,7 @@ from detlake.operators.splits import SPLITS, with_split
 from detlake.plans.catalog import query
 from detlake.plans.substrate import Tables
 from detlake.session import work_folder
-from detlake.sources import readers, sinks
+from detlake.sources import readers, sinks, versions
 
 
 def _truth(t: Tables):
@@ -221,6 +223,46 @@ def materialized_once(t: Tables):
     return sinks.materialize_once(t.spark, f"{root}/cache", lambda: counts.limit(0))[0]
 
 
+def _cache_rows(t: Tables):
+    """Image rows with their splits, and hashes of table, splits and settings."""
+    rows = with_split(t.view("sub_images")).select("image_id", "dataset_id", "split")
+    mark = rows.agg(F.sum(F.xxhash64("image_id", "dataset_id", "split").cast("decimal(38,0)")).cast("string").alias("m")).first()["m"]
+    digest = hashlib.sha256(str(mark).encode()).hexdigest()
+    return rows, {"dataset_hash": digest, "split_hash": digest, "tile_config_hash": digest}
+
+
+_CACHED = "SELECT image_id, dataset_id, split, '{}' AS status, (SELECT count(*) FROM orc_split_images WHERE split = 'train') AS num_train FROM orc_split_images"
+
+
+def _cached(built):
+    rows, info = built
+    return rows.select("image_id", "dataset_id", "split", F.lit(info["status"]).alias("status"), F.lit(info["num_train_tiles"]).cast("bigint").alias("num_train"))
+
+
+@query("cache_reused", _CACHED.format("reused"))
+def cache_reused(t: Tables):
+    """A complete cache with the same hashes is read; the second build would give no rows."""
+    root, (rows, hashes) = work_folder(t.spark), _cache_rows(t)
+    versions.build_or_reuse(t.spark, root, hashes, lambda: rows)
+    return _cached(versions.build_or_reuse(t.spark, root, hashes, lambda: rows.limit(0)))
+
+
+@query("cache_rebuilt", _CACHED.format("rebuilt"))
+def cache_rebuilt(t: Tables):
+    """A cache of the same id whose full split hash differs is built anew."""
+    root, (rows, hashes) = work_folder(t.spark), _cache_rows(t)
+    versions.build_or_reuse(t.spark, root, {**hashes, "split_hash": hashes["split_hash"][:12] + "0" * 52}, lambda: rows.limit(0))
+    return _cached(versions.build_or_reuse(t.spark, root, hashes, lambda: rows))
+
+
+@query("cache_forced", _CACHED.format("rebuilt"))
+def cache_forced(t: Tables):
+    """A valid cache is replaced on demand, by rows read from the one before."""
+    root, (rows, hashes) = work_folder(t.spark), _cache_rows(t)
+    first, _ = versions.build_or_reuse(t.spark, root, hashes, lambda: rows)
+    return _cached(versions.build_or_reuse(t.spark, root, hashes, lambda: first, force=True))
+
+
 @query("registry_tables", "SELECT image_id::varchar AS image_id, dataset_id, split FROM orc_split_images")
 def registry_tables(t: Tables):
     """Registry tables created, replaced by a version with rows, and read back."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from detlake.operators import hashing, ingest, metrics, matching, quality, registry, retention
 from detlake.schemas import REGISTRY
-from detlake.sources import readers, sinks
+from detlake.sources import readers, sinks, versions
 from detlake.streaming import events as live
 
 
@@ -272,3 +272,60 @@ def test_migration_keeps_refuses_and_reports(spark):
     assert {r.dataset_id: r.action for r in report.collect()} == {"new": "migrate", "same": "keep", "other": "refuse", "odd": "unknown"}
     assert {r.dataset_id for name in ("images", "annotations", "categories") for r in tables[name].select("dataset_id").collect()} == {"new"}
     assert tables["annotations"].count() == 3
+
+
+def test_versions_survive_crashes(spark, tmp_path):
+    root = str(tmp_path / "caches")
+    hashes = {"dataset_hash": "a" * 64, "split_hash": "b" * 64, "tile_config_hash": "c" * 64}
+    key = "__".join(c * 12 for c in "abc")
+    assert versions.cache_meta(spark, root).count() == 0
+
+    def tiles(n, split="train"):
+        return lambda: spark.range(n).withColumn("split", F.lit(split))
+
+    rows, info = versions.build_or_reuse(spark, root, hashes, tiles(5))
+    assert (info["status"], info["num_train_tiles"], info["num_val_tiles"], rows.count()) == ("created", 5, 0, 5)
+    rows, info = versions.build_or_reuse(spark, root, hashes, tiles(9))
+    assert (info["status"], rows.count()) == ("reused", 5)
+
+    # a build that fails leaves the table as it was
+    with pytest.raises(Exception):
+        versions.build_or_reuse(spark, root, hashes, lambda: tiles(3)().withColumn("x", F.raise_error(F.lit("no"))), force=True)
+    # so does a version that was written but not committed, and a commit cut off in the middle
+    os.makedirs(f"{root}/{key}/data/v-left")
+    for number, text in ((7, ""), (8, '{"number": 8, "version": "v-left", "ro')):
+        with open(f"{root}/{key}/commits/{number:012d}.json", "w") as f:
+            f.write(text)
+    assert versions.read_current(spark, f"{root}/{key}").count() == 5
+    rows, info = versions.build_or_reuse(spark, root, hashes, tiles(9))
+    assert (info["status"], rows.count()) == ("reused", 5)
+
+    # by force, from the version before; then other splits, layouts and hashes under one id
+    rows, info = versions.build_or_reuse(spark, root, hashes, lambda: rows.filter("id > 1"), force=True)
+    assert (info["status"], info["number"], rows.count()) == ("rebuilt", 9, 3)
+    other = {**hashes, "split_hash": "b" * 12 + "d" * 52}
+    rows, info = versions.build_or_reuse(spark, root, other, tiles(4, "val"))
+    assert (info["status"], info["num_val_tiles"], rows.count()) == ("rebuilt", 4, 4)
+    versions.commit(tiles(2)(), f"{root}/{key}", {**info, "layout_version": 0})
+    assert versions.build_or_reuse(spark, root, other, tiles(6))[1]["status"] == "rebuilt"
+
+    # the table of commits serves the state and the path of any number of caches
+    meta = versions.cache_meta(spark, root)
+    wanted = spark.createDataFrame([(key, *other.values()), (key, *hashes.values())], "tile_cache_id string, dataset_hash string, split_hash string, tile_config_hash string")
+    assert sorted(r["state"] for r in hashing.cache_state(wanted, meta).collect()) == ["rebuild", "reused"]
+    assert spark.read.parquet(hashing.resolve_cache(wanted, meta).first()["storage_path"]).count() == 6
+
+    # a version that has lost files is not read, and older ones go only on demand
+    assert len(versions.drop_superseded(spark, f"{root}/{key}")) == 4
+    assert versions.read_current(spark, f"{root}/{key}").count() == 6
+    part = next((tmp_path / "caches" / key / "data").glob(f"{versions.current(spark, f'{root}/{key}').version}/split=train/*.parquet"))
+    os.truncate(part, 0)
+    assert versions.current(spark, f"{root}/{key}") is None
+    assert versions.build_or_reuse(spark, root, other, tiles(1))[1]["status"] == "created"
+
+    rows, info = versions.build_or_reuse(spark, root, {**hashes, "dataset_hash": "e" * 64}, tiles(0))
+    assert (info["rows"], rows.columns, rows.count()) == (0, ["id", "split"], 0)
+    with pytest.raises(ValueError, match="empty"):
+        versions.build_or_reuse(spark, root, {**hashes, "dataset_hash": hashing.EMPTY_SHA256}, tiles(1))
+    with pytest.raises(FileNotFoundError):
+        versions.read_current(spark, str(tmp_path / "none"))
