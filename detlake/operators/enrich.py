@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from detlake.functions.boxes import letterbox_plan, scale_box, xywh_to_xyxy
 from detlake.functions.text import file_stem
-from detlake.operators.ordering import group_index
+from detlake.operators.ordering import nested_index
 from detlake.operators.skew import nest
 from detlake.operators.tiling import (CROP, DEFAULT_SCALES, STRIDE, Scale, axis_positions, generate_tiles, scale_plan,
                                       tile_annotations)
+from detlake.session import durable
 
 # fixed value: the one reason a tile of an annotated image is dropped for
 DROP_TILE_REASON = "all_objects_below_visible_threshold"
@@ -112,17 +113,17 @@ def enriched_images(images: DataFrame, annotations: DataFrame, pieces: DataFrame
                        F.lit(0).alias("oy"), F.col("scale_w").alias("new_width"),
                        F.col("scale_h").alias("new_height"), F.lit(True).alias("is_background"))
     out = tiles.select(*common).unionByName(whole.select(*common)).unionByName(bare.select(*common))
-    out = group_index(out, ["split"], [F.col("image_id"), F.col("scale_ord"), F.col("crop_id")], "new_image_id")
+    out = nested_index(out, ["split"], ["image_id"], [F.col("scale_ord"), F.col("crop_id")], "new_image_id")
     return out.withColumn("new_file_name", tile_name(F.col("new_image_id"), file_stem(F.col("file_name")),
                                                      F.col("scale_name"), F.col("crop_id"), F.col("is_background")))
 
 
 def enriched_annotations(pieces: DataFrame, pictures: DataFrame) -> DataFrame:
     """All output annotations with dense `new_annotation_id` per split."""
-    ids = pictures.select("split", "new_image_id", *TILE_KEY)
+    ids = durable(pictures.select("split", "new_image_id", *TILE_KEY))
     rows = pieces.join(ids, TILE_KEY)
-    order = [F.col(c) for c in ("image_id", "scale_ord", "crop_id", "ann_id")]
-    rows = group_index(rows, ["split"], order, "new_annotation_id")
+    order = [F.col(c) for c in ("scale_ord", "crop_id", "ann_id")]
+    rows = nested_index(rows, ["split"], ["image_id"], order, "new_annotation_id")
     w, h = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     return rows.withColumn("area", w * h)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from detlake.functions.boxes import box, xyxy_to_yolo
 from detlake.functions.text import file_stem, fixed_six, name_tokens, uid
 from detlake.operators.metrics import CLASSES
-from detlake.operators.ordering import global_index
+from detlake.operators.ordering import global_index, nested_index
 from detlake.operators.skew import nest
 from detlake.operators.splits import DEFAULT_RATIOS, SPLITS, assign_split
 
@@ -85,10 +85,12 @@ def frames_to_coco(frames: DataFrame, objects: DataFrame, tiers: Sequence[str] =
                    classes: Sequence[str] = CLASSES) -> dict[str, DataFrame]:
     """Usable frames and their exportable objects with dense ids from 1, in frame id and object order."""
     usable = frames.filter(F.coalesce(F.col("usable"), F.lit(False)) & (F.coalesce(F.col("file_name"), F.lit("")) != ""))
-    images = global_index(usable, [F.col("frame_id")], "coco_image_id")
+    # frames are numbered by their ids alone, objects below their frame
+    ids = global_index(usable.select("image_id", "frame_id"), [F.col("frame_id"), F.col("image_id")], "coco_image_id")
+    images = usable.join(ids.select("image_id", "coco_image_id"), "image_id")
     kept = exportable(objects, tiers, classes).filter("exported")
-    rows = kept.join(images.select("image_id", "frame_id", "coco_image_id"), "image_id")
-    rows = global_index(rows, [F.col("frame_id"), F.col("object_id")], "coco_annotation_id")
+    rows = kept.join(ids, "image_id")
+    rows = nested_index(rows, [], ["coco_image_id"], [F.col("object_id")], "coco_annotation_id")
     rows = rows.withColumn("w", F.col("x2") - F.col("x1")).withColumn("h", F.col("y2") - F.col("y1"))
     return {"images": images, "annotations": rows.withColumn("area", F.col("w") * F.col("h")).withColumn("iscrowd", F.lit(0))}
 

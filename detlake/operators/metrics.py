@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from detlake.functions.text import f1_score, safe_div
 from detlake.operators.matching import THRESHOLDS
-from detlake.operators.ordering import running_sums
+from detlake.operators.ordering import binned_sums, counts_along
+from detlake.session import durable
 
 # fixed values: canonical classes in id order, and the name of the no-object class
 CLASSES = ("ships", "helicopters", "airplanes")
@@ -54,27 +55,26 @@ def _point_below(recall: Column) -> Column:
 
 def average_precision(detections: DataFrame, truth: DataFrame, matches: DataFrame,
                       thresholds: Sequence[float] = THRESHOLDS, classes: Sequence[str] = CLASSES) -> DataFrame:
-    """101-point AP per (class, threshold); 0 without ground truth or predictions.
+    """101-point AP per (class, threshold); 0 without ground truth or predictions. Any number of thresholds.
 
-    Detections are ordered once per class; the hits at all thresholds ride along as bits of one number. Running sums
-    are two-phase. The interpolated precision at point t is the best precision at any recall >= t, so each true
-    positive goes to the last point it reaches, and a suffix maximum over at most 101 points finishes.
+    Detections of the listed classes are ranked once, by bins of confidence (`binned_sums`), over four narrow columns; no
+    order of all rows is made. Only hits go on, one row a threshold from there, and are counted along the ranks. The interpolated
+    precision at point t is the best precision at any recall >= t, so each true positive goes to the last point it reaches,
+    and a suffix maximum over at most 101 points finishes.
     """
     index = F.array_position(F.array(*[F.lit(float(t)) for t in thresholds]), F.col("threshold")) - 1
-    bits = matches.groupBy("det_id").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), index.cast("int"))).alias("_hits"))
-    det = detections.select("class_id", "confidence", "image_id", "det_id").join(bits, "det_id", "left")
-    sums = {f"_t{i}": F.coalesce(F.getbit(F.col("_hits"), F.lit(i)).cast("bigint"), F.lit(0).cast("bigint"))
-            for i in range(len(thresholds))}
-    order = [F.col("confidence").desc(), F.col("image_id"), F.col("det_id")]
-    ranked = running_sums(det, ["class_id"], order, sums)
-    hits = ranked.filter(F.col("_hits").isNotNull()).select(
-        "class_id", "rank", F.inline(F.array(*[
-            F.struct(F.lit(i).alias("threshold_ord"), F.getbit(F.col("_hits"), F.lit(i)).alias("_hit"),
-                     F.col(f"_t{i}").alias("_tp")) for i in range(len(thresholds))])))
+    known = class_table(detections, classes)
+    det = detections.filter(F.col("class_id").between(0, len(classes) - 1)).select("class_id", "confidence", "image_id", "det_id")
+    ranked = binned_sums(det, ["class_id"], "confidence", ["image_id", "det_id"])
+    # one row a detection, with the thresholds it is hit at (no more than there are thresholds)
+    found = matches.groupBy("det_id").agg(F.array_sort(F.collect_set(index.cast("int"))).alias("_at"))
+    # the ranks are made once, for the counts of blocks and for the rows
+    hits = durable(found.join(ranked.select("det_id", "class_id", "rank"), "det_id").select("class_id", "rank", "_at"))
+    hits = hits.select("class_id", "rank", F.explode("_at").alias("threshold_ord")).filter(F.col("threshold_ord") >= 0)
+    scored = counts_along(hits, ["class_id", "threshold_ord"], "rank", "_tp")
     num_gt = truth.groupBy("class_id").agg(F.count(F.lit(1)).alias("_gt"))
     # one row per class, and no more classes than rows of the class table
-    known = class_table(detections, classes).join(num_gt, "class_id", "left")
-    scored = hits.filter(F.col("_hit") == 1).join(F.broadcast(known), "class_id")
+    scored = scored.join(F.broadcast(known.join(num_gt, "class_id", "left")), "class_id")
     scored = scored.select("class_id", "threshold_ord", _point_below(F.col("_tp") / F.col("_gt")).alias("_point"),
                            (F.col("_tp") / F.col("rank")).alias("_precision"))
     best = scored.groupBy("class_id", "threshold_ord", "_point").agg(F.max("_precision").alias("_best"))
@@ -103,9 +103,8 @@ def mean_average_precision(ap_by_class: DataFrame, truth: DataFrame) -> DataFram
 
 def pr_curve(labelled: DataFrame, truth: DataFrame) -> DataFrame:
     """Overall cumulative precision and recall, one row per prediction; unlisted classes count too."""
-    order = [F.col("confidence").desc(), F.col("image_id"), F.col("det_id")]
-    ranked = running_sums(labelled.select("confidence", "image_id", "det_id", "is_tp"), [], order,
-                          {"tp_cum": F.col("is_tp").cast("bigint")})
+    slim = durable(labelled.select("confidence", "image_id", "det_id", "is_tp"))
+    ranked = binned_sums(slim, [], "confidence", ["image_id", "det_id"], {"tp_cum": F.col("is_tp").cast("bigint")})
     total = truth.agg(F.count(F.lit(1))).scalar()
     out = ranked.withColumn("_gt", total).filter(F.col("_gt") > 0)
     return out.select("rank", "det_id", "confidence", (F.col("tp_cum") / F.col("_gt")).alias("recall"),

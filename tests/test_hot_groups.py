@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from detlake.operators import fragments, grid, matching, ordering, skew, suppress
+from detlake.operators import fragments, grid, matching, metrics, ordering, skew, suppress
 
 CORNERS = ["x1", "y1", "x2", "y2"]
 
@@ -230,6 +230,68 @@ def test_positions_and_running_sums(spark):
             assert have[r[1]] == (i + 1, total)
 
 
+def _by_hand(rows):
+    """(rank, running sum) of every (group, value, tie) with the value falling, missing values last."""
+    out, state = {}, {}
+    for g, v, k, n in sorted(rows, key=lambda r: (str(r[0]), r[1] is None, -(r[1] or 0.0), r[2])):
+        rank, total = state.get(g, (0, 0))
+        out[g, k] = state[g] = (rank + 1, total + (n or 0))
+    return out
+
+
+@pytest.mark.parametrize("bins, limit", [(1, 10_000), (7, 10_000), (65_536, 10_000), (7, 5), (65_536, 3)])
+def test_binned_sums(spark, bins, limit):
+    """Values beyond 0 and 1, a value a third of all rows share, missing values and groups; cells small and cut."""
+    values = [0.5, 0.5, 0.5, 0.0, 1.0, 1.5, -2.0, None, float("inf")]
+    rows = [((None, "a", "a", "a", "b")[i % 5], values[i % 9] if i % 2 else (i * 37 % 101) / 100.0, i, None if i % 11 == 0 else i % 4) for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, v double, k int, n bigint")
+    got = ordering.binned_sums(df, ["g"], "v", ["k"], {"s": F.col("n")}, bins=bins, limit=limit)
+    assert {(r["g"], r["k"]): (r["rank"], r["s"]) for r in got.collect()} == _by_hand(rows)
+    whole = ordering.binned_sums(df, [], "v", ["k"], bins=bins, limit=limit)
+    assert {(None, r["k"]): r["rank"] for r in whole.collect()} == {k: r for k, (r, _) in _by_hand([(None, *r[1:]) for r in rows]).items()}
+    assert ordering.binned_sums(df.limit(0), ["g"], "v", ["k"], {"s": F.col("n")}).count() == 0
+
+
+@pytest.mark.parametrize("limit", [10_000, 20])
+def test_nested_index_and_counts_along(spark, limit):
+    """One parent holds most rows; a missing split and a missing parent are values like others."""
+    rows = [((None, "x", "y")[i % 3], None if i % 17 == 0 else 1 if i % 4 else i % 7, (i * 7919) % 1000) for i in range(600)]
+    df = spark.createDataFrame(rows, "split string, image int, tile int")
+    got = {(r["split"], r["image"], r["tile"]): r["pos"] for r in
+           ordering.nested_index(df, ["split"], ["image"], [F.col("tile")], "pos", limit=limit).collect()}
+    want, last = {}, {}
+    for r in sorted(rows, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0, r[2])):
+        want[r] = last[r[0]] = last.get(r[0], 0) + 1
+    assert got == want
+    ranks = [(i % 2, i * 3) for i in range(200)]
+    along = ordering.counts_along(spark.createDataFrame(ranks, "g int, rank bigint"), ["g"], "rank", "n", block_rows=limit // 7)
+    assert sorted(tuple(r) for r in along.select("g", "rank", "n").collect()) == [(g, r, i // 2 + 1) for i, (g, r) in
+                                                                                  sorted(enumerate(ranks), key=lambda e: e[1])]
+
+
+def test_average_precision_of_many_thresholds(spark):
+    """More thresholds than bits, tied confidences, a class outside the list; held against a plain loop."""
+    rng = np.random.default_rng(3)
+    cuts = [round(0.1 + 0.01 * i, 2) for i in range(70)]
+    dets = [(int(rng.integers(0, 4)), float(rng.integers(0, 6)) / 5.0, i % 9, i) for i in range(300)]
+    reach = {d[3]: int(rng.integers(0, 71)) for d in dets if rng.random() < 0.6}  # matched at the first so many thresholds
+    det = spark.createDataFrame(dets, "class_id int, confidence double, image_id int, det_id int")
+    m = spark.createDataFrame([(d, cuts[i]) for d, n in reach.items() for i in range(n)], "det_id int, threshold double")
+    gt = spark.createDataFrame([(c,) for c in (0, 1, 2, 3) for _ in range(60)], "class_id int")
+    got = {(r["class_id"], r["threshold"]): r["ap"] for r in metrics.average_precision(det, gt, m, cuts).collect()}
+    assert len(got) == 3 * len(cuts)
+    for c in range(3):
+        mine = sorted((d for d in dets if d[0] == c), key=lambda d: (-d[1], d[2], d[3]))
+        for i, cut in enumerate(cuts):
+            tp, points = 0, []
+            for rank, d in enumerate(mine, 1):
+                if reach.get(d[3], 0) > i:
+                    tp += 1
+                    points.append((tp / 60, tp / rank))
+            want = sum(max((p for r, p in points if r >= k * 0.01), default=0.0) for k in range(101)) / 101
+            assert got[c, cut] == pytest.approx(want)
+
+
 def test_look_back_blocks(spark):
     df = spark.createDataFrame([(i % 2, i, (i * 31) % 17) for i in range(300)], "g int, k int, v int")
     cols = lambda w: {"p": F.lag("v").over(w), "m": F.min("v").over(w.rowsBetween(-4, -1))}
