@@ -46,6 +46,11 @@ def _pieces(images: DataFrame, annotations: DataFrame, cfg: Settings) -> DataFra
     return tile_annotations(annotations, images, cfg.scales, cfg.crop, cfg.stride, cfg.edges, cfg.threshold)
 
 
+def pinned_pieces(images: DataFrame, annotations: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """The annotations of all tiles, written once: pictures, ids, manifest and dropped tiles all start from them."""
+    return durable(_pieces(images, annotations, cfg))
+
+
 def kept_counts(pieces: DataFrame) -> DataFrame:
     """Tiles with at least one surviving annotation, with their number `num_kept`: the pieces tell all of it."""
     return pieces.groupBy(*TILE_KEY, "ox", "oy").agg(F.count(F.lit(1)).alias("num_kept"))
@@ -189,7 +194,7 @@ def enrichment_summary(images: DataFrame, annotations: DataFrame, cfg: Settings
 
 def enrich_dataset(images: DataFrame, annotations: DataFrame, cfg: Settings = Settings()) -> dict[str, DataFrame]:
     """The whole job: output pictures, output annotations, manifest entries, dropped tiles and summary."""
-    pieces = _pieces(images, annotations, cfg)
+    pieces = pinned_pieces(images, annotations, cfg)
     everything = pieces.unionByName(whole_image_scale(images, annotations, cfg))
     pictures = enriched_images(images, annotations, pieces, cfg)
     new_annotations = enriched_annotations(everything, pictures)

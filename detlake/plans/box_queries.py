@@ -176,9 +176,9 @@ SELECT *, row_number() OVER (PARTITION BY split ORDER BY image_id, scale_ord, cr
     FROM orc_plan p JOIN sub_annotations a ON p.image_id = a.image_id WHERE NOT crop))"""
 
 
-def _enriched(t: Tables):
+def _enriched(t: Tables, annotate=enrich.pinned_pieces):
     images, annotations = _images(t), _annotations(t)
-    pieces = tiling.tile_annotations(annotations, images)
+    pieces = annotate(images, annotations)
     pictures = enrich.enriched_images(images, annotations, pieces)
     return images, annotations, pieces, pictures
 
@@ -189,7 +189,8 @@ SELECT split, image_id, scale_name, crop_id::int AS crop_id, new_image_id,
   || CASE WHEN crop_id >= 0 THEN '_t' || lpad(crop_id::varchar, 3, '0') ELSE '' END || '.png' AS new_file_name
 FROM {_PICTURES}""")
 def enriched_images(t: Tables):
-    return _enriched(t)[3].select("split", "image_id", "scale_name", "crop_id", "new_image_id", "new_file_name")
+    # the pictures alone read the pieces for little more than their counts: not worth a copy
+    return _enriched(t, lambda images, annotations: tiling.tile_annotations(annotations, images))[3].select("split", "image_id", "scale_name", "crop_id", "new_image_id", "new_file_name")
 
 
 def _new_annotations(t: Tables):
