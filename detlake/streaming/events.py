@@ -144,7 +144,10 @@ def _ordered(events: DataFrame, fold, memory: str, columns: str, lateness: int)
                           F.timestamp_seconds(F.col("seq") + 1).alias("at")).withWatermark("at", f"{lateness} seconds")
     # the condition names the event time, so that rows without a reading move the watermark before they go
     rows = typed.filter(F.col("at").isNotNull() & F.col("iter").isNotNull() | F.col("run_id").isNull())
-    return rows.groupBy("run_id").transformWithStateInPandas(InOrder(fold, memory), f"{columns}, run_id {run}", "Append", "EventTime")
+    # the key is text: beside a mark, which has none, pandas would turn whole numbers into floats, and those name no state
+    keyed = rows.withColumn("run_id", F.col("run_id").cast("string")).groupBy("run_id")
+    out = keyed.transformWithStateInPandas(InOrder(fold, memory), f"{columns}, run_id string", "Append", "EventTime")
+    return out.withColumn("run_id", F.col("run_id").cast(run))
 
 
 def mark(spark: SparkSession, seq: int, like: DataFrame) -> DataFrame:

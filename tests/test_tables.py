@@ -210,6 +210,18 @@ def test_readings_out_of_order_over_batches(spark, tmp_path):
     assert sorted((r.run_id, r.seq, round(r.iters_per_second, 6)) for r in live.read_log(spark, rates).collect()) == sorted(want)
 
 
+def test_marks_beside_readings_of_numbered_runs(spark, tmp_path):
+    """A mark that shares a batch with readings leaves numbered runs their own states."""
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    lines = [{"run_id": i % 40, "seq": i, "iter": i % 97, "t": float(i)} for i in range(640)]
+    for k, part in enumerate((lines[:500], lines[500:] + [{"run_id": None, "seq": 5000, "iter": None, "t": None}])):
+        _feed(spark, src, k, part)
+    stream = spark.readStream.schema("run_id long, seq long, iter long, t double").option("maxFilesPerTrigger", 1).json(str(src))
+    live.to_change_log(live.throttle_progress(stream, 10, 40.0, 60), out, "append").awaitTermination()
+    assert sorted((r.run_id, r.seq) for r in live.read_log(spark, out).collect()) == _throttled(lines, 10, 40.0)
+
+
 def test_rows_behind_the_watermark_are_late(spark, tmp_path):
     src, out = tmp_path / "in", str(tmp_path / "out")
     src.mkdir()
