@@ -1,11 +1,14 @@
 import math
+import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from detlake.functions import boxes as B
 from detlake.functions import camera, text
-from detlake.operators import ingest, quality, splits, tiling
+from detlake.operators import enrich, ingest, quality, splits, tiling
+from detlake.plans import library
 
 
 def one(spark, *cols):
@@ -103,3 +106,13 @@ def test_classes_and_lines(spark):
     lines = {"0 0.5 0.5 0.1 0.1": True, "3 0.5 0.5 0.1 0.1": False, "1 1.2 0.5 0.1 0.1": False, "1 0.5 0.5 0.5 0.1": False, "1 0.5 0.5 0.1": False}
     for line, ok in lines.items():
         assert one(spark, quality.yolo_line_valid(F.lit(line))) is ok
+
+
+def test_picture_names_keep_all_digits(spark):
+    """The query and its SQL name pictures beyond the eight-digit ids alike."""
+    ids = [1, 99_999_999, 100_000_000, 1_234_567_890]
+    names = spark.createDataFrame([(i,) for i in ids], "i long").select(
+        enrich.tile_name(F.col("i"), F.lit("s"), F.lit("final"), F.lit(-1), F.lit(False))).collect()
+    digits = re.search(r"(lpad\(new_image_id.*?'0'\))", library.oracles()["enriched_images"]).group(1)
+    sql = duckdb.sql(f"SELECT {digits} FROM (SELECT unnest({ids}) AS new_image_id)").fetchall()
+    assert [r[0] for r in names] == [f"{i:08d}_s_final.png" for i in ids] and [r[0] for r in sql] == [f"{i:08d}" for i in ids]
