@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from detlake.operators import fragments, grid, matching, metrics, ordering, skew, suppress
+from detlake.operators import enrich, fragments, grid, matching, metrics, ordering, skew, suppress, tiling
+from detlake.session import apply_runtime, spread
 
 CORNERS = ["x1", "y1", "x2", "y2"]
 
@@ -304,3 +305,50 @@ def test_nest_keeps_everything(spark):
     df = spark.createDataFrame([(1 if i < 90 else 2, i) for i in range(100)], "k int, v int")
     out = {r["k"]: r["vs"] for r in skew.nest(df.repartition(5), ["k"], F.col("v"), [F.col("v")], "vs").collect()}
     assert out == {1: list(range(90)), 2: list(range(90, 100))}
+
+
+def test_enrichment_of_large_images(spark):
+    """Ids, tiles and dropped tiles by ranges as by windows; pictures have their annotations' ids, tiles are kept or dropped."""
+    images = spark.createDataFrame([(i, f"f{i}.png", 1920, 1080, "ab"[i % 2]) for i in range(6)], "image_id long, file_name string, width int, height int, split string")
+    anns = spark.createDataFrame([(i, 100 * i + k, k % 3, 97.0 * k % 1700, 61.0 * k % 900, 40.0, 30.0) for i in range(5) for k in range(2 + 3 * i)],
+                                 "image_id long, ann_id long, category_id int, x double, y double, w double, h double")
+    work = enrich.placed(images, anns)
+    assert work.before.count() == 6
+    columns = ["split", "image_id", "scale_ord", "crop_id", "ann_id", "new_image_id", "new_annotation_id"]
+    rows = sorted(tuple(r) for r in enrich.enriched_annotations(work).select(*columns).collect())
+    assert rows == sorted(tuple(r) for r in enrich.enriched_annotations(work, limit=40).select(*columns).collect())
+    for split in "ab":
+        own = [r for r in rows if r[0] == split]
+        assert [r[-1] for r in own] == list(range(1, len(own) + 1))
+    pictures = {tuple(r) for r in enrich.enriched_images(images, anns, work, limit=40).select("split", "image_id", "scale_ord", "crop_id", "new_image_id").collect()}
+    assert {(*r[:4], r[5]) for r in rows} == {p for p in pictures if p[1] != 5} and len(pictures) == len({p[4] for p in pictures if p[0] == "a"}) + len({p[4] for p in pictures if p[0] == "b"})
+    key = ["image_id", "scale_ord", "crop_id", "ox", "oy"]
+    pieces = tiling.tile_annotations(anns, images)
+    lost = {tuple(r) for r in enrich.dropped_tiles(images, anns, pieces).select(*key).collect()}
+    kept, every = ({tuple(r) for r in df.select(*key).collect()} for df in (pieces, enrich.all_tiles(images, anns)))
+    assert lost | kept == every and not lost & kept
+
+
+def test_shuffles_spread_with_the_rows(spark):
+    """Partitions follow the rows, and no estimate from file sizes makes a broadcast."""
+    apply_runtime(spark)
+    spread(spark, 10_000_000)
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) == 200
+    many = spark.range(10).select("id", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("k"))
+    assert "Broadcast" not in many.join(spark.range(10), "id")._jdf.queryExecution().sparkPlan().toString()
+    spread(spark, 0)
+
+
+def test_sorted_matching_folds_mixed_groups_only(spark):
+    """Groups whose detections have one candidate each are matched without a fold, as the fold would match them."""
+    rng = random.Random(3)
+    rows = []
+    for image in range(40):
+        for det in range(rng.randint(1, 6)):
+            boxes = rng.sample(range(3), 2 if image % 4 == 0 and det == 0 else 1)
+            conf = rng.choice([0.3, 0.6, 0.9])
+            rows += [(image, 0, 10 * image + det, conf, 10 * image + g, rng.choice([0.0001, 0.5, 0.55, 0.8, 0.95])) for g in boxes]
+    pairs = spark.createDataFrame(rows, "image_id long, class_id int, det_id long, confidence double, gt_id long, iou double")
+    for cuts in (matching.THRESHOLDS, (0.5,), (0.0, 0.75)):
+        got, want = (sorted(tuple(r) for r in f(pairs, ["image_id", "class_id"], cuts).collect()) for f in (matching._sorted_match, matching._fold_match))
+        assert got == want and want
