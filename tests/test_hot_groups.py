@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from detlake.operators import enrich, fragments, grid, matching, metrics, ordering, skew, suppress, tiling
+from detlake.operators import enrich, fragments, grid, ingest, matching, metrics, ordering, skew, suppress, tiling
 from detlake.session import apply_runtime, spread
 
 CORNERS = ["x1", "y1", "x2", "y2"]
@@ -352,3 +352,14 @@ def test_sorted_matching_folds_mixed_groups_only(spark):
     for cuts in (matching.THRESHOLDS, (0.5,), (0.0, 0.75)):
         got, want = (sorted(tuple(r) for r in f(pairs, ["image_id", "class_id"], cuts).collect()) for f in (matching._sorted_match, matching._fold_match))
         assert got == want and want
+
+
+def test_migration_keeps_datasets_apart_from_tasks(spark):
+    """Rows of one dataset never meet in one task by their dataset."""
+    apply_runtime(spark)
+    images = spark.createDataFrame([("d", "train", i) for i in range(3)], "dataset_id string, split string, image_id long")
+    rows = images.withColumns({"ann_id": F.col("image_id"), "category_id": F.lit(0), **{c: F.lit(1.0) for c in "xywh"}})
+    cats = spark.createDataFrame([("d", i, n) for i, n in ingest.CANONICAL_SET.items()], "dataset_id string, category_id int, name string")
+    tables, report = ingest.migrate_dataset(images, rows, cats, rows.filter(F.lit(False)))
+    assert tables["annotations"].count() == 3 and [r["action"] for r in report.collect()] == ["migrate"]
+    assert "SortMergeJoin [dataset_id" not in tables["annotations"]._jdf.queryExecution().sparkPlan().toString()
