@@ -362,4 +362,6 @@ def test_migration_keeps_datasets_apart_from_tasks(spark):
     cats = spark.createDataFrame([("d", i, n) for i, n in ingest.CANONICAL_SET.items()], "dataset_id string, category_id int, name string")
     tables, report = ingest.migrate_dataset(images, rows, cats, rows.filter(F.lit(False)))
     assert tables["annotations"].count() == 3 and [r["action"] for r in report.collect()] == ["migrate"]
-    assert "SortMergeJoin [dataset_id" not in tables["annotations"]._jdf.queryExecution().sparkPlan().toString()
+    plan = tables["annotations"]._jdf.queryExecution().sparkPlan().toString().split("\n")
+    joins = [line for line in plan if "Join" in line and "dataset_id" in line and ("Inner" in line or "LeftSemi" in line)]
+    assert joins and all("BroadcastHashJoin" in line for line in joins)
