@@ -7,6 +7,9 @@ and size. Frames are looked up by `image_id`, one object stays one row, so a fra
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from itertools import product
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -290,28 +293,59 @@ class CameraColumns(NamedTuple):
     height: Column
 
 
-def diagnose_variants(objects: DataFrame, cam: CameraColumns) -> DataFrame:
-    """Every object under every (basis, axis order) variant: projected box and agreement with the target `t_*`.
+#: local sides that some variant mirrors
+_MIRRORED = sorted({i for _, order, sign in ORDER_VARIANTS for i, s in zip(order, sign) if s < 0})
+
+
+#: every view `axes, order, sign` that some variant shows, and the variants by number
+_VARIANTS = [(axes, order, sign) for _, axes in BASIS_VARIANTS for _, order, sign in ORDER_VARIANTS]
+_VIEWS = list(dict.fromkeys(_VARIANTS))
+MAPPINGS = [f"{basis}__{order}" for basis, _ in BASIS_VARIANTS for order, _, _ in ORDER_VARIANTS]
+
+
+def _shown(even: set[int]) -> Column:
+    """Literal `view, variants` where the sides `even` of the local box are mirrored onto themselves: a change of sign there only
+    swaps corners."""
+    found: dict[int, list[int]] = {}
+    for v, (axes, order, sign) in enumerate(_VARIANTS):
+        found.setdefault(_VIEWS.index((axes, order, tuple(1.0 if i in even else s for i, s in zip(order, sign)))), []).append(v)
+    return F.array(*[F.struct(F.lit(n).alias("view"), F.array(*map(F.lit, variants)).alias("variants")) for n, variants in found.items()])
+
 
-    Objects carry camera structs, `origin`, `axis_x/axis_y/axis_z` structs and local `low`/`high`. Variants are a
-    literal array, exploded per object.
+def diagnose_views(objects: DataFrame, cam: CameraColumns) -> DataFrame:
+    """Every object under every (basis, axis order) variant: projected box and agreement with the target `t_*`. A row may stand for
+    several `variants`, `each_variant` makes them rows.
+
+    Objects carry camera structs, `origin`, `axis_x/axis_y/axis_z` structs and local `low`/`high`. Variants that show the same
+    corners are projected once: those of equal axes, and mirrored ones along a side on which the local box is even. They come from
+    literal arrays, exploded per object.
     """
-    arr = []
-    for bi, (bname, axes) in enumerate(BASIS_VARIANTS):
-        for oi, (oname, order, sign) in enumerate(ORDER_VARIANTS):
-            arr.append(F.struct(F.lit(bi * len(ORDER_VARIANTS) + oi).alias("variant_ord"), F.lit(f"{bname}__{oname}").alias("mapping"),
-                                F.array(*[F.lit(a) for a in axes]).alias("axes"), F.array(*[F.lit(i) for i in order]).alias("idx"),
-                                F.array(*[F.lit(s) for s in sign]).alias("sign")))
-    rows = objects.withColumn("_variant", F.explode(F.array(*arr)))
-    lo, hi = F.array("low.x", "low.y", "low.z"), F.array("high.x", "high.y", "high.z")
+    lo, hi = (F.array(*[F.col(f"{v}.{d}") for d in "xyz"]) for v in ("low", "high"))
+    even = [F.get(lo, k) == -F.get(hi, k) for k in _MIRRORED]
+    shown = None
+    for flags in product((True, False), repeat=len(_MIRRORED)):
+        same = reduce(and_, (e for e, f in zip(even, flags) if f), F.lit(True))
+        views = _shown({k for k, f in zip(_MIRRORED, flags) if f})
+        shown = F.when(same, views) if shown is None else shown.when(same, views)
+    rows = objects.select("*", F.inline(shown).alias("_view", "variants"))
     raw = F.array("axis_x", "axis_y", "axis_z")
-    at = lambda name, k: F.get(f"_variant.{name}", k)
-    axes = tuple(vec(F.get(raw, at("axes", k))) for k in range(3))
-    low, high = (Vec(*(F.get(v, at("idx", k)) * at("sign", k) for k in range(3))) for v in (lo, hi))
+    at = lambda part, k: F.get(F.array(*[F.lit(v[part][k]) for v in _VIEWS]), F.col("_view"))
+    axes = tuple(vec(F.get(raw, at(0, k))) for k in range(3))
+    low, high = (Vec(*(F.get(v, at(1, k)) * at(2, k) for k in range(3))) for v in (lo, hi))
     seen = project_corners(rows, vec(F.col("origin")), axes, low, high, *cam)
     agree = box_agreement(box(), box("t_"))
-    return seen.select("image_id", "object_id", "class", F.col("_variant.variant_ord").alias("variant_ord"), F.col("_variant.mapping").alias("mapping"),
-                       *box().named(), *[c.alias(n) for n, c in agree.items()])
+    return seen.select("image_id", "object_id", "class", "variants", *box().named(), *[c.alias(n) for n, c in agree.items()])
+
+
+def each_variant(views: DataFrame) -> DataFrame:
+    rest = [c for c in views.columns if c not in ("image_id", "object_id", "class", "variants")]
+    out = views.withColumn("variant_ord", F.explode("variants"))
+    return out.select("image_id", "object_id", "class", "variant_ord", F.get(F.array(*map(F.lit, MAPPINGS)), F.col("variant_ord")).alias("mapping"), *rest)
+
+
+def diagnose_variants(objects: DataFrame, cam: CameraColumns) -> DataFrame:
+    """`diagnose_views` with a row for every variant."""
+    return each_variant(diagnose_views(objects, cam))
 
 
 def best_variants(variants: DataFrame) -> DataFrame:

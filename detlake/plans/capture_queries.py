@@ -53,8 +53,8 @@ def basis_from_axes(t: Tables):
     return df.select("image_id", f.x.alias("forward_x"), r.z.alias("right_z"))
 
 
-def _scene(t: Tables):
-    """Objects with the camera of their frame: level camera at 15 m looking along +z."""
+def _scene(t: Tables, boxes: str | None = None):
+    """Objects with the camera of their frame: level camera at 15 m looking along +z. Their given boxes stay under the prefix `boxes`."""
     o, f = t.view("sub_frame_objects"), t.view("sub_frames")
     rows = o.join(f.select("image_id", "cam_x", "cam_z", "height_asl_m"), "image_id")
 
@@ -62,7 +62,9 @@ def _scene(t: Tables):
         return F.struct(*[(c if not isinstance(c, float) else F.lit(c)).alias(n) for c, n in ((x, "x"), (y, "y"), (z, "z"))])
 
     rows = rows.withColumn("position", v(F.col("cam_x"), F.lit(15.0), F.col("cam_z") - 200)).withColumn("forward", v(0.0, 0.0, 1.0))
-    return rows.withColumn("up", v(0.0, 1.0, 0.0)).withColumn("right", v(1.0, 0.0, 0.0)).drop("x1", "y1", "x2", "y2", "valid", "quality_tier")
+    rows = rows.withColumn("up", v(0.0, 1.0, 0.0)).withColumn("right", v(1.0, 0.0, 0.0)).drop("valid", "quality_tier")
+    sides = ("x1", "y1", "x2", "y2")
+    return rows.drop(*sides) if boxes is None else rows.withColumnsRenamed({c: boxes + c for c in sides})
 
 
 def _projected(t: Tables):
@@ -231,15 +233,18 @@ def clamp_refined(t: Tables):
     return out.select("object_id", F.array_join("clamp_reasons", ",").alias("reasons"), "x1", "plausible", "excessive")
 
 
-def _variants(t: Tables):
-    rows = _scene(t).select("image_id", "object_id", "class", "position", "forward", "up", "right",
+def _views(t: Tables):
+    rows = _scene(t, "t_").select("image_id", "object_id", "class", "position", "forward", "up", "right", "t_x1", "t_y1", "t_x2", "t_y2",
                             F.struct(F.col("world_x").alias("x"), F.col("world_y").alias("y"), F.col("world_z").alias("z")).alias("origin"),
                             *[F.struct(*[F.lit(1.0 if n == a else 0.0).alias(n) for n in ("x", "y", "z")]).alias(f"axis_{a}") for a in ("x", "y", "z")],
                             F.struct((-F.col("length_m") / 2).alias("x"), F.lit(0.0).alias("y"), (-F.col("width_m") / 3).alias("z")).alias("low"),
                             F.struct((F.col("length_m") / 2).alias("x"), F.col("height_m").alias("y"), (F.col("width_m") / 2).alias("z")).alias("high"))
-    target = t.view("sub_frame_objects").select("object_id", *[F.col(c).alias(f"t_{c}") for c in ("x1", "y1", "x2", "y2")])
     cam = projection.CameraColumns(*[F.lit(_CAM[k]) for k in ("fx", "fy", "cx", "cy")], F.lit(WIDTH), F.lit(HEIGHT))
-    return projection.diagnose_variants(rows.join(target, "object_id"), cam)
+    return projection.diagnose_views(rows, cam)
+
+
+def _variants(t: Tables):
+    return projection.each_variant(_views(t))
 
 
 # the eight boxes that can come out: local x and z extents swapped or mirrored
@@ -265,7 +270,9 @@ _VARIANT_IOU = f"""(SELECT object_id, class, v, CASE WHEN x1 IS NOT NULL AND u >
 
 @query("diagnose_variants", f"SELECT object_id, v::int AS variant_ord, round(iou, 6) AS iou FROM {_VARIANT_IOU}")
 def diagnose_variants(t: Tables):
-    return _variants(t).select("object_id", "variant_ord", F.round("iou", 6).alias("iou"))
+    # rounded once for all variants of a view
+    views = _views(t).withColumn("iou", F.round("iou", 6))
+    return projection.each_variant(views).select("object_id", "variant_ord", "iou")
 
 
 @query("best_variants", f"SELECT object_id, round(max(iou), 6) AS best_iou, round(max(iou) FILTER (WHERE v = 0), 6) AS current_iou FROM {_VARIANT_IOU} GROUP BY object_id")
