@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from detlake.functions.text import file_name, file_stem
 from detlake.schemas import COCO, EVENT, FRAME, REGISTRY, TILE_PREDICTIONS
 
 CORRUPT = "_corrupt_record"
+# what the id of an entry is called
+COCO_IDS = {"images": {"id": "image_id"}, "annotations": {"id": "ann_id"}, "categories": {"id": "category_id"}}
 
 
 def _documents(spark: SparkSession, path: str, schema: str, pattern: str = "*.json") -> DataFrame:
@@ -27,22 +31,57 @@ def read_coco(spark: SparkSession, path: str, pattern: str = "*.json") -> dict[s
     A document that is no object or lacks one of the three arrays is an error. A document is one JSON value, so it is
     parsed by one task; a large dataset belongs in the table form `write_coco` makes.
     """
-    docs = _documents(spark, path, ", ".join(f"{name} array<string>" for name in COCO), pattern)
-    bad = docs.filter(F.col("images").isNull() | F.col("annotations").isNull() | F.col("categories").isNull()).select("path").limit(1).collect()
+    docs = _documents(spark, path, _coco_texts(COCO), pattern)
+    bad = docs.filter(_coco_hole()).select("path").limit(1).collect()
     if bad:
         raise ValueError(f"not a COCO document: {bad[0][0]}")
-    split = F.coalesce(F.nullif(F.regexp_extract(file_name(F.col("path")), r"instances_(\w+)\.json$", 1), F.lit("")),
-                       F.regexp_extract("path", r"/split=([^/]+)/", 1)).alias("split")
-
-    def part(name: str, renames: dict[str, str]) -> DataFrame:
-        known = [field.split(" ")[0] for field in COCO[name].split(", ")]
-        rows = docs.select("path", split, F.explode(name).alias("_e"))
-        other = F.map_filter(F.from_json("_e", "map<string,variant>"), lambda k, _: ~k.isin(known))
-        rows = rows.select("path", "split", F.from_json("_e", COCO[name]).alias("_f"), F.when(F.size(other) > 0, F.to_json(other)).alias("props"))
-        return rows.select("path", "split", "_f.*", "props").withColumnsRenamed(renames)
-
-    return {"images": part("images", {"id": "image_id"}), "annotations": part("annotations", {"id": "ann_id"}),
-            "categories": part("categories", {"id": "category_id"})}
+    return {name: _coco_part(docs.select("path", _coco_split(), F.explode(name).alias("_e")), name) for name in COCO}
+
+
+def _coco_texts(names: Iterable[str]) -> str:
+    return ", ".join(f"{name} array<string>" for name in names)
+
+
+def _coco_hole() -> Column:
+    return F.col("images").isNull() | F.col("annotations").isNull() | F.col("categories").isNull()
+
+
+def _coco_split() -> Column:
+    return F.coalesce(F.nullif(F.regexp_extract(file_name(F.col("path")), r"instances_(\w+)\.json$", 1), F.lit("")),
+                      F.regexp_extract("path", r"/split=([^/]+)/", 1)).alias("split")
+
+
+def _coco_fields(name: str) -> tuple[Column, Column]:
+    """Known fields of an entry `_e`, and the others as a JSON object; only entries that have others are read for them."""
+    known = [field.split(" ")[0] for field in COCO[name].split(", ")]
+    other = F.map_filter(F.from_json("_e", "map<string,variant>"), lambda k, _: ~k.isin(known))
+    odd = F.size(F.array_except(F.json_object_keys("_e"), F.array(*map(F.lit, known)))) > 0
+    return F.from_json("_e", COCO[name]), F.when(odd, F.to_json(other))
+
+
+def _coco_part(entries: DataFrame, name: str) -> DataFrame:
+    fields, props = _coco_fields(name)
+    rows = entries.select("path", "split", fields.alias("_f"), props.alias("props"))
+    return rows.select("path", "split", "_f.*", "props").withColumnsRenamed(COCO_IDS[name])
+
+
+def read_coco_entries(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    """The entries of `read_coco` as one table, every document parsed once for all of them: `path`, `split`, `kind` (images, annotations
+    or categories), the fields of that kind as the struct of its name (else null), and `props`. What is no COCO document fails the job
+    that reads it."""
+    docs = _documents(spark, path, _coco_texts(COCO), pattern)
+    whole = F.when(~_coco_hole(), F.array(*[F.struct(F.lit(name).alias("kind"), F.col(name).alias("_l")) for name in COCO])).otherwise(
+        F.raise_error(F.concat(F.lit("not a COCO document: "), "path")))
+    rows = docs.select("path", _coco_split(), F.inline(whole)).select("path", "split", "kind", F.explode("_l").alias("_e"))
+    parts = {name: _coco_fields(name) for name in COCO}
+    props = F.coalesce(*[F.when(F.col("kind") == name, p) for name, (_, p) in parts.items()])
+    return rows.select("path", "split", "kind", *[F.when(F.col("kind") == name, f).alias(name) for name, (f, _) in parts.items()], props.alias("props"))
+
+
+def read_coco_categories(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    """`categories` of `read_coco` alone; the other entries are passed over unparsed."""
+    docs = _documents(spark, path, _coco_texts(["categories"]), pattern)
+    return _coco_part(docs.select("path", _coco_split(), F.explode("categories").alias("_e")), "categories")
 
 
 def read_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:

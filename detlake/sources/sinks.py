@@ -85,7 +85,7 @@ def coco_entries(images: DataFrame, annotations: DataFrame, categories: DataFram
         text = F.to_json(F.struct(F.col(key).alias("id"), *cols))
         if "props" in df.columns:
             text = F.when(F.col("props").isNull() | (F.col("props") == "{}"), text).otherwise(
-                F.concat(F.regexp_replace(text, r"\}$", ","), F.substring("props", 2, 2 ** 31 - 1)))
+                F.concat(F.left(text, F.length(text) - 1), F.lit(","), F.substring("props", 2, 2 ** 31 - 1)))
         return df.select("split", F.lit(part).alias("part"), F.col(key).cast("bigint").alias("id"), text.alias("entry"))
 
     area = F.coalesce("area", F.col("w") * F.col("h")) if "area" in annotations.columns else F.col("w") * F.col("h")
@@ -101,7 +101,8 @@ def coco_documents(images: DataFrame, annotations: DataFrame, categories: DataFr
     entries = coco_entries(images, annotations, categories)
 
     def part(n: int):
-        rows = F.array_sort(F.collect_list(F.when(F.col("part") == n, F.struct("id", "entry"))))
+        # no entry of the list is null, entries without an id go first
+        rows = F.sort_array(F.collect_list(F.when(F.col("part") == n, F.struct("id", "entry"))))
         return F.array_join(F.transform(rows, lambda e: e["entry"]), ",")
 
     text = F.concat(F.lit('{"images":['), part(0), F.lit('],"annotations":['), part(1), F.lit('],"categories":['), part(2), F.lit("]}"))
