@@ -354,6 +354,16 @@ def test_sorted_matching_folds_mixed_groups_only(spark):
         assert got == want and want
 
 
+def test_matching_makes_its_pairs_once(detections, truth, scene):
+    """One join finds the candidates, groups with doubtful detections included, and the classes of both sides come along."""
+    plan = matching.match_any_class(detections, truth)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Join") == 1
+    classes = {r[2]: r[1] for r in scene}, {r["gt_id"]: r["class_id"] for r in truth.collect()}
+    for rows in (2000, 4):
+        got = matching.match_any_class(detections, truth, group_rows=rows).collect()
+        assert got and all((r["class_id"], r["gt_class"]) == (classes[0][r["det_id"]], classes[1][r["gt_id"]]) for r in got)
+
+
 def test_migration_keeps_datasets_apart_from_tasks(spark):
     """Rows of one dataset never meet in one task by their dataset."""
     apply_runtime(spark)
