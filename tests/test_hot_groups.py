@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from detlake.operators import enrich, fragments, grid, ingest, matching, metrics, ordering, skew, suppress, tiling
-from detlake.session import apply_runtime, spread
+from detlake.session import apply_runtime, durable, spread
 
 CORNERS = ["x1", "y1", "x2", "y2"]
 
@@ -364,6 +364,50 @@ def test_matching_makes_its_pairs_once(detections, truth, scene):
         assert got and all((r["class_id"], r["gt_class"]) == (classes[0][r["det_id"]], classes[1][r["gt_id"]]) for r in got)
 
 
+def _plan(df):
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_confusion_counts_without_joins(spark):
+    """No row is joined back to its match; classes outside the list and none are the background, as when every row is looked up."""
+    rng = random.Random(5)
+    kinds = [0, 1, 2, 7, None]
+    det = [(i % 30, rng.choice(kinds), i) for i in range(200)]
+    gt = [(i % 30, rng.choice(kinds), 1000 + i) for i in range(150)]
+    hits = [(d[0], d[2], g[2], d[1], g[1]) for d, g in zip(det, gt, strict=False) if rng.random() < 0.6]
+    dets = spark.createDataFrame(det, "image_id long, class_id int, det_id long")
+    truth = spark.createDataFrame(gt, "image_id long, class_id int, gt_id long")
+    matches = spark.createDataFrame(hits, "image_id long, det_id long, gt_id long, class_id int, gt_class int")
+    want = {(g, p): 0 for g in range(4) for p in range(4)}
+    cells = [(h[4], h[3]) for h in hits]
+    cells += [(3, d[1]) for d in det if d[2] not in {h[1] for h in hits}] + [(g[1], 3) for g in gt if g[2] not in {h[2] for h in hits}]
+    for g, p in cells:
+        want[tuple(3 if c in (7, None) else c for c in (g, p))] += 1
+    for given in (matches, matches.select("det_id", "gt_id")):
+        got = metrics.confusion_matrix(dets, truth, given)
+        assert {(r["gt_class"], r["pred_class"]): r["n"] for r in got.collect()} == want
+    assert _plan(metrics.confusion_matrix(dets, truth, matches)).count("Join") == 1  # the grid
+
+
+def test_class_metrics_without_joins(detections, truth):
+    matches = durable(matching.match_same_class(detections, truth))
+    got = metrics.matched_class_metrics(detections, truth, matches)
+    want = metrics.per_class_metrics(matching.labelled_detections(detections, matches), truth)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert "det_id" not in [w for line in _plan(got).split("\n") if "Join" in line for w in line.replace("#", " ").replace("[", " ").split()]
+
+
+def test_taxonomy_reads_a_written_matching(spark, detections, truth, scene):
+    """The matching is made once: the tags read what was written of it, and the classes come with it."""
+    gts = {r["gt_id"]: r["class_id"] for r in truth.collect()}
+    matches = matching.match_any_class(detections, truth)
+    got = matching.error_taxonomy(detections, truth, durable(matches))
+    hit = {r["det_id"]: r["gt_id"] for r in matches.collect()}
+    want = [(r[2], "FP" if r[2] not in hit else "TP" if gts[hit[r[2]]] == r[1] else "WC") for r in scene]
+    want += [(g, "FN") for g in gts if g not in hit.values()]
+    assert _rows(got, "box_id", "tag") == sorted(want) and _plan(got).count("Join") == 2
+
+
 def test_migration_keeps_datasets_apart_from_tasks(spark):
     """Rows of one dataset never meet in one task by their dataset."""
     apply_runtime(spark)
