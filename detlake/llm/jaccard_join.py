@@ -13,9 +13,11 @@ For lower thresholds parts would hold one token or two and pair unlike texts. Pu
 they share one of their first n - ceil(t * n) + 1 tokens (n the size of each). Any order is right; one with rare tokens
 first makes few false candidates, as common passages come late. Rarity is how many documents of the whole corpus have a
 token in its slot of a table of `SLOTS` counters, filled by one pass and of fixed size whatever the corpus; clashes in
-it, or of 64-bit token hashes, cost time, never a link. Texts that share a prefix token are linked to one of them, and the
-connected components of that are the clusters: every link lies within one, and a token that very many texts share costs
-no more than its rows.
+it, or of token hashes, cost time, never a link. Prefixes longer by `SHARED` - 1 tokens have `SHARED` tokens in common (sets
+that small, all that two similar ones share), so a pair counts as candidate from so many on: in a large corpus unlike texts
+share one by chance, and one alone would join most texts in one cluster. Pairs are counted where sizes, and the places of
+the token in both orders, allow the overlap needed. A token of more than `PAIRED` texts links all of them to one, so it costs no
+more than its rows. The connected components of candidates are the clusters: every link lies within one.
 
 Defined cases: null and empty texts have no shingles and link with nothing; equal texts link; repeated rows and repeated
 or null ids stay rows of their own; other columns are ignored. Nothing is sampled or capped: clusters beyond `block` texts
@@ -45,6 +47,12 @@ PARTS_FROM = 0.85
 SLOT_BITS = 24
 SLOTS = 1 << SLOT_BITS
 CHUNKS = 64
+#: tokens that prefixes of two similar sets share; a pair needs WHOLE, of which one token is the share its sizes ask for
+SHARED, WHOLE = 4, 12
+#: most texts of one prefix token whose pairs are counted
+PAIRED = 32
+#: texts to a group of prefix tokens
+PART_TEXTS = 10_000
 
 
 def rarity(texts: DataFrame, k: int) -> np.ndarray:
@@ -84,11 +92,11 @@ def rarity(texts: DataFrame, k: int) -> np.ndarray:
     return np.frombuffer(b"".join(rows.get(c, bytes(width)) for c in range(CHUNKS)), np.uint8)
 
 
-def prefix(tokens: np.ndarray, steps: np.ndarray, num: int, den: int) -> np.ndarray:
-    """The rarest tokens of a set, of which it shares one with every similar set."""
+def prefix(tokens: np.ndarray, steps: np.ndarray, num: int, den: int, shared: int = 1) -> np.ndarray:
+    """The rarest tokens of a set, of which it shares `shared` with every similar set, or all that the two have in common."""
     n = len(tokens)
     order = np.argsort(steps[(tokens >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")
-    return tokens[order[:n - -(-n * num // den) + 1]]
+    return tokens[order[:n - -(-n * num // den) + shared]]
 
 
 class Classes:
@@ -153,12 +161,11 @@ def _sets(batch: pa.RecordBatch, text: str, k: int):
         yield from shingle_sets(hashes, counts, k)
 
 
-def candidate_links(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(a, b): text ids of which every pair of similar texts is joined by a path. `texts`: (tid long, text)."""
+def _part_links(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(a, b): links of texts that agree in a part to one of them."""
     spark = texts.sparkSession
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    classes = Classes(num, den) if num >= PARTS_FROM * den else None
-    shared = None if classes else spark.sparkContext.broadcast(rarity(texts, k))
+    classes = Classes(num, den)
 
     def emit(batches):
         def flush(keys, owners):
@@ -178,7 +185,7 @@ def candidate_links(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
             tids = batch.column("tid").to_numpy(zero_copy_only=False)
             for tid, tokens in zip(tids, _sets(batch, "text", k)):
                 if len(tokens):
-                    own = classes.signatures(tokens) if classes else mix(prefix(tokens, shared.value, num, den))
+                    own = classes.signatures(tokens)
                     keys.append(own)
                     owners.append(np.full(len(own), tid, np.int64))
                     held += len(own)
@@ -207,6 +214,115 @@ def candidate_links(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return blocks.groupBy("part").applyInPandas(meet, "a long, b long").distinct()
 
 
+def _cut(part: np.ndarray, parts: int, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """One row for each part that occurs: its number and, per column, the bytes of its values."""
+    order = np.argsort(part, kind="stable")
+    cuts = np.searchsorted(part[order], np.arange(parts + 1, dtype=part.dtype))
+    full = np.flatnonzero(np.diff(cuts))
+    values = {n: c[order] for n, c in columns.items()}
+    return pa.RecordBatch.from_arrays(
+        [pa.array(full, pa.int32())] + [pa.array([v[cuts[p]:cuts[p + 1]].tobytes() for p in full], pa.binary()) for v in values.values()], names=["part", *values])
+
+
+def _joined(pdf: pd.DataFrame, types: dict[str, type]) -> list[np.ndarray]:
+    return [np.concatenate([np.frombuffer(x, t) for x in pdf[c]]) for c, t in types.items()]
+
+
+def _parts(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+
+
+def pair_shares(keys: np.ndarray, owners: np.ndarray, sizes: np.ndarray, places: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, share): pairs of texts that share a prefix token, once a pair; shares of a similar pair add up to `WHOLE` at least.
+
+    Token `keys[i]` stands at `places[i]` in the order of the set of `owners[i]`, which has `sizes[i]` tokens. Two similar sets of
+    sizes n and m share num / (num + den) * (n + m) tokens, and their first `SHARED` ones have enough tokens behind them in both."""
+    order = np.lexsort((places, owners, sizes, keys))
+    keys, owners, sizes, places = keys[order], owners[order], sizes[order].astype(np.int64), places[order].astype(np.int64)
+    # a text that occurs in several tasks is sent by each
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1]) | (places[1:] != places[:-1])
+    keys, owners, sizes, places = keys[new], owners[new], sizes[new], places[new]
+    _, first, times = np.unique(keys, return_index=True, return_counts=True)
+    many = np.repeat(times > PAIRED, times)
+    _, _, low, high = star(keys[many], owners[many])
+    a, b, share = [low], [high], [np.full(len(low), WHOLE, np.int64)]
+    last = np.repeat(first + times, times)
+    at, step = np.flatnonzero(~many), 1
+    while len(at):
+        # sizes rise within a key: once one is too large for a set, all further ones are
+        at = at[at + step < last[at]]
+        at = at[sizes[at] * den >= num * sizes[at + step]]
+        to = at + step
+        left = np.minimum(sizes[at] - places[at], sizes[to] - places[to])
+        fit = ((num + den) * (SHARED - 1 + left) >= num * (sizes[at] + sizes[to])) & (owners[at] != owners[to])
+        u, v = at[fit], to[fit]
+        a.append(np.minimum(owners[u], owners[v]))
+        b.append(np.maximum(owners[u], owners[v]))
+        share.append(WHOLE // np.minimum(SHARED, -(-sizes[v] * num // den)))
+        step += 1
+    return summed(np.concatenate(a), np.concatenate(b), np.concatenate(share))
+
+
+def summed(a: np.ndarray, b: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each pair once, with the sum of its shares, `WHOLE` at most."""
+    if not len(a):
+        return a, b, share.astype(np.uint8)
+    order = np.lexsort((b, a))
+    a, b, share = a[order], b[order], share[order].astype(np.int64)
+    head = np.ones(len(a), bool)
+    head[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    sums = np.add.reduceat(share, np.flatnonzero(head))
+    return a[head], b[head], np.minimum(sums, WHOLE).astype(np.uint8)
+
+
+def _prefix_links(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(a, b): pairs that share enough prefix tokens. Keys are 32 bits of a token's hash beside those that choose its part."""
+    spark = texts.sparkSession
+    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), texts.count() // PART_TEXTS)
+    steps = spark.sparkContext.broadcast(rarity(texts, k))
+
+    def emit(batches):
+        def flush(rows):
+            hashes = np.concatenate([r[1] for r in rows])
+            counts = [len(r[1]) for r in rows]
+            return _cut(_parts(hashes, parts), parts, {
+                "keys": hashes.astype(np.uint32), "owners": np.repeat(np.array([r[0] for r in rows], np.int64), counts),
+                "sizes": np.repeat(np.array([r[2] for r in rows], np.uint32), counts),
+                "places": np.concatenate([np.arange(c, dtype=np.uint32) for c in counts])})
+
+        rows, held = [], 0
+        for batch in batches:
+            tids = batch.column("tid").to_numpy(zero_copy_only=False)
+            for tid, tokens in zip(tids, _sets(batch, "text", k)):
+                if len(tokens):
+                    rows.append((tid, mix(prefix(tokens, steps.value, num, den, SHARED)), len(tokens)))
+                    held += len(rows[-1][1])
+                if held > 1_000_000:
+                    yield flush(rows)
+                    rows, held = [], 0
+        if held:
+            yield flush(rows)
+
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b, share = pair_shares(*_joined(pdf, {"keys": np.uint32, "owners": np.int64, "sizes": np.uint32, "places": np.uint32}), num, den)
+        part = _parts(mix(a.view(np.uint64) ^ mix(b.view(np.uint64))), parts)
+        return _cut(part, parts, {"a": a, "b": b, "shares": share}).to_pandas()
+
+    def total(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b, share = summed(*_joined(pdf, {"a": np.int64, "b": np.int64, "shares": np.uint8}))
+        return pd.DataFrame({"a": a, "b": b})[share >= WHOLE]
+
+    tokens = texts.select("tid", "text").mapInArrow(emit, "part int, keys binary, owners binary, sizes binary, places binary")
+    pairs = tokens.groupBy("part").applyInPandas(meet, "part int, a binary, b binary, shares binary")
+    return pairs.groupBy("part").applyInPandas(total, "a long, b long")
+
+
+def candidate_links(texts: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """(a, b): text ids of which every pair of similar texts is joined by a path. `texts`: (tid long, text)."""
+    return _part_links(texts, k, num, den) if num >= PARTS_FROM * den else _prefix_links(texts, k, num, den)
+
+
 class Tree:
     """Signature tree over token sets: levels of nodes, each with the OR of its bitmaps, its range of sizes, and the most
     tokens of one set that share a bit with another of its own."""

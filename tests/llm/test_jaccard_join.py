@@ -94,3 +94,34 @@ def test_prefixes_meet():
             b = np.delete(a, rnd.permutation(len(a))[:drop])
             if 100 * len(b) >= 80 * len(a):
                 assert np.intersect1d(J.prefix(a, steps, 80, 100), J.prefix(b, steps, 80, 100)).size
+
+
+def test_chance_tokens_join_no_clusters(spark):
+    """A passage that one other text has by chance, as in large corpora: nothing is a candidate but the real copies."""
+    rnd, texts = random.Random(8), []
+    for i in range(300):
+        words = [f"w{rnd.randrange(10 ** 6)}" for _ in range(60)]
+        words[:5] = [f"p{i}{j}" for j in range(5)]
+        words[-5:] = [f"p{(i + 1) % 300}{j}" for j in range(5)]
+        texts.append(words)
+    copies = [(i, words[:30] + ["new"] + words[31:]) for i, words in enumerate(texts[:9])]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)] + [(1000 + i, " ".join(w)) for i, w in copies]
+    docs = spark.createDataFrame(rows, "tid long, text string").repartition(7)
+    links = J.candidate_links(docs, 5, 80, 100).collect()
+    assert sorted((r.a, r.b) for r in links) == [(i, 1000 + i) for i, _ in copies]
+
+
+def test_shares_of_similar_sets_are_whole():
+    rnd = np.random.default_rng(4)
+    steps = rnd.integers(0, 9, J.SLOTS).astype(np.uint8)
+    for n in (*range(1, 60), 150, 400):
+        a = np.unique(rnd.integers(0, 2 ** 62, n).astype(np.uint64) * np.uint64(4))
+        for part in (0, 1, 2):
+            # as many tokens go and come as the threshold allows, or half of them, or none
+            gone = next(g for g in range(len(a), -1, -1) if 100 * (len(a) - g) >= 80 * (len(a) + (g if part == 1 else 0))) * (part < 2)
+            come = rnd.integers(0, 2 ** 61, gone if part == 1 else 0).astype(np.uint64) * np.uint64(4) + np.uint64(1)
+            b = np.union1d(rnd.permutation(a)[gone:], come)
+            sides = [(J.prefix(s, steps, 80, 100, J.SHARED), len(s)) for s in (a, b)]
+            cols = [np.concatenate(c) for c in zip(*[(p, np.full(len(p), 7 + i), np.full(len(p), m), np.arange(len(p))) for i, (p, m) in enumerate(sides)])]
+            x, y, share = J.pair_shares(*cols, 80, 100)
+            assert (x.tolist(), y.tolist(), share.tolist()) == ([7], [8], [J.WHOLE])
