@@ -6,7 +6,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -82,50 +84,84 @@ def live_stage_states(latest: DataFrame, stages: Sequence[str] = STAGES) -> Data
 
 
 class InOrder(StatefulProcessor):
-    """Readings of a run in order of `seq`, across batches: rows wait in state until the watermark has passed them, then a fold
-    takes them in order. One timer a run stands at its earliest waiting row; with no row left only the fold's memory stays."""
+    """Readings in order of `seq`, across batches. A key is a bucket of runs, so that a call, a value of state and a fold serve many
+    rows at once. Rows wait in state, a block of positions a value, until the watermark has passed them; then a fold takes what
+    the bucket has, in order. One timer a bucket stands at its earliest waiting row; with no row left only the fold's memory of
+    its runs stays."""
 
-    def __init__(self, fold: Callable[[pd.DataFrame, tuple | None], tuple[pd.DataFrame, tuple]], memory: str):
-        self.fold, self.memory = fold, memory
+    def __init__(self, fold: Callable[[pd.DataFrame, dict], pd.DataFrame], memory: pa.Schema, block: int):
+        self.fold, self.memory, self.block = fold, memory, block
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", READING)
-        self.last = handle.getValueState("last", self.memory)
-
-    def _release(self, key: tuple, rows: pd.DataFrame, watermark: int) -> Iterator[pd.DataFrame]:
-        """Fold what the watermark has passed; the rest goes back to wait."""
-        passed = rows["seq"].map(_millis) <= watermark
-        rest = rows[~passed]
+        self.waiting = handle.getMapState("waiting", "block bigint", "first bigint, rows binary")
+        self.last = handle.getValueState("last", "runs binary")
+
+    def _release(self, new: pd.DataFrame, watermark: int) -> Iterator[pd.DataFrame]:
+        """Fold what the watermark has passed; the rest waits."""
+        newest = watermark // 1000 - 1  # the last position it has passed
+        first = {k[0]: v[0] for k, v in self.waiting.iterator()}
+        ready = [new[new["seq"] <= newest]]
+        rest = {block: [rows] for block, rows in new[new["seq"] > newest].groupby(new["seq"] // self.block)}
+        for block in {*rest, *(k for k, seq in first.items() if seq <= newest)}:
+            known = _unpacked(self.waiting.getValue((block,))[1]).to_pandas() if block in first else _NONE
+            ready.append(known[known["seq"] <= newest])
+            rows = pd.concat([known[known["seq"] > newest], *rest.get(block, [])])
+            if len(rows):
+                first[block] = int(rows["seq"].min())
+                self.waiting.updateValue((block,), (first[block], _packed(pa.RecordBatch.from_pandas(rows, READINGS, preserve_index=False))))
+            else:
+                del first[block]
+                self.waiting.removeKey((block,))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        if len(rest):
-            self.waiting.put(list(rest.itertuples(index=False, name=None)))
-            self.handle.registerTimer(_millis(int(rest["seq"].min())))
-        else:
-            self.waiting.clear()
-        if passed.any():
-            out, memory = self.fold(rows[passed].sort_values("seq", ignore_index=True), self.last.get() if self.last.exists() else None)
-            self.last.update(memory)
-            yield out.assign(run_id=key[0])
-
-    def _waiting(self) -> list[tuple]:
-        return [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        if first:
+            self.handle.registerTimer(_millis(min(first.values())))
+        rows = pd.concat(ready).sort_values("seq", ignore_index=True)
+        if len(rows):
+            memory = self._remembered()
+            out = self.fold(rows, memory)
+            self.last.update((_packed(pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip([list(memory), *zip(*memory.values())], self.memory)], schema=self.memory)),))
+            yield out
+
+    def _remembered(self) -> dict:
+        if not self.last.exists():
+            return {}
+        runs, *values = _unpacked(self.last.get()[0]).to_pydict().values()
+        return dict(zip(runs, zip(*values)))
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        if pd.isna(key[0]):  # marks of progress, which only move the watermark
+        if key[0] < 0:  # marks of progress, which only move the watermark
             return
-        new = [r for part in rows for r in part[["seq", "iter", "t"]].itertuples(index=False, name=None)]
-        yield from self._release(key, _readings(self._waiting() + new), timerValues.getCurrentWatermarkInMs())
+        new = pd.concat([part[READINGS.names] for part in rows]).astype({"seq": "int64", "iter": "int64", "t": "float64"})
+        yield from self._release(new, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._release(key, _readings(self._waiting()), timerValues.getCurrentWatermarkInMs())
+        yield from self._release(_NONE, timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
 
 
 READING = "seq bigint, iter bigint, t double"
+READINGS = pa.schema([("run_id", pa.string()), ("seq", pa.int64()), ("iter", pa.int64()), ("t", pa.float64())])
+_NONE = READINGS.empty_table().to_pandas()
+# buckets of runs; part of the state, so a running query keeps their number
+BUCKETS = 256
+# blocks of waiting rows over the lateness
+BLOCKS = 8
+
+
+def _packed(rows: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(bytes(data)).read_all()
 
 
 def _millis(seq: int) -> int:
@@ -133,20 +169,19 @@ def _millis(seq: int) -> int:
     return (seq + 1) * 1000
 
 
-def _readings(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["seq", "iter", "t"]).astype({"seq": "int64", "iter": "int64", "t": "float64"})
-
-
-def _ordered(events: DataFrame, fold, memory: str, columns: str, lateness: int) -> DataFrame:
+def _ordered(events: DataFrame, fold, memory: dict[str, pa.DataType], columns: str, lateness: int) -> DataFrame:
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     run = events.schema["run_id"].dataType.simpleString()
     typed = events.select("run_id", F.col("seq").cast("bigint"), F.col("iter").cast("bigint"), F.col("t").cast("double"),
                           F.timestamp_seconds(F.col("seq") + 1).alias("at")).withWatermark("at", f"{lateness} seconds")
     # the condition names the event time, so that rows without a reading move the watermark before they go
     rows = typed.filter(F.col("at").isNotNull() & F.col("iter").isNotNull() | F.col("run_id").isNull())
-    # the key is text: beside a mark, which has none, pandas would turn whole numbers into floats, and those name no state
-    keyed = rows.withColumn("run_id", F.col("run_id").cast("string")).groupBy("run_id")
-    out = keyed.transformWithStateInPandas(InOrder(fold, memory), f"{columns}, run_id string", "Append", "EventTime")
+    # runs are text: beside a mark, which has none, pandas would turn whole numbers into floats, and those name no state
+    rows = rows.withColumn("run_id", F.col("run_id").cast("string"))
+    bucket = F.when(F.col("run_id").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("run_id"), F.lit(BUCKETS)).cast("int"))
+    keyed = rows.withColumn("bucket", bucket).groupBy("bucket")
+    processor = InOrder(fold, pa.schema([("run_id", pa.string()), *memory.items()]), max(1, lateness // BLOCKS))
+    out = keyed.transformWithStateInPandas(processor, f"run_id string, {columns}", "Append", "EventTime")
     return out.withColumn("run_id", F.col("run_id").cast(run))
 
 
@@ -157,13 +192,13 @@ def mark(spark: SparkSession, seq: int, like: DataFrame) -> DataFrame:
 
 
 def _throttle(every: int, seconds: float):
-    def fold(rows: pd.DataFrame, memory: tuple | None) -> tuple[pd.DataFrame, tuple]:
-        last, out = memory[0] if memory else float("-inf"), []
-        for i, (it, t) in enumerate(zip(rows["iter"], rows["t"])):
-            if it % every == 0 or t - last >= seconds:
-                last = t
+    def fold(rows: pd.DataFrame, memory: dict) -> pd.DataFrame:
+        out, none = [], (float("-inf"),)
+        for i, (run, it, t) in enumerate(zip(rows["run_id"].tolist(), rows["iter"].tolist(), rows["t"].tolist())):
+            if it % every == 0 or t - memory.get(run, none)[0] >= seconds:
+                memory[run] = (t,)
                 out.append(i)
-        return rows.loc[out, ["seq", "iter", "t"]], (last,)
+        return rows.loc[out, ["run_id", "seq", "iter", "t"]]
     return fold
 
 
@@ -172,23 +207,30 @@ def throttle_progress(events: DataFrame, every: int, seconds: float, lateness: i
 
     Events: `run_id, seq, iter, t` (seconds); they may come up to `lateness` positions behind the newest one and are judged in
     order of `seq` whatever the batches. Rows behind that are late and dropped (`numRowsDroppedByWatermark` counts them). State
-    of a run: rows that still wait, and the time of its last logged event.
+    of a bucket of runs: rows that still wait, and the time of each run's last logged event.
     """
-    return _ordered(events, _throttle(every, seconds), "last double", READING, lateness).select("run_id", "seq", "iter", "t")
-
-
-def _rates(rows: pd.DataFrame, memory: tuple | None) -> tuple[pd.DataFrame, tuple]:
-    before = _readings([(-1, *memory)] if memory else [(-1, 0, float("nan"))])
-    prev = pd.concat([before, rows], ignore_index=True).iloc[:-1]
-    d_it, d_t = rows["iter"] - prev["iter"], rows["t"] - prev["t"]
+    return _ordered(events, _throttle(every, seconds), {"last": pa.float64()}, READING, lateness).select("run_id", "seq", "iter", "t")
+
+
+def _rates(rows: pd.DataFrame, memory: dict) -> pd.DataFrame:
+    runs, names = pd.factorize(rows["run_id"])
+    order = np.argsort(runs, kind="stable")
+    runs, seq, it, t = runs[order], *[rows[c].to_numpy()[order] for c in ("seq", "iter", "t")]
+    head = np.append(True, runs[1:] != runs[:-1])
+    known = [memory.get(n, (0, float("nan"))) for n in names]
+    was_it, was_t = np.roll(it, 1), np.roll(t, 1)
+    was_it[head], was_t[head] = [k[0] for k in known], [k[1] for k in known]
+    last = np.append(head[1:], True)
+    memory.update(zip(names, zip(it[last].tolist(), t[last].tolist())))
+    d_it, d_t = it - was_it, t - was_t
     ok = (d_it > 0) & (d_t > 0)
-    return pd.DataFrame({"seq": rows["seq"][ok], "iters_per_second": d_it[ok] / d_t[ok]}), (int(rows["iter"].iloc[-1]), float(rows["t"].iloc[-1]))
+    return pd.DataFrame({"run_id": np.asarray(names, object)[runs[ok]], "seq": seq[ok], "iters_per_second": d_it[ok] / d_t[ok]})
 
 
 def stream_throughput(events: DataFrame, lateness: int = LATENESS) -> DataFrame:
     """Iterations per second between successive readings of a run, in order of `seq` as in `throttle_progress`; state is what
     waits and the last reading."""
-    return _ordered(events, _rates, "iter bigint, t double", "seq bigint, iters_per_second double", lateness).select("run_id", "seq", "iters_per_second")
+    return _ordered(events, _rates, {"iter": pa.int64(), "t": pa.float64()}, "seq bigint, iters_per_second double", lateness).select("run_id", "seq", "iters_per_second")
 
 
 def valid_status(status: Column) -> Column:

@@ -233,6 +233,23 @@ def test_rows_behind_the_watermark_are_late(spark, tmp_path):
     assert sorted((r.run_id, r.seq) for r in live.read_log(spark, out).collect()) == [("a", 1), ("a", 950), ("b", 900)]
 
 
+def test_state_grows_by_buckets_of_runs(spark, tmp_path):
+    """Many runs share a state value and a call; the readings are those of each run on its own."""
+    src, out, rates = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "rates")
+    src.mkdir()
+    lines = [{"run_id": i % 3000, "seq": i, "iter": i // 7, "t": float(i)} for i in range(6000)]
+    _feed(spark, src, 0, lines[3000:])
+    _feed(spark, src, 1, lines[:3000] + [{"run_id": None, "seq": 20000, "iter": None, "t": None}])
+    stream = spark.readStream.schema("run_id long, seq long, iter long, t double").option("maxFilesPerTrigger", 1).json(str(src))
+    done = live.to_change_log(live.throttle_progress(stream, 10, 3500.0, 8000), out, "append")
+    done.awaitTermination()
+    assert sorted((r.run_id, r.seq) for r in live.read_log(spark, out).collect()) == _throttled(lines, 10, 3500.0)
+    assert max(p.stateOperators[0].numRowsTotal for p in done.recentProgress if p.stateOperators) < 3000
+    live.to_change_log(live.stream_throughput(stream, 8000), rates, "append").awaitTermination()
+    want = sorted((i % 3000, i, (i // 7 - (i - 3000) // 7) / 3000) for i in range(3000, 6000))
+    assert sorted(map(tuple, live.read_log(spark, rates).select("run_id", "seq", "iters_per_second").collect())) == want
+
+
 def test_statuses_without_state(spark, tmp_path):
     """Folds of batches, folded again: no state rows, and rows late by any time count."""
     src, out = tmp_path / "in", str(tmp_path / "out")
