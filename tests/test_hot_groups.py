@@ -419,3 +419,33 @@ def test_migration_keeps_datasets_apart_from_tasks(spark):
     plan = tables["annotations"]._jdf.queryExecution().sparkPlan().toString().split("\n")
     joins = [line for line in plan if "Join" in line and "dataset_id" in line and ("Inner" in line or "LeftSemi" in line)]
     assert joins and all("BroadcastHashJoin" in line for line in joins)
+
+
+def test_joins_of_one_image_send_no_rows(spark):
+    """Tables that are dealt by image are matched by class where they are."""
+    box = "cast(id % 7 AS double) AS x1, cast(0 AS double) AS y1, cast(id % 7 + 9 AS double) AS x2, cast(9 AS double) AS y2"
+    own = spark.sql(f"SELECT id % 50 AS image_id, cast(id % 3 AS int) AS class_id, id AS gt_id, id AS det_id, 0.5D AS confidence, {box} FROM range(600)")
+    dealt = own.repartition(4, "image_id")
+    plan = matching.iou_pairs(dealt, dealt.drop("confidence", "det_id"), 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    got = _rows(matching.match_same_class(dealt, dealt.drop("confidence", "det_id")), "det_id", "class_id", "threshold")
+    assert {(c, d % 3) for d, c, _ in got} == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_fusion_of_small_groups_is_that_of_members(spark):
+    """Fused without a join, by either strategy, with implausible shapes undone, null corners, ties and a disabled class."""
+    rnd = random.Random(6)
+    rows = [(i % 9, i % 4, i, rnd.choice([.3, .5, .9]), x, y, x + w, y + h) for i in range(400)
+            for x, y, w, h in [(rnd.randrange(0, 900), rnd.randrange(0, 300), rnd.choice([2, 40, 700]), rnd.choice([1, 30]))]]
+    rows += [(0, 0, 1000, .5, None, 1.0, 2.0, 3.0), (0, 0, 1001, .5, float("nan"), 1.0, 2.0, 3.0)]
+    df = spark.createDataFrame([(a, b, c, d, *[None if v is None else float(v) for v in e]) for a, b, c, d, *e in rows],
+                               "image_id long, class_id int, det_id long, confidence double, x1 double, y1 double, x2 double, y2 double")
+    names = ("image_id", "class_id", "det_id", "confidence", "x1", "y1", "x2", "y2", "source", "num_members")
+    for cfg in (fragments.Fusion(disabled_classes=(3,)), fragments.Fusion(strategy="weighted", max_distance_px=90.0, max_aspect_ratio=8.0)):
+        want = fragments.fuse_components(fragments.near_components(df, cfg, 0, 0), cfg)
+        merged = fragments.merge_fragments(df, cfg)
+        short = [F.round(c, 9).alias(c) if c[0] in "xy" or c == "confidence" else F.col(c) for c in names]
+        assert sorted(map(str, merged.select(*short).collect())) == sorted(map(str, want.select(*short).collect()))
+        assert {r.source for r in merged.collect()} == {"merged", "tile"}
+        plan = fragments._fuse_small(fragments._members(df, cfg, 256, 2000, True)[0], cfg)._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan
