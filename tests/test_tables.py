@@ -358,3 +358,21 @@ def test_versions_survive_crashes(spark, tmp_path):
         versions.build_or_reuse(spark, root, {**hashes, "dataset_hash": hashing.EMPTY_SHA256}, tiles(1))
     with pytest.raises(FileNotFoundError):
         versions.read_current(spark, str(tmp_path / "none"))
+
+
+def test_evaluation_without_names_reads_truth_once(spark):
+    """Ground truth without class names is evaluated as with them, and is computed one time for all results."""
+    from detlake.operators import evalmap
+    annotations = spark.createDataFrame([(i % 3, i, i % 3, float(40 * i), 0.0, 30.0, 30.0) for i in range(12)], "image_id long, ann_id long, category_id int, x double, y double, w double, h double")
+    names = spark.createDataFrame([(0, "ships"), (1, "helicopters"), (2, "airplanes")], "category_id int, name string")
+    dets = annotations.selectExpr("image_id", "category_id AS class_id", "ann_id AS det_id", "0.9D - ann_id / 100 AS confidence", "x AS x1", "y AS y1", "x + w AS x2", "y + h AS y2").filter("det_id <> 5")
+    rows, found = spark.sparkContext.accumulator(0), []
+
+    def seen(batches):
+        for b in batches:
+            rows.add(len(b))
+            yield b
+
+    for truth in (evalmap.build_gt(annotations, names), evalmap.build_gt(annotations.mapInPandas(seen, annotations.schema))):
+        found.append(sorted(map(str, evalmap.evaluate(dets, truth, results=("per_class",))["per_class"].select("class_id", "num_gt", "tp", "ap5095").collect())))
+    assert found[0] == found[1] and rows.value == 12
